@@ -1,6 +1,6 @@
 """Pre-bout features of every corner row, from that fighter's earlier rows only.
 
-"Earlier" is row order by (date, bout id). Bouts that do not count for
+"Earlier" is row order by (date, bout id); upcoming bouts come last on their day. Bouts that do not count for
 statistics stay out of performance and cardio means but count for activity,
 record, rounds, titles and schedule strength.
 """
@@ -28,7 +28,7 @@ MOMENTUM_DAYS = 540
 ACTIVITY_DAYS = 720
 STALE_DAYS = 365
 
-ENTITY, ORDER, DAY = ["fighter_id"], ["day_no", "fight_id"], "day_no"
+ENTITY, ORDER, DAY = ["fighter_id"], ["day_no", "bout_order"], "day_no"
 
 CARDIO_INPUTS = [
     "cardio_r3_r1_att", "cardio_r3_r1_landed", "late_td_landed", "late_kd", "late_ctrl_seconds",
@@ -70,7 +70,11 @@ def load_history(corners: DataFrame, facts: DataFrame | None = None) -> DataFram
     return rows.withColumns(
         {f: F.coalesce(F.col(f), F.lit(False)) for f in flags}
         | derived_stats()
-        | {"result": m.known_result(F.col("result")), DAY: F.unix_date("event_date")}
+        | {
+            "result": m.known_result(F.col("result")),
+            DAY: F.unix_date("event_date"),
+            "bout_order": F.col("fight_id").cast("long"),
+        }
     )
 
 
@@ -347,7 +351,7 @@ def opponent_asof(rows: DataFrame) -> DataFrame:
         (decided + c("career_draws") + c("career_no_contests")).cast("int").alias("opp_asof_n_fights"),
     )
     keys = ["fight_id", "opponent_id"]
-    out = rows.select("fighter_id", DAY, *keys).join(theirs, keys, "left")
+    out = rows.select("fighter_id", *ORDER, *keys).join(theirs, keys, "left")
     return out.withColumns(
         {
             "opp_asof_n_decided": F.coalesce("opp_asof_n_decided", F.lit(0)),
@@ -400,7 +404,7 @@ def own_features(rows: DataFrame) -> DataFrame:
         | class_columns() | cardio_columns()
     )
     flat = line.df.select(
-        *FEATURE_KEYS, DAY, *[F.col(c).cast("int").alias(c) for c in ints], *[v.alias(k) for k, v in first.items()]
+        *FEATURE_KEYS, *ORDER, *[F.col(c).cast("int").alias(c) for c in ints], *[v.alias(k) for k, v in first.items()]
     )
     second = trend_columns() | mix_columns() | {
         "last5_win_pct": m.ratio(F.col("last_5_wins"), F.col("last_5_wins") + F.col("last_5_losses"))

@@ -31,14 +31,14 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a local master may fall back to a temporary folder of this machine.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder:
+        return folder
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    fallback = tempfile.mkdtemp(prefix="ringside-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="ringside-"))
+    return context.getCheckpointDir()
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:
