@@ -3,8 +3,8 @@
 from pyspark.sql import functions as F
 
 import oracle as o
-from ringside.columns import FEATURE_COLS, STAT_COLS, TREND_COLS, window_col
-from ringside.operators import corners
+from ringside.columns import DIFF_COLS, EXPECTED_RATES, FEATURE_COLS, LABEL_COLS, STAT_COLS, TREND_COLS, window_col
+from ringside.operators import audit, corners, model_rows
 from ringside.sources.binding import bench
 
 QUERIES = {}
@@ -91,3 +91,200 @@ feature_query("cardio_history", [*o.CARDIO, *o.CARDIO_TRENDS], exact=[c for c in
 _asof = [c for c in FEATURE_COLS if c.startswith("opp_asof")]
 feature_query("opponent_asof", _asof, exact=["opp_asof_n_fights", "opp_asof_n_decided", "opp_asof_debut"])
 feature_query("schedule_strength", list(o.SOS), exact=["career_n_opp_known", "last5_n_opp_known"])
+
+# -- training rows ----------------------------------------------------------
+
+_products = [p for p, *_ in EXPECTED_RATES] + ["prod_reach_x_opp_distance_pct", "prod_ground_x_td_att_pm"]
+TRAIN_SHOWN = (
+    ["fight_id", "orientation", "event_date", "a_fighter_id", "b_fighter_id", "weight_class_norm", "is_title",
+     "is_women", "scheduled_rounds", "y_a_win", "y_method_group", "y_outcome_type", "y_winner_id", "a_height", "b_reach"]
+    + ["diff_height", "diff_reach", "a_ape_index", "b_ape_index", "diff_ape_index"]
+    + [f"diff_{c}" for c in DIFF_COLS]
+    + [f"y_{s}_{c}" for s in "ab" for c in LABEL_COLS]
+    + _products
+    + ["a_debut_flag", "b_debut_flag", "a_career_win_pct", "b_career_win_pct", "a_win_streak"]
+)
+_PLAIN = {
+    "fight_id", "orientation", "event_date", "a_fighter_id", "b_fighter_id", "weight_class_norm", "is_title", "is_women",
+    "scheduled_rounds", "y_a_win", "y_method_group", "y_outcome_type", "y_winner_id", "a_debut_flag", "b_debut_flag",
+    "a_win_streak", "b_reach", "diff_reach", "diff_days_since_last_fight", "diff_career_fights_count",
+    "diff_win_streak", "diff_loss_streak", "diff_career_wins", "diff_career_losses", "diff_num_five_round_fights",
+    "diff_num_title_fights", "diff_career_n_r3_complete", "diff_career_n_distance", "diff_career_n_observed",
+}
+
+
+def train_sql(cols, where="", name="model_train"):
+    shown = ", ".join(c if c in _PLAIN else f"{o.r6(c)} as {c}" for c in cols)
+    return o.with_(f"select {shown} from {name} {where}", name)
+
+
+register(
+    "training_rows",
+    lambda spark, d: rounded(model_rows.mirrored(bench(spark, d).model_rows).select(*TRAIN_SHOWN)),
+    train_sql(TRAIN_SHOWN),
+)
+_body = ["f1_height", "f2_reach", "f1_ape_index", "diff_ape_index"]
+register(
+    "model_rows",
+    lambda spark, d: rounded(
+        model_rows.model_rows(
+            bench(spark, d).features, bench(spark, d).fight_facts, bench(spark, d).corner_facts,
+            bench(spark, d).fighter_bio,
+        ).select("fight_id", "y_fighter1_win", "y_f1_result", "y_f2_result", *_body, "f1_career_win_pct",
+                 "f2_career_win_pct", "diff_career_win_pct", "y_f1_pace", "y_f2_pace")
+    ),
+    o.with_(
+        "select m.fight_id, m.y_a_win as y_fighter1_win, ca.result as y_f1_result, cb.result as y_f2_result, "
+        + ", ".join(f"{o.r6(e)} as {n}" for n, e in (
+            ("f1_height", "a_height"), ("f1_ape_index", "a_ape_index"), ("diff_ape_index", "diff_ape_index"),
+            ("f1_career_win_pct", "a_career_win_pct"), ("f2_career_win_pct", "b_career_win_pct"),
+            ("diff_career_win_pct", "diff_career_win_pct"), ("y_f1_pace", "y_a_pace"), ("y_f2_pace", "y_b_pace")))
+        + ", b_reach as f2_reach from model_train m "
+        "join corner_facts ca on ca.fight_id = m.fight_id and ca.is_fighter1 "
+        "join corner_facts cb on cb.fight_id = m.fight_id and not cb.is_fighter1 where orientation = 'page'",
+        "model_train", "corner_facts"),
+)
+register(
+    "matchup_products",
+    lambda spark, d: rounded(bench(spark, d).model_train.select("fight_id", "orientation", *_products)),
+    train_sql(["fight_id", "orientation", *_products]),
+)
+
+# -- audit ------------------------------------------------------------------
+
+AUDIT_DAY = "2001-06-01"
+
+
+def audit_query(name, sql, *needs):
+    run = audit.checks(AUDIT_DAY)[name]
+    register(f"audit_{name}", lambda spark, d: rounded(run(bench(spark, d).audit_tables())),
+             o.with_(sql, *needs) if needs else sql)
+
+
+def _counts(pairs):
+    return " union all ".join(f"select '{n}' as table_name, count(*) as row_count from {t}" for n, t in pairs)
+
+
+def _cover(table, cols, total="total"):
+    return f"select count(*) as {total}, " + ", ".join(f"count({c}) as {n}" for n, c in cols) + f" from {table}"
+
+
+def _missing(name, child, key, parent, parent_key="fight_id"):
+    return (f"select count(*) as {name} from {child} c left join {parent} p on c.{key} = p.{parent_key} "
+            f"where c.{key} is not null and p.{parent_key} is null")
+
+
+audit_query("row_counts", _counts([
+    ("events", "bevents"), ("fighters", "fighters"), ("fights", "fights"), ("fight_metadata", "fight_metadata"),
+    ("fight_totals", "fight_totals"), ("round_stats", "round_stats"), ("judge_scores", "judge_scores"),
+    ("fighter_bio", "fighter_bio"), ("fighter_performance_stats", "snapshot"), ("fighter_fight_features", "features"),
+]), "bevents", "fighters", "fights", "fight_metadata", "fight_totals", "round_stats", "judge_scores", "fighter_bio",
+    "snapshot", "features")
+audit_query("self_fights", "select count(*) as self_fight_count from fights where fighter1_id = fighter2_id", "fights")
+audit_query("distinct_urls", "select count(*) as total_fighters, count(distinct fighter_url) as distinct_urls "
+            "from fighters", "fighters")
+audit_query("shared_names", "select fighter_name, count(*) as row_count from fighters group by 1 having count(*) > 1",
+            "fighters")
+audit_query("missing_event", "select count(*) as fights_missing_event from fights where event_id not in "
+            "(select event_id from bevents)", "fights", "bevents")
+for _n in (1, 2):
+    audit_query(f"missing_fighter{_n}", _missing(f"fights_missing_fighter{_n}", "fights", f"fighter{_n}_id", "fighters",
+                                                  "fighter_id"), "fights", "fighters")
+audit_query("missing_totals", _missing("fights_missing_totals", "fights", "fight_id", "fight_totals"),
+            "fights", "fight_totals")
+audit_query("missing_metadata", _missing("fights_missing_metadata", "fights", "fight_id", "fight_metadata"),
+            "fights", "fight_metadata")
+audit_query("missing_rounds", _missing("fights_missing_round_stats", "fights", "fight_id", "round_stats"),
+            "fights", "round_stats")
+audit_query("too_many_rounds", "select fight_id, count(*) as round_row_count from round_stats group by 1 "
+            "having count(*) > 5", "round_stats")
+audit_query("round_number_range", "select fight_id, round_number from round_stats where round_number > 5 "
+            "or round_number < 1", "round_stats")
+audit_query("rounds_past_official", "select r.fight_id, max(round_number) as max_recorded_round, f.round as "
+            "official_final_round from round_stats r join fights f using (fight_id) group by r.fight_id, f.round "
+            "having max(round_number) > f.round", "round_stats", "fights")
+audit_query("round_count_gaps", "select fight_id, official_final_round, recorded_rounds from (select f.fight_id, "
+            "f.round as official_final_round, count(r.fight_id) as recorded_rounds from fights f left join round_stats r "
+            "using (fight_id) group by f.fight_id, f.round having count(r.fight_id) <> f.round) "
+            "order by abs(recorded_rounds - official_final_round) desc, fight_id limit 30", "round_stats", "fights")
+audit_query("totals_coverage", _cover("fight_totals", [("has_sig_str", "fighter1_sig_str"), (
+    "has_sig_str_pct", "fighter1_sig_str_percent")] + [(f"has_{p}", f"fighter1_{p}") for p in (
+        "head", "body", "leg", "distance", "clinch", "ground")]), "fight_totals")
+audit_query("rounds_coverage", _cover("round_stats", [(f"has_{c}", f"fighter1_{c}") for c in (
+    "kd", "sig_str", "td", "sub_att", "ctrl")] + [("has_raw_round", "raw_round")]), "round_stats")
+audit_query("metadata_coverage", _cover("fight_metadata", [("has_title", "page_title"),
+                                                            ("has_canonical", "canonical_url")]), "fight_metadata")
+audit_query("fights_coverage", _cover("fights", [(f"has_{c}", c) for c in (
+    "referee", "method", "weight_class", "finish_details")]), "fights")
+audit_query("judges_coverage", _cover("judge_scores", [("has_name", "judge_name"), ("has_score", "score")]),
+            "judge_scores")
+audit_query("events_coverage", _cover("bevents", [("has_location", "event_location"), ("has_headline", "headline")]),
+            "bevents")
+audit_query("bio_coverage", _cover("fighter_bio", [("has_height", "height"), ("has_reach", "reach"),
+                                                    ("has_style", "fighting_style")]), "fighter_bio")
+audit_query("snapshot_coverage", _cover("snapshot", [("has_sig", "landed"), ("has_td_def", "defense")]), "snapshot")
+audit_query("features_coverage", _cover("features", [
+    ("has_momentum_sig_str", "momentum_sig_str_landed_avg"), ("has_career_sig_str", "career_sig_str_landed_avg"),
+    ("has_momentum_td", "momentum_td_landed_avg")]), "features")
+audit_query("odd_percent_text", "select fight_id, fighter1_sig_str_percent from fight_totals where "
+            "fighter1_sig_str_percent is not null and not regexp_matches(fighter1_sig_str_percent, '^[0-9]{1,3}%$') "
+            "and fighter1_sig_str_percent not in ('---','--') order by fight_id limit 20", "fight_totals")
+audit_query("landed_above_attempted", "select fight_id, fighter1_sig_str from fight_totals where "
+            "regexp_matches(fighter1_sig_str, '^[0-9]+ of [0-9]+$') and cast(split_part(fighter1_sig_str, ' of ', 1) as int) "
+            "> cast(split_part(fighter1_sig_str, ' of ', 2) as int) order by fight_id limit 20", "fight_totals")
+audit_query("events_in_future", f"select event_id, headline, event_date from bevents where event_date > "
+            f"date '{AUDIT_DAY}' + interval 30 days order by event_date desc, event_id limit 20", "bevents")
+audit_query("events_too_early", "select event_id, headline, event_date from bevents where event_date < "
+            "date '1993-11-01' order by event_date, event_id limit 20", "bevents")
+audit_query("body_out_of_range", "select fighter_id, height, reach from fighter_bio where (height < 48 or height > 90) "
+            "or (reach < 48 or reach > 100)", "fighter_bio")
+audit_query("feature_rows_per_fight", "select f.fight_id, count(x.fight_id) as feature_row_count from fights f "
+            "left join features x using (fight_id) group by 1 having count(x.fight_id) <> 2 order by 1 limit 30",
+            "fights", "features")
+audit_query("feature_row_total", "select (select count(*) from fights) * 2 as expected_feature_rows, "
+            "(select count(*) from features) as actual_feature_rows", "fights", "features")
+audit_query("percent_average_range", f"select fighter_id, fight_id, {o.r6('momentum_sig_str_percent_avg')} as "
+            "momentum_sig_str_percent_avg from features where momentum_sig_str_percent_avg < 0 or "
+            "momentum_sig_str_percent_avg > 100", "features")
+audit_query("negative_momentum", "select fighter_id, fight_id, momentum_sig_str_landed_avg from features where "
+            "momentum_sig_str_landed_avg < 0", "features")
+audit_query("outcomes", "select outcome_type, count(*) as fight_count from fights group by 1", "fights")
+audit_query("winner_not_in_bout", "select count(*) as winner_not_in_bout from fights where winner_id is not null and "
+            "winner_id is distinct from fighter1_id and winner_id is distinct from fighter2_id", "fights")
+audit_query("decisive_without_winner", "select count(*) as decisive_missing_winner from fights where "
+            "outcome_type='decisive' and winner_id is null", "fights")
+audit_query("fact_counts", _counts([("fight_facts", "fight_facts"), ("fighter_fight_facts", "corner_facts"), (
+    "fighter_round_facts", "(select r.* from corner_rounds r join fight_facts using (fight_id))")]),
+    "fight_facts", "corner_facts", "corner_rounds")
+audit_query("method_groups", "select method_group, count(*) as row_count from fight_facts group by 1", "fight_facts")
+audit_query("fights_without_facts", "select count(*) as fights_missing_fight_facts from fights f join bevents e using "
+            "(event_id) left join fight_facts x on x.fight_id = f.fight_id where x.fight_id is null",
+            "fights", "bevents", "fight_facts")
+audit_query("not_two_corners", "select count(*) as fights_without_exactly_2_corner_facts from (select fight_id from "
+            "corner_facts group by 1 having count(*) <> 2)", "corner_facts")
+audit_query("valid_flag_mismatch", "select count(*) as invalid_flag_mismatch from fight_facts where (method_group in "
+            "('NC','DQ')) = is_valid_for_stats", "fight_facts")
+audit_query("nc_not_grouped", "select count(*) as nc_method_not_grouped from fight_facts where method_raw in "
+            "('Overturned','Could Not Continue') and method_group is distinct from 'NC'", "fight_facts")
+audit_query("model_row_count", "select count(*) as model_rows from model_train where orientation='page'", "model_train")
+audit_query("model_rows_without_label", "select count(*) as model_rows_missing_label from model_train where "
+            "orientation='page' and y_method_group is null", "model_train")
+audit_query("outcome_labels", "select y_outcome_type, y_a_win as y_fighter1_win, count(*) as row_count from model_train "
+            "where orientation='page' group by 1, 2", "model_train")
+audit_query("rates_coverage", _cover("corner_facts", [
+    ("has_absorbed", "sig_str_absorbed"), ("has_str_def", "strike_defense"), ("has_td_def", "td_defense"),
+    ("has_slpm", "sig_str_landed_pm"), ("has_pace", "pace")], "n"), "corner_facts")
+audit_query("absorbed_mismatch", "select count(*) as absorbed_mismatch from corner_facts a join corner_facts b on "
+            "a.fight_id = b.fight_id and a.opponent_id = b.fighter_id where a.sig_str_absorbed is distinct from "
+            "b.sig_str_landed", "corner_facts")
+audit_query("negative_pace", "select count(*) as negative_pace from corner_facts where pace < 0 or sig_str_landed_pm < 0",
+            "corner_facts")
+audit_query("defense_range", "select count(*) as defense_out_of_range from corner_facts where strike_defense < 0 or "
+            "strike_defense > 100 or td_defense < 0 or td_defense > 100", "corner_facts")
+audit_query("debuts", "select count(*) filter (where debut_flag) as debuts, count(*) filter (where debut_flag and "
+            "last5_sig_str_landed_pm_avg is not null) as debuts_with_last5_rate, count(*) filter (where not debut_flag "
+            "and last5_fights_count = 0) as nondebut_empty_last5 from features", "features")
+audit_query("orientation_labels", "select orientation, y_a_win, count(*) as row_count from model_train group by 1, 2",
+            "model_train")
+audit_query("train_rows", "select count(*) as train_rows from model_train", "model_train")
+audit_query("train_wins", "select count(*) as train_wins from model_train where y_a_win = 1", "model_train")

@@ -1,5 +1,6 @@
 """Quality of predictions as aggregates; every function is one pass over the rows."""
 
+import math
 from dataclasses import dataclass
 from datetime import date
 
@@ -160,6 +161,35 @@ def absolute_error(rows: DataFrame, pred: str, actual: str, base: str, fill: Col
     )
 
 
-def median(rows: DataFrame, col: str) -> float:
-    """Exact median, as one aggregate over counted values."""
-    return rows.agg(F.percentile(F.col(col).cast("double"), F.lit(0.5))).first()[0]
+def exact_percentile(rows: DataFrame, value: Column, p: float, small: int = 1_000_000) -> float | None:
+    """Exact percentile with linear interpolation, in bounded memory.
+
+    Approximate quantiles only narrow down an interval around the wanted rank;
+    counting checks it, and the exact aggregate runs on at most ``small`` rows
+    (or on one repeated value).
+    """
+    values = rows.select(value.cast("double").alias("v")).filter("v is not null")
+    whole = values.agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).first()
+    n, lo, hi = whole["n"], whole["lo"], whole["hi"]
+    if not n:
+        return None
+    want, below, inside = p * (n - 1), 0, n
+    part = values
+    while inside > small and lo < hi:
+        near, margin = (want - below) / inside, 2e-3
+        probes = [max(0.0, near - margin), min(1.0, near + margin)]
+        new_lo, new_hi = part.agg(F.percentile_approx("v", probes, 10_000)).first()[0]
+        counts = part.agg(
+            F.count_if(F.col("v") < new_lo).alias("less"),
+            F.count_if(F.col("v").between(new_lo, new_hi)).alias("within"),
+        ).first()
+        start = below + counts["less"]
+        holds = start <= math.floor(want) and math.ceil(want) < start + counts["within"]
+        if not holds or counts["within"] == inside:
+            break
+        lo, hi, below, inside = new_lo, new_hi, start, counts["within"]
+        part = values.filter(F.col("v").between(lo, hi))
+    if lo == hi:
+        return lo
+    inner = (want - below) / (inside - 1) if inside > 1 else 0.0
+    return part.agg(F.percentile("v", F.lit(float(inner)))).first()[0]

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ringside.functions.scores import Eras, absolute_error, clipped, page_only
+from ringside.functions.scores import Eras, absolute_error, clipped, exact_percentile, page_only
 
 # Columns and limits of the views.
 MISSING_COLS = [
@@ -82,33 +82,29 @@ def career_and_form(train: DataFrame, eras: Eras) -> DataFrame:
         ~F.coalesce(F.col("a_debut_flag"), no) & ~F.coalesce(F.col("a_used_career_fallback_last5"), no)
         & F.col(x).isNotNull() & F.col(y).isNotNull() & F.col("y_a_win").isNotNull()
     )
-    both = rows.select("y_a_win", x, y).unpivot(["y_a_win"], [x, y], "which", "v")
-    limit = both.agg(F.percentile("v", F.lit(0.99)).alias("p99"))
-    core = rows.agg(
+    shown = rows.select(F.explode(F.array(F.col(x), F.col(y))).alias("v"))
+    top = exact_percentile(shown, F.col("v"), 0.99)
+    limit = None if top is None else min(max(top, 8.0), 12.0)
+    return rows.agg(
         F.corr(x, y).alias("r"),
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("y_a_win") == 1).alias("n_won"),
         F.count_if(F.col("y_a_win") == 0).alias("n_lost"),
+        F.lit(limit).cast("double").alias("axis_limit"),
     )
-    merged = core.unionByName(limit, allowMissingColumns=True).agg(
-        *[F.max(c).alias(c) for c in ("r", "n", "n_won", "n_lost", "p99")]
-    )
-    return merged.withColumn("axis_limit", F.least(F.greatest(F.col("p99"), F.lit(8.0)), F.lit(12.0))).drop("p99")
 
 
 def expected_and_actual(train: DataFrame, eras: Eras) -> DataFrame:
     """Line, correlation and percentiles of expected against landed takedowns."""
     x, y = F.col("prod_expected_td_pm"), F.col("y_a_td_landed")
     rows = _since(train, eras).filter(x.isNotNull() & y.isNotNull())
+    spots = {"x_p01": (x, 0.01), "x_p99": (x, 0.99), "x_p995": (x, 0.995), "y_p995": (y, 0.995)}
     return rows.agg(
         F.regr_slope(y, x).alias("slope"),
         F.regr_intercept(y, x).alias("intercept"),
         F.corr(x, y).alias("r"),
         F.count(F.lit(1)).alias("n"),
-        F.percentile(x, F.lit(0.01)).alias("x_p01"),
-        F.percentile(x, F.lit(0.99)).alias("x_p99"),
-        F.percentile(x, F.lit(0.995)).alias("x_p995"),
-        F.percentile(y, F.lit(0.995)).alias("y_p995"),
+        *[F.lit(exact_percentile(rows, c, p)).cast("double").alias(name) for name, (c, p) in spots.items()],
     )
 
 
@@ -119,7 +115,9 @@ def score_histogram(rows: DataFrame, p: str = "p", bins: int = 20) -> DataFrame:
     lo, hi = ends["lo"], ends["hi"]
     if lo is None:
         return scores.groupBy(F.lit(0).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    width = (hi - lo) / bins or 1.0 / bins
+    if lo == hi:
+        lo, hi = lo - 0.5, hi + 0.5
+    width = (hi - lo) / bins
     place = F.least(F.floor((F.col("q") - lo) / width), F.lit(bins - 1)).cast("int")
     return scores.groupBy(place.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
 
@@ -129,7 +127,7 @@ def shape_errors(rows: DataFrame) -> DataFrame:
     out = None
     for name, pred, actual, base, floor in SHAPES:
         used = page_only(rows).filter(F.col(pred).isNotNull() & F.col(actual).isNotNull())
-        fill = used.agg(F.percentile(F.col(base).cast("double"), F.lit(0.5))).first()[0]
+        fill = exact_percentile(used, F.col(base), 0.5)
         part = absolute_error(used, pred, actual, base, 0.0 if fill is None else fill, floor)
         part = part.select(F.lit(name).alias("target"), "*")
         out = part if out is None else out.unionByName(part)
@@ -149,7 +147,7 @@ def ablation_comparison(results: DataFrame) -> DataFrame:
     base = results.filter("recipe = 'baseline'").select(
         F.col("test_logloss").alias("base_logloss"), F.col("test_acc").alias("base_acc")
     )
-    both = results.join(F.broadcast(base.limit(1)), F.lit(True))
+    both = results.join(F.broadcast(base), F.lit(True))  # the baseline is one row
     return both.select(
         recipe_label(F.col("recipe")).alias("label"), "n_features", "val_logloss", "val_acc", "test_logloss", "test_acc",
         (F.col("test_logloss") - F.col("base_logloss")).alias("delta_test_logloss"),

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ringside.operators import corners, history, model_rows
 from ringside.operators.timeline import Timeline, number
 from ringside.session import cut
+from ringside.sources import snapshots
 
 LINE_ORDER = [
     "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
@@ -180,6 +181,69 @@ PICK = {
 }
 
 
+# scraped documents: one event with one bout per order, some repeated, some unreadable
+BOUT_DOC = {
+    "k1": "o_custkey",
+    "k2": "(o_custkey*7+1)%1000",
+    "fight_url": "'http://bouts.test/d/' || cast(o_orderkey as string)",
+    "event_url": "'http://bouts.test/x/' || cast(o_orderkey%500 as string)",
+    "headline": "'Night ' || cast(o_orderkey as string)",
+    "weight_class": "case when o_orderkey%8=0 then null else 'Lightweight Bout' end",
+    "n_rounds": "cast(1 + o_orderkey%5 as int)",
+    "name1": "'P' || cast(o_custkey as string)",
+    "url1": "'http://bouts.test/p/' || cast(o_custkey as string)",
+    "name2": "case when o_orderkey%103=0 then '' else 'P' || cast((o_custkey*7+1)%1000 as string) end",
+    "url2": "case when o_orderkey%9=0 then null else "
+            "'http://bouts.test/p/' || cast((o_custkey*7+1)%1000 as string) end",
+    "status1": "case o_orderkey%6 when 0 then 'W' when 1 then 'L' when 2 then 'D' when 3 then 'NC' when 4 then 'W' end",
+    "status2": "case o_orderkey%6 when 0 then 'L' when 1 then 'W' when 2 then 'D' when 3 then 'NC' when 4 then 'W' end",
+}
+
+
+def _corner_cells(side):
+    return ("named_struct('kd', cast((o_orderkey+r)%3 as string), 'sig_str', cast((o_orderkey+r)%20 as string) || "
+            f"' of ' || cast((o_orderkey+r)%20+{side} as string), 'ctrl', '0:' || "
+            "lpad(cast((o_orderkey*r)%60 as string), 2, '0'))")
+
+
+def documents(orders):
+    """(seq, version, payload) JSON texts; a tenth of the bouts come a second time with one round."""
+    rows = orders.select("o_orderkey", *exprs(BOUT_DOC), F.expr(
+        "explode(case when o_orderkey%10=3 then array(1,2) else array(1) end) as version"))
+    event = f"""named_struct('url', event_url, 'headline', headline, 'date', '1999-01-02', 'location', 'Hall',
+      'fights', array(named_struct(
+        'metadata', named_struct('url', fight_url, 'page_title', 'Bout', 'source', 'doc'),
+        'general_info', named_struct('weight_class', weight_class, 'method', case when version=2 then 'Decision' else
+          'KO/TKO' end, 'round', n_rounds, 'time', '1:30', 'time_format', '3 Rnd (5-5-5)'),
+        'fighters', named_struct('fighter1', named_struct('name', name1, 'url', url1),
+                                 'fighter2', named_struct('name', name2, 'url', url2)),
+        'fight_result', map_filter(map(url1, status1, coalesce(nullif(url2, url1), 'none'), status2),
+                                   (k, v) -> v is not null),
+        'totals', named_struct('significant_strikes', named_struct(
+           'fighter1', named_struct('sig_str', cast(o_orderkey%40 as string) || ' of 50'),
+           'fighter2', named_struct('sig_str', '---'))),
+        'round_stats', transform(sequence(1, case when version=2 then 1 else n_rounds end), r -> named_struct(
+           'round', r, 'fighter1', {_corner_cells(1)}, 'fighter2', {_corner_cells(2)})),
+        'judges', transform(sequence(1, 3), j -> named_struct('judge', case when (o_orderkey+j)%7=0 then null else
+           'J' || cast((o_orderkey+j)%20 as string) end, 'score', cast(26+j as string) || ' - 28')))))"""
+    return rows.select(
+        (F.col("o_orderkey") * 10 + F.col("version")).alias("seq"),
+        "version",
+        F.expr(f"case when o_orderkey%101=0 then '{{\"url\": [' else to_json({event}) end").alias("payload"),
+    )
+
+
+# an upcoming card: neighbouring parts meet
+CARD_DATE = "2002-01-01"
+CARD = {
+    "bout_no": "cast(floor(p_partkey/2.0) as int)",
+    "slot": "cast(p_partkey%2 as int)",
+    "person": "case when p_partkey%11=0 then 'Nobody ' || cast(p_partkey as string) else p_name || ' ' || p_brand end",
+    "link": "case when p_partkey%11=0 then 'http://bouts.test/none' when p_partkey%5=0 then null else "
+            "'https://bouts.test/f/' || cast(p_partkey as string) || '/' end",
+}
+
+
 def exprs(table: dict[str, str], **fill) -> list:
     return [F.expr(e.format(**fill) if fill else e).alias(n) for n, e in table.items()]
 
@@ -253,6 +317,63 @@ class Bench:
     def snapshot(self) -> DataFrame:
         return self.raw("part").select(*exprs(SNAPSHOT))
 
+    @cached_property
+    def snapshot_pages(self) -> DataFrame:
+        """Fighter pages as a text map of scraped cells."""
+        cells = {"Sig. Strikes Landed": "landed", "Sig. Strikes Attempted": "attempted",
+                 "Sig. Str. LandedPer Min": "per_min", "Takedown Defense": "defense",
+                 "Average fight time": "avg_time", "ko/tko_percent": "defense", "ko/tko_count": "landed"}
+        pairs = [x for k, c in cells.items() for x in (F.lit(k), F.col(c))]
+        return self.snapshot.select("fighter_id", F.create_map(*pairs).alias("stats"))
+
+    @cached_property
+    def performance_stats(self) -> DataFrame:
+        return snapshots.performance_stats(self.snapshot_pages)
+
+    @cached_property
+    def card(self) -> DataFrame:
+        sides = self.raw("part").select(*exprs(CARD))
+
+        def of(slot, c):
+            return F.max(F.when(F.col("slot") == slot, F.col(c)))
+
+        bouts = sides.groupBy("bout_no").agg(
+            of(0, "person").alias("fighter_a_name"), of(0, "link").alias("fighter_a_url"),
+            of(1, "person").alias("fighter_b_name"), of(1, "link").alias("fighter_b_url"),
+        )
+        return bouts.withColumns({
+            "weight_class_raw": F.expr("case bout_no%3 when 0 then 'Lightweight' when 1 then "
+                                       "'UFC Heavyweight Title Bout' else null end"),
+            "is_main": F.expr("bout_no%50=0"),
+        })
+
+    @cached_property
+    def predictions(self) -> DataFrame:
+        """A logged prediction for every bout, naming its people by id, URL or name only."""
+        rows = self.fights.filter("fighter1_id <> fighter2_id").select(
+            "fight_id", *exprs(PICK, days=SPARK_DAYS))
+        for s in "ab":
+            who = self.fighters.select(F.col("fighter_id").alias(f"{s}_id"),
+                                       F.col("fighter_name").alias(f"fighter_{s}_name"),
+                                       F.col("fighter_url").alias(f"fighter_{s}_url"))
+            rows = rows.join(who, f"{s}_id")
+            rows = rows.withColumns({
+                f"fighter_{s}_id": F.expr(f"case when fight_id%5<2 then null else {s}_id end"),
+                f"fighter_{s}_url": F.expr(f"case when fight_id%5=0 then null else fighter_{s}_url end"),
+            })
+        return rows.withColumn("event_headline", F.lit("Card"))
+
+    def audit_tables(self) -> dict[str, DataFrame]:
+        return {
+            "events": self.events, "fighters": self.fighters, "fights": self.fights,
+            "fight_metadata": self.fight_metadata, "fight_totals": self.fight_totals,
+            "round_stats": self.round_stats, "judge_scores": self.judge_scores,
+            "fighter_bio": self.fighter_bio, "fighter_performance_stats": self.performance_stats,
+            "fighter_fight_features": self.features, "fight_facts": self.fight_facts,
+            "fighter_fight_facts": self.corner_facts, "fighter_round_facts": self.round_facts,
+            "fight_model_rows": self.model_rows, "fight_model_train": self.model_train,
+        }
+
     # -- derived layers ----------------------------------------------------
 
     @cached_property
