@@ -1,11 +1,18 @@
 """Every registered query: a Spark callable and, where SQL can say it, the checking SQL."""
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 import oracle as o
 from ringside.columns import DIFF_COLS, EXPECTED_RATES, FEATURE_COLS, LABEL_COLS, STAT_COLS, TREND_COLS, window_col
-from ringside.operators import audit, corners, model_rows
-from ringside.sources.binding import bench
+from ringside.functions import parse, scores
+from ringside.functions.scores import Eras
+from ringside.operators import audit, card, corners, history, ledger, model_rows, pages, views
+from ringside.plans import learn
+from ringside.session import cut
+from ringside.sources import payload
+from ringside.sources.binding import BOUT_DOC, CARD, CARD_DATE, PICK, bench, documents, exprs
 
 QUERIES = {}
 ORACLES = {}
@@ -288,3 +295,577 @@ audit_query("orientation_labels", "select orientation, y_a_win, count(*) as row_
             "model_train")
 audit_query("train_rows", "select count(*) as train_rows from model_train", "model_train")
 audit_query("train_wins", "select count(*) as train_wins from model_train where y_a_win = 1", "model_train")
+
+# -- ingestion --------------------------------------------------------------
+
+EMPTY_PEOPLE = "fighter_id long, fighter_name string, fighter_url string"
+
+
+_LOADED = {}
+
+
+def _two_loads(spark, d):
+    """First versions of all documents, then the repeated ones on top; loaded once per folder."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _LOADED:
+        docs = documents(bench(spark, d).raw("orders"))
+        nobody = spark.createDataFrame([], EMPTY_PEOPLE)
+        first, _, _ = payload.load_rows(docs.filter("version = 1"), nobody)
+        first = {n: cut(t, n) for n, t in first.items()}
+        again, _, _ = payload.load_rows(docs.filter("version = 2"), first["fighters"])
+        _LOADED[key] = payload.apply_load(first, {n: cut(t, n) for n, t in again.items()})
+    return _LOADED[key]
+
+
+o.cte("docs", [], f"select o_orderkey, version, {o.cols(BOUT_DOC)}, o_orderkey*10+version as seq from orders, "
+      "(values (1),(2)) t(version) where version = 1 or o_orderkey%10=3")
+o.cte("good_docs", ["docs"], "select * from docs where o_orderkey%101<>0 and o_orderkey%103<>0")
+o.cte("newest", ["good_docs"], "select * from good_docs g where version = (select max(version) from good_docs h where "
+      "h.o_orderkey = g.o_orderkey)")
+# people without a URL are the ones whose name nobody with a URL bears
+o.cte("people", ["good_docs"], "select distinct name1 as fighter_name, url1 as fighter_url from good_docs union "
+      "select distinct name2, url2 from good_docs where url2 is not null union select distinct name2, null from "
+      "good_docs where url2 is null and name2 not in (select name1 from good_docs union select name2 from good_docs "
+      "where url2 is not null)")
+
+register(
+    "ingest_fights",
+    lambda spark, d: _ingested_fights(_two_loads(spark, d)),
+    o.with_("select fight_url, event_url, weight_class, case when version=2 then 'Decision' else 'KO/TKO' end as method, "
+            "n_rounds as round, name1, name2, "
+            "case o_orderkey%6 when 0 then case when url2 is null then 'unknown' else 'decisive' end "
+            "when 1 then case when url2 is null then 'unknown' else 'decisive' end "
+            "when 2 then case when url2 is null then 'unknown' else 'draw' end "
+            "when 3 then case when url2 is null then 'unknown' else 'no_contest' end else 'unknown' end as outcome_type, "
+            "case when url2 is null then null when o_orderkey%6=0 then name1 when o_orderkey%6=1 then name2 end as winner "
+            "from newest where url2 is null or url1 <> url2", "newest"),
+)
+
+
+def _ingested_fights(t):
+    who = t["fighters"].select("fighter_id", "fighter_name")
+
+    def named(rows, key, name):
+        return rows.join(who.withColumnsRenamed({"fighter_id": key, "fighter_name": name}), key, "left")
+
+    rows = t["fights"].join(t["events"].select("event_id", "event_url"), "event_id")
+    rows = named(named(named(rows, "fighter1_id", "name1"), "fighter2_id", "name2"), "winner_id", "winner")
+    rows = rows.filter("fighter1_id <> fighter2_id")
+    return rows.select("fight_url", "event_url", "weight_class", "method", "round", "name1", "name2", "outcome_type", "winner")
+
+
+def _with_url(t, name):
+    return t[name].join(t["fights"].select("fight_id", "fight_url"), "fight_id").drop("fight_id")
+
+
+register(
+    "ingest_rounds",
+    lambda spark, d: _with_url(_two_loads(spark, d), "round_stats").select(
+        "fight_url", "round_number", "fighter1_kd", "fighter2_sig_str", "fighter1_ctrl"),
+    o.with_("select fight_url, r as round_number, cast((o_orderkey+r)%3 as string) as fighter1_kd, "
+            "cast((o_orderkey+r)%20 as string) || ' of ' || cast((o_orderkey+r)%20+2 as string) as fighter2_sig_str, "
+            "'0:' || lpad(cast((o_orderkey*r)%60 as string), 2, '0') as fighter1_ctrl from newest, "
+            "(select unnest(range(1,6)) as r) where r <= case when version=2 then 1 else n_rounds end", "newest"),
+)
+register(
+    "ingest_totals",
+    lambda spark, d: _with_url(_two_loads(spark, d), "fight_totals").select(
+        "fight_url", "fighter1_sig_str", "fighter2_sig_str", "fighter1_head"),
+    o.with_("select fight_url, cast(o_orderkey%40 as string) || ' of 50' as fighter1_sig_str, '---' as fighter2_sig_str, "
+            "cast(null as string) as fighter1_head from newest", "newest"),
+)
+register(
+    "ingest_judges",
+    lambda spark, d: _with_url(_two_loads(spark, d), "judge_scores"),
+    o.with_("select fight_url, 'J' || cast((o_orderkey+j)%20 as string) as judge_name, cast(26+j as string) || ' - 28' "
+            "as score from newest, (values (1),(2),(3)) t(j) where (o_orderkey+j)%7<>0", "newest"),
+)
+register(
+    "ingest_metadata",
+    lambda spark, d: _with_url(_two_loads(spark, d), "fight_metadata"),
+    o.with_("select fight_url, 'Bout' as page_title, 'doc' as source, fight_url as canonical_url, "
+            "'{\"url\":\"' || fight_url || '\",\"page_title\":\"Bout\",\"source\":\"doc\"}' as raw_metadata from newest",
+            "newest"),
+)
+register(
+    "ingest_events",
+    lambda spark, d: _two_loads(spark, d)["events"].drop("event_id"),
+    o.with_("select event_url, arg_max(headline, seq) as headline, date '1999-01-02' as event_date, 'Hall' as "
+            "event_location from (select * from good_docs where version=2 or event_url not in (select event_url from "
+            "good_docs where version=2)) group by 1", "good_docs"),
+)
+register(
+    "ingest_people",
+    lambda spark, d: _two_loads(spark, d)["fighters"].drop("fighter_id"),
+    o.with_("select * from people", "people"),
+)
+register(
+    "ingest_counts",
+    lambda spark, d: payload.load_rows(
+        documents(bench(spark, d).raw("orders")).filter("version = 1"), spark.createDataFrame([], EMPTY_PEOPLE))[2],
+    o.with_("""select 'events' as what, count(*) as n from g union all select 'fights', count(*) from g
+     union all select 'fighters', 2*count(*) from g
+     union all select 'distinct_fighters', count(*) from (select name1, url1 from g union select name2, url2 from g)
+     union all select 'round_stats', cast(sum(n_rounds) as bigint) from g
+     union all select 'judge_scores', count(*) from g, (values (1),(2),(3)) t(j) where (o_orderkey+j)%7<>0""".replace(
+         "from g", "from (select * from good_docs where version=1) g"), "good_docs"),
+)
+register(
+    "ingest_set_aside",
+    lambda spark, d: payload.read_documents(documents(bench(spark, d).raw("orders")))[1].select("seq"),
+    o.with_("select seq from docs where o_orderkey%101=0 or o_orderkey%103=0", "docs"),
+)
+_first_number = "try_cast(nullif(regexp_extract(replace({0}, ',', ''), '(-?[0-9]+)', 1), '') as int)"
+_first_decimal = "try_cast(nullif(regexp_extract({0}, '(-?[0-9]+([.][0-9]+)?)', 1), '') as double)"
+register(
+    "snapshot_stats",
+    lambda spark, d: bench(spark, d).performance_stats.select(
+        "fighter_id", "sig_strikes_landed", "sig_strikes_attempted", "sig_strikes_landed_per_min", "takedown_defense",
+        "average_fight_time", "ko_percent", "ko_count", "takedowns_landed"),
+    o.with_(f"select fighter_id, {_first_number.format('landed')} as sig_strikes_landed, "
+            f"{_first_number.format('attempted')} as sig_strikes_attempted, "
+            f"{_first_decimal.format('per_min')} as sig_strikes_landed_per_min, "
+            f"{_first_decimal.format('defense')} as takedown_defense, "
+            "case len(string_split(avg_time, ':')) when 2 then cast(split_part(avg_time,':',1) as double)*60+"
+            "cast(split_part(avg_time,':',2) as double) when 3 then 3600+120+cast(split_part(avg_time,':',3) as double) "
+            f"else {_first_decimal.format('avg_time')} end as average_fight_time, "
+            f"{_first_decimal.format('defense')} as ko_percent, {_first_number.format('landed')} as ko_count, "
+            "cast(null as int) as takedowns_landed from snapshot", "snapshot"),
+)
+register(
+    "event_props",
+    lambda spark, d: bench(spark, d).raw("events").select(
+        "event_id", parse.json_or_null(F.col("props"), "k int")["k"].alias("k")),
+    "select event_id, cast(json_extract(props, '$.k') as int) as k from events",
+)
+
+# -- ledger -----------------------------------------------------------------
+
+NOW = "2002-01-01 00:00:00"
+LEDGER_SHOWN = ["event_url", "event_date", "fighter_a_name", "fighter_b_name", "fighter_a_id", "pick", "is_tossup",
+                "is_high_conf_66", "p_a", "fight_id", "outcome_type", "winner_side", "pick_correct"]
+
+
+def _ledger(spark, d):
+    b = bench(spark, d)
+    empty = spark.createDataFrame([], ledger.LEDGER_SCHEMA)
+    done = ledger.completed_fights(b.fights, b.events, b.fighters)
+    return ledger.run_cycle(empty, b.predictions, done, F.lit(NOW).cast("timestamp"))
+
+
+_pick_cols = ("case when fight_id%5<2 or {s}_id=0 then null else {s}_id end as {s}id, case when fight_id%5=0 then null else "
+              "w{s}.fighter_url end as {s}url, w{s}.fighter_name as {s}name")
+o.cte("picks", ["fights", "fighters"], f"select fight_id as src, replace(rtrim(event_url, '/'), 'https://', 'http://') as "
+      f"event_url, event_date, p_a, {_pick_cols.format(s='a')}, {_pick_cols.format(s='b')} from "
+      f"(select fight_id, {o.cols(PICK, days=o.DAYS)} from fights where fighter1_id <> fighter2_id) "
+      "join fighters wa on wa.fighter_id = a_id join fighters wb on wb.fighter_id = b_id")
+o.cte("keyed", ["picks"], "select *, coalesce(event_url,'') || '|' || coalesce(cast(event_date as string), '0001-01-01') "
+      "|| '|' || least(coalesce(aurl, aname), coalesce(burl, bname)) || '|' || "
+      "greatest(coalesce(aurl, aname), coalesce(burl, bname)) as k from picks")
+# one pick per pairing: the largest p_a of a load
+o.cte("logged", ["keyed"], "select * from (select *, row_number() over (partition by k order by p_a desc) as r, "
+      "round(p_a*100, 1) as pct from keyed) where r = 1")
+o.cte("named_fights", ["fights", "fighters", "bevents"], "select f.*, e.event_url, w1.fighter_url as u1, w2.fighter_url as u2, "
+      "w1.fighter_name as n1, w2.fighter_name as n2 from (select * exclude (event_date) from fights) f join bevents e using (event_id) "
+      "left join fighters w1 on w1.fighter_id = fighter1_id left join fighters w2 on w2.fighter_id = fighter2_id")
+
+
+def _is(s, n):
+    return (f"(coalesce(l.{s}id = f.fighter{n}_id, false) or coalesce(l.{s}url = f.u{n}, false) or l.{s}name = f.n{n})")
+
+
+o.cte("matches", ["logged", "named_fights", "bevents"], "select l.k, min(f.fight_id) as fight_id from (select l.*, e.event_id from logged l "
+      "join bevents e on e.event_date = l.event_date union select l.*, e.event_id from logged l join bevents e on "
+      f"e.event_url = l.event_url) l join named_fights f on f.event_id = l.event_id where ({_is('a', 1)} and {_is('b', 2)}) or "
+      f"({_is('a', 2)} and {_is('b', 1)}) group by 1")
+_side = ("case when f.outcome_type <> 'decisive' or f.winner_id is null then null when l.aid = f.winner_id then 'A' "
+         "when l.bid = f.winner_id then 'B' "
+         + " ".join(f"when f.fighter{n}_id = f.winner_id and {_is(s, n)} then '{s.upper()}'"
+                    for n in (1, 2) for s in "ab") + " end")
+o.cte("scored", ["logged", "matches", "named_fights"], "select l.*, case when pct = 50 then 'TOSSUP' when pct > 50 then 'A' else 'B' "
+      f"end as pick, pct = 50 as tossup, pct <> 50 and (pct >= 66 or pct <= 34) as high, f.fight_id, f.outcome_type, {_side} as side "
+      "from logged l left join matches m on m.k = l.k left join named_fights f on f.fight_id = m.fight_id")
+_correct = "case when side is not null and pick in ('A','B') then pick = side end"
+register(
+    "pick_ledger",
+    lambda spark, d: rounded(_ledger(spark, d)[0].select(*LEDGER_SHOWN)),
+    o.with_(f"select event_url, event_date, aname as fighter_a_name, bname as fighter_b_name, aid as fighter_a_id, pick, "
+            f"tossup as is_tossup, high as is_high_conf_66, {o.r6('p_a')} as p_a, fight_id, outcome_type, side as "
+            f"winner_side, {_correct} as pick_correct from scored", "scored"),
+)
+register(
+    "pick_ledger_summary",
+    lambda spark, d: _ledger(spark, d)[1],
+    o.with_("select count(*) as n_logged, count(*) filter (where fight_id is null) as n_pending, "
+            "count(*) filter (where tossup) as n_tossup, count(*) filter (where tossup and fight_id is not null) as "
+            f"n_tossup_scored, count({_correct}) as n_picks_scored, count(*) filter (where {_correct}) as n_correct, "
+            f"count({_correct}) filter (where high) as n_high_scored, count(*) filter (where high and {_correct}) as "
+            "n_high_correct, count(*) filter (where outcome_type in ('draw','no_contest')) as n_void from scored", "scored"),
+)
+
+# -- upcoming card ----------------------------------------------------------
+
+
+def _card(spark, d):
+    b = bench(spark, d)
+    return card.resolve_card(b.card, b.fighters)
+
+
+o.cte("card_sides", [], f"select {o.cols(CARD)}, p_partkey from part")
+o.cte("resolved", ["card_sides", "fighters"], "select c.*, coalesce(u.fighter_id, n.id, -(1000 + 2*bout_no + slot)) as fighter_id, "
+      "u.fighter_id is null and n.id is null as missing from card_sides c left join fighters u on "
+      "rtrim(replace(c.link, 'https:', 'http:'), '/') = u.fighter_url left join (select lower(fighter_name) as k, "
+      "min(fighter_id) as id from fighters group by 1 having count(*) = 1) n on n.k = lower(c.person)")
+_klass = ("case a.bout_no%3 when 0 then 'Lightweight' when 1 then 'Heavyweight' end as weight_class_norm, "
+          "a.bout_no%3 = 1 as is_title, case when a.bout_no%50=0 or a.bout_no%3=1 then 5 else 3 end as scheduled_rounds")
+register(
+    "card_resolution",
+    lambda spark, d: _card(spark, d).select(
+        "bout_no", "fighter_a_id", "fighter_b_id", "a_missing", "b_missing", "weight_class_norm", "is_title",
+        "scheduled_rounds"),
+    o.with_(f"select a.bout_no, a.fighter_id as fighter_a_id, b.fighter_id as fighter_b_id, a.missing as a_missing, "
+            f"b.missing as b_missing, {_klass} from resolved a join resolved b using (bout_no) where a.slot=0 and b.slot=1",
+            "resolved"),
+)
+_card_aggs = {
+    "career_fights_count": "count(*) filter (where p.is_valid_for_stats)",
+    "career_wins": "count(*) filter (where p.result = 'W')",
+    "days_since_last_fight": f"datediff('day', max(p.event_date), date '{CARD_DATE}')",
+    "fights_in_last_18mo": f"count(*) filter (where p.event_date >= date '{CARD_DATE}' - 540)",
+    "career_sig_str_landed_avg": "avg(p.sig_str_landed) filter (where p.is_valid_for_stats)",
+    "career_pace_avg": "avg(p.pace) filter (where p.is_valid_for_stats)",
+    "career_avg_opp_win_pct": "avg(p.opp_asof_win_pct)",
+    "last5_avg_opp_win_pct": "avg(p.opp_asof_win_pct) filter (where p.back <= 5)",
+    "debut_flag": "count(p.fight_id) = 0",
+}
+_card_exact = {"career_fights_count", "career_wins", "days_since_last_fight", "fights_in_last_18mo", "debut_flag"}
+
+
+def _card_features(spark, d):
+    b = bench(spark, d)
+    return card.card_features(
+        history.load_history(b.corner_facts), _card(spark, d), F.lit(CARD_DATE).cast("date"))
+
+
+register(
+    "card_features",
+    lambda spark, d: rounded(_card_features(spark, d).select("fighter_id", "fight_id", *_card_aggs)),
+    o.with_("select r.fighter_id, -(r.bout_no+1) as fight_id, " + ", ".join(
+        f"{e if n in _card_exact else o.r6(e)} as {n}" for n, e in _card_aggs.items())
+        + " from resolved r left join (select h.*, m.opp_asof_win_pct, row_number() over (partition by h.fighter_id "
+        "order by h.rn desc) as back from history h join met m on m.fighter_id = h.fighter_id and m.fight_id = h.fight_id) p "
+        "on p.fighter_id = r.fighter_id group by r.fighter_id, r.bout_no, r.slot", "resolved", "history", "met"),
+)
+
+
+def _pseudo(rows, k=37):
+    """A stand-in score that SQL can repeat: a hash of bout and orientation."""
+    turn = F.when(F.col("orientation") == "page", 11).otherwise(5)
+    return rows.withColumn("p", ((F.col("fight_id") * k + turn) % 1000) / 1000.0)
+
+
+def _pseudo_sql(k=37):
+    return f"((fight_id*{k} + case when orientation='page' then 11 else 5 end)%1000)/1000.0"
+
+
+register(
+    "symmetric_probability",
+    lambda spark, d: rounded(card.symmetric(
+        _pseudo(bench(spark, d).model_train).select(
+            "fight_id", "orientation", "p", F.col("y_a_pace").alias("slpm"), (F.col("y_a_td_diff")).alias("td"),
+            F.col("y_a_ctrl_diff").alias("ctrl")))),
+    o.with_(f"select fight_id, {o.r6('0.5*(p.p + 1 - s.p)')} as p_a, {o.r6('1 - 0.5*(p.p + 1 - s.p)')} as p_b, "
+            + ", ".join(f"{o.r6(e)} as {n}" for n, e in (
+                ("slpm_a", "p.y_a_pace"), ("slpm_b", "s.y_a_pace"),
+                ("td_a", "case when p.y_a_td_diff is not null then greatest(p.y_a_td_diff,0) end"),
+                ("td_b", "case when s.y_a_td_diff is not null then greatest(s.y_a_td_diff,0) end"),
+                ("ctrl_a", "case when p.y_a_ctrl_diff is not null then greatest(p.y_a_ctrl_diff,0) end"),
+                ("ctrl_b", "case when s.y_a_ctrl_diff is not null then greatest(s.y_a_ctrl_diff,0) end")))
+            + f" from (select *, {_pseudo_sql()} as p from model_train where orientation='page') p join (select *, {_pseudo_sql()} as p "
+            "from model_train where orientation='swapped') s using (fight_id)", "model_train"),
+)
+
+# -- scores and views -------------------------------------------------------
+
+ERAS = Eras(date(1996, 1, 1), date(2000, 1, 1), date(2001, 1, 1))
+_era_sql = ("case when event_date < date '1996-01-01' then 'pre-fit' when event_date < date '2000-01-01' then 'FIT' "
+            "when event_date < date '2001-01-01' then 'VAL' else 'TEST' end")
+_q = "least(greatest(p,1e-6),1-1e-6)"
+_loss = f"avg(-case when y=1 then ln({_q}) else ln(1-{_q}) end)"
+_acc = "avg(case when (p>=0.5) = (y=1) then 1.0 else 0.0 end)"
+_brier = f"avg(({_q}-y)*({_q}-y))"
+
+
+def _labelled(era=None, k=37, page=True):
+    cond = ["y_a_win is not null"] + (["orientation='page'"] if page else [])
+    if era:
+        cond.append(f"{_era_sql} = '{era}'")
+    return f"(select *, y_a_win as y, {_pseudo_sql(k)} as p from model_train where {' and '.join(cond)})"
+
+
+def _scores_sql(src):
+    return (f"count(*) as n, {o.r6(_loss)} as logloss, {o.r6(_acc)} as acc, {o.r6(_brier)} as brier, "
+            "count(*) filter (where sure) as n_conf, "
+            f"case when count(*) filter (where sure) >= 20 then {o.r6(_acc + ' filter (where sure)')} end as acc_conf, "
+            "count(*) filter (where high) as n_66, "
+            f"case when count(*) filter (where high) >= 10 then {o.r6(_acc + ' filter (where high)')} end as acc_66 from "
+            f"(select *, abs({_q}-0.5) >= 0.1 as sure, {_q} >= 0.66 or {_q} <= 1-0.66 as high from {src})")
+
+
+register(
+    "win_scores",
+    lambda spark, d: rounded(scores.win_scores(_pseudo(ERAS.slice(bench(spark, d).model_train, "TEST")))),
+    o.with_(f"select {_scores_sql(_labelled('TEST'))}", "model_train"),
+)
+_vet = ("not a_debut_flag and not b_debut_flag and a_career_fights_count >= 5 and b_career_fights_count >= 5")
+register(
+    "win_baselines",
+    lambda spark, d: rounded(scores.win_baselines(_pseudo(ERAS.slice(bench(spark, d).model_train, "TEST")))),
+    o.with_("select count(*) as n_test, " + ", ".join(f"{o.r6(e)} as {n}" for n, e in (
+        ("coin_logloss", "-ln(0.5)"), ("fav_logloss", "avg(-case when y=1 then ln(fav) else ln(1-fav) end)"),
+        ("fav_acc", "avg(case when y = (fav=0.62)::int then 1.0 else 0.0 end)"),
+        ("logloss", _loss), ("acc", _acc), ("brier", _brier),
+        ("veteran_logloss", _loss + " filter (where vet)"), ("veteran_acc", _acc + " filter (where vet)")))
+        + ", count(*) filter (where vet) as veteran_n from (select *, case when a_career_win_pct is null or b_career_win_pct is null "
+        f"then 0.5 when a_career_win_pct > b_career_win_pct then 0.62 else 0.38 end as fav, {_vet} as vet from "
+        f"{_labelled('TEST')})", "model_train"),
+)
+_bins = "case " + " ".join(f"when {_q} >= {lo} and {_q} < {hi} then {lo}::double" for lo, hi in zip(scores.EDGES, scores.EDGES[1:])) + " end"
+register(
+    "calibration",
+    lambda spark, d: rounded(scores.calibration(_pseudo(scores.page_only(ERAS.slice(bench(spark, d).model_train, "TEST"))))),
+    o.with_(f"select {o.r6(_bins)} as bin_low, count(*) as n, {o.r6(f'avg({_q})')} as mean_pred, {o.r6('avg(y)')} as actual from "
+            f"{_labelled('TEST')} group by {_bins}", "model_train"),
+)
+register(
+    "era_summary",
+    lambda spark, d: scores.era_summary(bench(spark, d).model_train, ERAS),
+    o.with_(f"select {_era_sql} as era, count(*) as n_rows, count(distinct fight_id) as n_fights, min(event_date) as first_date, "
+            "max(event_date) as last_date from model_train group by 1", "model_train"),
+)
+register(
+    "sample_weights",
+    lambda spark, d: bench(spark, d).model_train.select(
+        "fight_id", "orientation", scores.sample_weight(bench(spark, d).model_train).alias("weight"),
+        scores.both_veterans(bench(spark, d).model_train).alias("veterans")),
+    o.with_("select fight_id, orientation, case when a_debut_flag or b_debut_flag then 0.35 when "
+            "least(a_career_fights_count, b_career_fights_count) < 5 or a_career_n_opp_known = 0 then 0.55 else 1.0 "
+            f"end::double as weight, {_vet} as veterans from model_train", "model_train"),
+)
+register(
+    "baseline_error",
+    lambda spark, d: _baseline_error(bench(spark, d).model_train),
+    o.with_(f"select count(*) as n, {o.r6('avg(abs(y_a_td_landed - p*4))')} as mae, "
+            f"{o.r6('avg(abs(y_a_td_landed - coalesce(a_career_td_landed_avg, (select quantile_cont(y_a_td_landed, 0.5) from model_train where ' + _era_sql + chr(61) + chr(39) + 'FIT' + chr(39) + '))))')} "
+            f"as baseline_mae from (select *, {_pseudo_sql()} as p from model_train where orientation='page' and {_era_sql}='TEST' "
+            "and y_a_td_landed is not null)", "model_train"),
+)
+
+
+def _baseline_error(train):
+    fill = scores.exact_percentile(ERAS.slice(train, "FIT"), F.col("y_a_td_landed"), 0.5)
+    test = _pseudo(scores.page_only(ERAS.slice(train, "TEST"))).withColumn("guess", F.col("p") * 4)
+    return rounded(scores.absolute_error(test, "guess", "y_a_td_landed", "a_career_td_landed_avg", fill or 0.0))
+
+
+_page = "(select *, year(event_date) as year from model_train where orientation='page')"
+register(
+    "view_bouts_per_year",
+    lambda spark, d: views.bouts_per_year(bench(spark, d).model_train, ERAS),
+    o.with_(f"select year, count(*) as fights, case when year < 1996 then 'pre-fit' when year < 2000 then 'FIT' when year < 2001 "
+            f"then 'VAL' else 'TEST' end as era from {_page} group by 1", "model_train"),
+)
+o.cte("yearly", ["model_train"], "select year(event_date) as year, avg(y_a_win) filter (where orientation='page') as page_rate, "
+      "count(*) filter (where orientation='page') as page_n, avg(y_a_win) as pooled_rate from model_train where y_a_win is not null group by 1")
+register(
+    "view_slot_a_win_rate",
+    lambda spark, d: rounded(views.slot_a_win_rate(bench(spark, d).model_train)),
+    o.with_(f"select year, {o.r6('page_rate')} as page_rate, page_n, {o.r6('pooled_rate')} as pooled_rate from yearly", "yearly"),
+)
+register(
+    "view_slot_a_spans",
+    lambda spark, d: rounded(views.slot_a_win_rate_spans(bench(spark, d).model_train, 1998, 1999)),
+    o.with_(f"select {o.r6('avg(page_rate) filter (where year < 1998)')} as page_early, "
+            f"{o.r6('avg(page_rate) filter (where year >= 1999)')} as page_late, "
+            f"{o.r6('avg(pooled_rate) filter (where year >= 1999)')} as pooled_late from yearly", "yearly"),
+)
+_null_sql = " union all ".join(
+    f"select year, '{c}' as measure, {o.r6(f'100.0*avg(case when {c} is null then 1 else 0 end)')} as percent from {_page} group by 1"
+    for c in views.MISSING_COLS
+) + f" union all select year, 'debut_a', {o.r6('100.0*avg(a_debut_flag::int)')} from {_page} group by 1"
+register(
+    "view_null_rates",
+    lambda spark, d: rounded(views.null_rates(bench(spark, d).model_train)),
+    o.with_(_null_sql, "model_train"),
+)
+register(
+    "view_career_and_form",
+    lambda spark, d: rounded(views.career_and_form(bench(spark, d).model_train, ERAS)),
+    o.with_(f"select {o.r6('corr(x, z)')} as r, count(*) as n, count(*) filter (where y_a_win=1) as n_won, "
+            f"count(*) filter (where y_a_win=0) as n_lost, (select {o.r6('least(greatest(quantile_cont(v, 0.99), 8.0), 12.0)')} from "
+            "(select x as v from f union all select z from f)) as axis_limit from f".replace(
+                "from f", "from (select a_career_sig_str_landed_pm_avg as x, a_last5_sig_str_landed_pm_avg as z, y_a_win from "
+                "model_train where orientation='page' and event_date >= date '1996-01-01' and not a_debut_flag and not "
+                "a_used_career_fallback_last5 and a_career_sig_str_landed_pm_avg is not null and "
+                "a_last5_sig_str_landed_pm_avg is not null and y_a_win is not null)"), "model_train"),
+)
+register(
+    "view_expected_and_actual",
+    lambda spark, d: rounded(views.expected_and_actual(bench(spark, d).model_train, ERAS)),
+    o.with_("select " + ", ".join(f"{o.r6(e)} as {n}" for n, e in (
+        ("slope", "regr_slope(y, x)"), ("intercept", "regr_intercept(y, x)"), ("r", "corr(x, y)"),
+        ("x_p01", "quantile_cont(x, 0.01)"), ("x_p99", "quantile_cont(x, 0.99)"), ("x_p995", "quantile_cont(x, 0.995)"),
+        ("y_p995", "quantile_cont(y, 0.995)"))) + ", count(*) as n from (select prod_expected_td_pm as x, y_a_td_landed as y "
+        "from model_train where orientation='page' and event_date >= date '1996-01-01' and prod_expected_td_pm is not null "
+        "and y_a_td_landed is not null)", "model_train"),
+)
+register(
+    "view_score_histogram",
+    lambda spark, d: views.score_histogram(_pseudo(scores.page_only(ERAS.slice(bench(spark, d).model_train, "TEST")))),
+    o.with_(f"select cast(least(floor((q - lo) / ((hi - lo)/20)), 19) as int) as bin, count(*) as n from (select q, min(q) over () as lo, "
+            f"max(q) over () as hi from (select {_q} as q from (select {_pseudo_sql()} as p from model_train where orientation='page' "
+            f"and {_era_sql}='TEST'))) group by 1", "model_train"),
+)
+
+
+def _shapes(train):
+    rows = _pseudo(ERAS.slice(train, "TEST"))
+    return rows.withColumns({"stack_a_slpm": F.col("p") * 10, "stack_a_td": F.col("p") * 4 - 1, "stack_a_ctrl": F.col("p") * 300})
+
+
+def _shape_sql(name, pred, actual, base):
+    return (f"select '{name}' as target, count(*) as n, {o.r6(f'avg(abs({actual} - {pred}))')} as mae, "
+            f"{o.r6(f'avg(abs({actual} - coalesce({base}, med)))')} as baseline_mae from (select *, "
+            f"(select quantile_cont({base}, 0.5) from t0 where {actual} is not null) as med from t0 where {actual} is not null)")
+
+
+o.cte("t0", ["model_train"], f"select *, {_pseudo_sql()} as p from model_train where orientation='page' and {_era_sql}='TEST'")
+register(
+    "view_shape_errors",
+    lambda spark, d: rounded(views.shape_errors(_shapes(bench(spark, d).model_train))),
+    o.with_(" union all ".join([
+        _shape_sql("slpm", "p*10", "y_a_sig_str_landed_pm", "a_career_sig_str_landed_pm_avg"),
+        _shape_sql("td", "greatest(p*4-1, 0)", "y_a_td_landed", "a_career_td_landed_avg"),
+        _shape_sql("ctrl", "greatest(p*300, 0)", "y_a_ctrl_seconds", "a_career_ctrl_seconds_avg")]), "t0"),
+)
+RECIPES = {"baseline": 37, "drop_last3": 41, "drop_bio": 53, "add_td_products (+4)": 61}
+
+
+def _recipe_results(train):
+    out = None
+    for name, k in RECIPES.items():
+        parts = []
+        for era in ("VAL", "TEST"):
+            s = scores.win_scores(_pseudo(ERAS.slice(train, era), k))
+            parts.append(s.select(*[F.col(c).alias(f"{era.lower()}_{c}") for c in ("logloss", "acc")]))
+        both = parts[0].unionByName(parts[1], allowMissingColumns=True).agg(
+            *[F.max(f"{e}_{c}").alias(f"{e}_{c}") for e in ("val", "test") for c in ("logloss", "acc")])
+        row = both.select(F.lit(name).alias("recipe"), F.lit(k).alias("n_features"), "*")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+_recipe_sql = " union all ".join(
+    f"select '{name}' as recipe, {k} as n_features, v.ll as val_logloss, v.acc as val_acc, t.ll as test_logloss, t.acc as test_acc "
+    f"from (select {_loss} as ll, {_acc} as acc from {_labelled('VAL', k)}) v, (select {_loss} as ll, {_acc} as acc from "
+    f"{_labelled('TEST', k)}) t" for name, k in RECIPES.items())
+o.cte("recipes", ["model_train"], _recipe_sql)
+register(
+    "view_ablation",
+    lambda spark, d: rounded(views.ablation_comparison(_recipe_results(bench(spark, d).model_train))),
+    o.with_("select case recipe when 'baseline' then 'baseline (stacked win)' when 'drop_last3' then 'drop last-3' when 'drop_bio' "
+            "then 'drop height/reach' else 'add TD matchup products' end as label, n_features, "
+            + ", ".join(f"{o.r6(c)} as {c}" for c in ("val_logloss", "val_acc", "test_logloss", "test_acc"))
+            + f", {o.r6('test_logloss - b')} as delta_test_logloss, test_logloss < b as better_logloss, test_acc > a as better_acc from "
+            "recipes, (select test_logloss as b, test_acc as a from recipes where recipe='baseline')", "recipes"),
+)
+
+# -- stored pages -----------------------------------------------------------
+
+_n = lambda pat: f"len(regexp_extract_all(html, '{pat}'))"
+register(
+    "page_tables",
+    lambda spark, d: pages.table_profile(bench(spark, d).raw("pages")),
+    f"select page_id, {_n('(?i)<table[^>]*>')} as n_tables, {_n('(?i)<table>')} as n_classless_tables, {_n('(?i)<tr[ >]')} as n_rows, "
+    f"{_n('(?i)<th[ >]')} as n_header_cells, {_n('(?i)<td[ >]')} as n_data_cells, {_n('(?i)<section[ >]')} as n_sections from pages",
+)
+_strip = "trim(regexp_replace(regexp_replace({0}, '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g'))"
+register(
+    "page_links",
+    lambda spark, d: pages.links(bench(spark, d).raw("pages")),
+    "select page_id, i - 1 as link_no, " + _strip.format("regexp_extract(a, '(?is)<a\\b([^>]*)>(.*?)</a>', 2)") + " as text, "
+    "nullif(regexp_extract(a, '(?i)^<a\\b[^>]*href\\s*=\\s*\"([^\"]*)\"', 1), '') as href, "
+    "nullif(regexp_extract(a, '(?i)^<a\\b[^>]*class\\s*=\\s*\"([^\"]*)\"', 1), '') as link_class "
+    "from (select page_id, unnest(l) as a, cast(unnest(range(1, len(l)+1)) as int) as i from (select page_id, "
+    "regexp_extract_all(html, '(?is)<a\\b([^>]*)>(.*?)</a>') as l from pages))",
+)
+register(
+    "page_status_nodes",
+    lambda spark, d: pages.status_nodes(bench(spark, d).raw("pages")),
+    "select page_id, lower(trim(t)) as status, count(*) as n from (select page_id, unnest(regexp_split_to_array(html, '<[^>]*>')) as t "
+    "from pages) where lower(trim(t)) in ('w','l','d','nc') group by 1, 2",
+)
+register(
+    "page_headings",
+    lambda spark, d: pages.headings(bench(spark, d).raw("pages")),
+    "select page_id, i - 1 as heading_no, " + _strip.format("h") + " as heading from (select page_id, unnest(l) as h, "
+    "cast(unnest(range(1, len(l)+1)) as int) as i from (select page_id, regexp_extract_all(html, "
+    "'(?is)<h[23]\\b[^>]*>(.*?)</h[23]>', 1) as l from pages))",
+)
+register(
+    "corner_checks",
+    lambda spark, d: pages.corner_check_counts(pages.corner_checks(_doc_corners(spark, d))),
+    o.with_("select count(*) filter (where a) as people_passed, count(*) filter (where not a) as people_failed, "
+            "count(*) filter (where r) as results_passed, count(*) filter (where not r) as results_failed from (select "
+            "coalesce(name1 <> name2 and url1 <> url2 and name2 <> '', false) as a, coalesce(url1 <> url2 and "
+            "status1 is not null, false) as r from docs where version=1 and o_orderkey%101<>0)", "docs"),
+)
+
+
+def _doc_corners(spark, d):
+    orders = bench(spark, d).raw("orders").filter("o_orderkey%101<>0")
+    rows = orders.select("o_orderkey", *exprs(BOUT_DOC))
+    result = F.expr("map_filter(map(url1, status1, coalesce(nullif(url2, url1), 'none'), status2), (k, v) -> v is not null)")
+    return rows.select("fight_url", "name1", "url1", "name2", "url2", result.alias("result"))
+
+# -- models (no SQL says a boosted tree; rows only) -------------------------
+
+SMALL = learn.Boost(trees=3, depth=3)
+_LEARN_COLS = ["weight_class_norm", "is_title", *[f"diff_{c}" for c in DIFF_COLS]]
+
+
+def _slices(spark, d):
+    train = bench(spark, d).model_train
+    return [ERAS.slice(train, e) for e in ("FIT", "VAL", "TEST")]
+
+
+def _win_model(spark, d):
+    fit, val, test = _slices(spark, d)
+    model = learn.fit(fit, _LEARN_COLS, "y_a_win", SMALL, val=val, kind="win")
+    return scores.win_baselines(model.predict(scores.page_only(test)))
+
+
+def _stat_model(spark, d):
+    fit, val, test = _slices(spark, d)
+    return learn.stat_scores(fit, val, test, _LEARN_COLS, "y_a_td_landed", "a_career_td_landed_avg", SMALL)[1]
+
+
+def _walk_forward(spark, d):
+    return learn.walk_forward(_slices(spark, d)[0], _LEARN_COLS, "y_a_td_landed", SMALL)
+
+
+register("win_model", lambda spark, d: rounded(_win_model(spark, d)))
+register("stat_model", lambda spark, d: rounded(_stat_model(spark, d)))
+register("walk_forward", lambda spark, d: rounded(_walk_forward(spark, d)))
+register(
+    "stacked_columns",
+    lambda spark, d: rounded(learn.with_stack(
+        bench(spark, d).model_train.select("fight_id", "orientation"),
+        _pseudo(bench(spark, d).model_train).select("fight_id", "orientation", F.col("p").alias("slpm"),
+                                                    (F.col("p") * 2).alias("td"), (F.col("p") * 3).alias("ctrl")))),
+    o.with_("select a.fight_id, a.orientation, " + ", ".join(
+        f"{o.r6(f'a.p*{i}')} as stack_a_{n}, {o.r6(f'b.p*{i}')} as stack_b_{n}, {o.r6(f'a.p*{i} - b.p*{i}')} as stack_diff_{n}"
+        for i, n in ((1, "slpm"), (2, "td"), (3, "ctrl")))
+        + f" from (select *, {_pseudo_sql()} as p from model_train) a join (select *, {_pseudo_sql()} as p from model_train) b "
+        "on a.fight_id = b.fight_id and a.orientation <> b.orientation", "model_train"),
+)

@@ -72,7 +72,7 @@ def both_veterans(rows: DataFrame) -> Column:
 
 
 def clipped(p: Column) -> Column:
-    return F.least(F.greatest(p, F.lit(CLIP)), F.lit(1 - CLIP))
+    return F.when(p.isNotNull(), F.least(F.greatest(p, F.lit(CLIP)), F.lit(1 - CLIP)))
 
 
 def log_loss(y: Column, p: Column) -> Column:

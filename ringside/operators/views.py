@@ -25,12 +25,15 @@ RECIPE_LABELS = {
     "drop_opp_sos": "drop opponent / SOS",
     "drop_bio": "drop height/reach",
 }
-YEAR = F.year("event_date").alias("year")
+
+
+def _year():
+    return F.year("event_date").alias("year")
 
 
 def bouts_per_year(train: DataFrame, eras: Eras) -> DataFrame:
     first = F.make_date("year", F.lit(1), F.lit(1))
-    counts = page_only(train).groupBy(YEAR).agg(F.count(F.lit(1)).alias("fights"))
+    counts = page_only(train).groupBy(_year()).agg(F.count(F.lit(1)).alias("fights"))
     return counts.withColumn("era", eras.name(first))
 
 
@@ -38,7 +41,7 @@ def slot_a_win_rate(train: DataFrame) -> DataFrame:
     """Share of slot-A wins per year, page order against both orders pooled."""
     y = F.col("y_a_win").cast("double")
     page = F.col("orientation") == "page"
-    return train.filter("y_a_win is not null").groupBy(YEAR).agg(
+    return train.filter("y_a_win is not null").groupBy(_year()).agg(
         F.avg(F.when(page, y)).alias("page_rate"),
         F.count_if(page).alias("page_n"),
         F.avg(y).alias("pooled_rate"),
@@ -60,7 +63,7 @@ def null_rates(train: DataFrame) -> DataFrame:
     """Percent of page rows without each column per year, plus the debut share; long form."""
     pct = [(100.0 * F.avg(F.col(c).isNull().cast("double"))).alias(c) for c in MISSING_COLS if c in train.columns]
     debut = F.coalesce(F.col("a_debut_flag"), F.lit(False)).cast("double")
-    wide = page_only(train).groupBy(YEAR).agg(*pct, (100.0 * F.avg(debut)).alias("debut_a"))
+    wide = page_only(train).groupBy(_year()).agg(*pct, (100.0 * F.avg(debut)).alias("debut_a"))
     values = [c for c in wide.columns if c != "year"]
     return wide.unpivot(["year"], values, "measure", "percent")
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ringside.functions import measures as m
 from ringside.operators.upsert import latest, replace_group, upsert
+from ringside.session import cut
 
 _CORNER = "struct<name:string,url:string,fighter_name:string,fighter_url:string>"
 _TOTAL = "struct<" + ",".join(
@@ -211,8 +212,10 @@ def fight_rows(fights: DataFrame, people: DataFrame) -> DataFrame:
 def load_rows(docs: DataFrame, fighters: DataFrame) -> tuple[dict[str, DataFrame], DataFrame, DataFrame]:
     """(rows per table, documents set aside, counters) of one load; nothing is written."""
     good, aside = read_documents(docs)
+    good = cut(good, "documents")  # parsed once, read by every child relation
     batch = Batch.of(good)
-    people = resolve_people(batch.people(), fighters)
+    batch.fights = cut(batch.fights, "document-bouts")
+    people = cut(resolve_people(batch.people(), fighters), "people")
     by_bout = {"metadata": batch.metadata(), "totals": batch.totals(), "rounds": batch.rounds(),
                "judges": batch.judges()}
     keyed = {n: d.select(surrogate("fight_url").alias("fight_id"), *[c for c in d.columns if c != "fight_url"])
