@@ -412,15 +412,31 @@ def own_features(rows: DataFrame) -> DataFrame:
     return flat.withColumns(second)
 
 
+def own_record(rows: DataFrame) -> DataFrame:
+    """The few columns of ``own_features`` that opponents are judged by, from narrow rows."""
+    prior, recent = record_inputs()
+    narrow = rows.select(
+        *FEATURE_KEYS, *ORDER, "method_group", "final_round", "weight_class_norm", "is_title", "scheduled_rounds"
+    )
+    line = Timeline.of(narrow, ENTITY, ORDER).with_known(prior=prior | {"n_all": number()}, recent=recent)
+    cols = record_columns()
+    wins, losses = cols["last_5_wins"], cols["last_5_losses"]
+    shown = {c: cols[c] for c in ("career_win_pct", "career_finish_rate", "career_ko_rate")}
+    shown |= {"last5_win_pct": m.ratio(wins, wins + losses), "debut_flag": F.col("n_all") == 0}
+    counts = ["career_wins", "career_losses", "career_draws", "career_no_contests"]
+    return line.df.select(*FEATURE_KEYS, *ORDER, *counts, *[v.alias(k) for k, v in shown.items()])
+
+
 def build_features(rows: DataFrame) -> DataFrame:
     """One row per (fighter, bout) with every pre-bout feature.
 
-    The own features are written once: the opponent step reads a few of their
-    columns twice, and the schedule step windows over that join.
+    The opponent step joins records with themselves and the schedule step
+    windows over that join; both work on narrow rows that are written once.
+    The wide rows are shuffled once for the windows and once for the last join.
     """
-    own = cut(own_features(rows), "own-features")
-    schedule = schedule_strength(opponent_asof(own), sized_from=own)
-    both = own.join(schedule, ["fighter_id", "fight_id"], "left")
+    record = cut(own_record(rows), "own-record")
+    schedule = cut(schedule_strength(opponent_asof(record), sized_from=record), "schedule")
+    both = own_features(rows).join(schedule, ["fighter_id", "fight_id"], "left")
     return both.select(*FEATURE_KEYS, *FEATURE_COLS)
 
 

@@ -18,6 +18,7 @@ def build_session(app: str = "ringside", cpus: int | None = None, memory: str =
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")  # what the JVM still compiles
         .config("spark.ui.enabled", "false")
         .config("spark.sql.debug.maxToStringFields", "50")
         .getOrCreate()
