@@ -147,10 +147,10 @@ def recipe_label(recipe):
 
 def ablation_comparison(results: DataFrame) -> DataFrame:
     """Every recipe next to the baseline row; ``better`` on test loss and on accuracy."""
-    base = results.filter("recipe = 'baseline'").select(
-        F.col("test_logloss").alias("base_logloss"), F.col("test_acc").alias("base_acc")
+    base = results.filter("recipe = 'baseline'").select("test_logloss", "test_acc").first()  # one row
+    both = results.withColumns(
+        {"base_logloss": F.lit(base["test_logloss"]), "base_acc": F.lit(base["test_acc"])}
     )
-    both = results.join(F.broadcast(base), F.lit(True))  # the baseline is one row
     return both.select(
         recipe_label(F.col("recipe")).alias("label"), "n_features", "val_logloss", "val_acc", "test_logloss", "test_acc",
         (F.col("test_logloss") - F.col("base_logloss")).alias("delta_test_logloss"),
