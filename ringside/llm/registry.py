@@ -1,7 +1,7 @@
 """Queries and checking SQL of the corpus operators, by name."""
 
-from ringside.llm import near_dedup, pii, quality
+from ringside.llm import near_dedup, pii, quality, repeats
 
-MODULES = [pii, near_dedup, quality]
+MODULES = [pii, near_dedup, quality, repeats]
 QUERIES = {name: query for m in MODULES for name, query in m.QUERIES.items()}
 ORACLES = {name: sql for m in MODULES for name, sql in getattr(m, "ORACLES", {}).items()}
