@@ -1,7 +1,7 @@
 """Queries and checking SQL of the corpus operators, by name."""
 
-from ringside.llm import near_dedup, pieces, pii, quality, repeats, token_counts
+from ringside.llm import near_dedup, pieces, pii, quality, repeats, token_counts, topk
 
-MODULES = [pieces, token_counts, near_dedup, pii, quality, repeats]
+MODULES = [pieces, token_counts, near_dedup, pii, quality, repeats, topk]
 QUERIES = {name: query for m in MODULES for name, query in m.QUERIES.items()}
 ORACLES = {name: sql for m in MODULES for name, sql in getattr(m, "ORACLES", {}).items()}
