@@ -1,7 +1,7 @@
 """Queries and checking SQL of the corpus operators, by name."""
 
-from ringside.llm import licences, mixing, near_dedup, pieces, pii, quality, repeats, token_counts, topk
+from ringside.llm import fingerprints, licences, mixing, near_dedup, pieces, pii, quality, repeats, token_counts, topk
 
-MODULES = [mixing, repeats, pii, topk, pieces, token_counts, licences, quality, near_dedup]
+MODULES = [mixing, fingerprints, repeats, pii, topk, pieces, token_counts, licences, quality, near_dedup]
 QUERIES = {name: query for m in MODULES for name, query in m.QUERIES.items()}
 ORACLES = {name: sql for m in MODULES for name, sql in getattr(m, "ORACLES", {}).items()}
