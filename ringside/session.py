@@ -4,6 +4,7 @@ import math
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,6 +55,25 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give this package to the executors' Python, once per application, so that functions in it can be found there."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="ringside-package-"), "ringside.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(here):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                path = os.path.join(folder, name)
+                out.write(path, os.path.relpath(path, os.path.dirname(here)))
+    context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)
+
+
 def setting(spark: SparkSession, key: str, default: int) -> int:
     return int(spark.conf.get(f"spark.ringside.{key}", str(default)))
 
