@@ -4,9 +4,11 @@ import math
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ringside.session import cut
+
 # Clipping, calibration edges, confidence limits, weights and baseline odds.
 CLIP = 1e-6
 EDGES = [0.0, 0.40, 0.45, 0.50, 0.55, 0.60, 0.65, 0.70, 0.80, 1.01]
@@ -161,35 +163,30 @@ def absolute_error(rows: DataFrame, pred: str, actual: str, base: str, fill: Col
     )
 
 
-def exact_percentile(rows: DataFrame, value: Column, p: float, small: int = 1_000_000) -> float | None:
-    """Exact percentile with linear interpolation, in bounded memory.
+def exact_percentile(rows: DataFrame, value: Column, p: float) -> float | None:
+    """Exact percentile with linear interpolation, the same way at any size.
 
-    Approximate quantiles only narrow down an interval around the wanted rank;
-    counting checks it, and the exact aggregate runs on at most ``small`` rows
-    (or on one repeated value).
+    Equal values are counted together, the distinct ones range-partitioned and
+    written once. The sums per range say which range holds the wanted ranks; a
+    running count inside that range alone finds the values.
     """
-    values = rows.select(value.cast("double").alias("v")).filter("v is not null")
-    whole = values.agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).first()
-    n, lo, hi = whole["n"], whole["lo"], whole["hi"]
-    if not n:
+    values = rows.select(value.cast("double").alias("v")).filter("v is not null").groupBy("v").count()
+    ranged = cut(values.repartitionByRange("v").withColumn("part", F.spark_partition_id()), "ranged")
+    sizes = ranged.groupBy("part").agg(F.sum("count").alias("n")).orderBy("part").collect()  # one row per range
+    total = sum(r["n"] for r in sizes)
+    if not total:
         return None
-    want, below, inside = p * (n - 1), 0, n
-    part = values
-    while inside > small and lo < hi:
-        near, margin = (want - below) / inside, 2e-3
-        probes = [max(0.0, near - margin), min(1.0, near + margin)]
-        new_lo, new_hi = part.agg(F.percentile_approx("v", probes, 10_000)).first()[0]
-        counts = part.agg(
-            F.count_if(F.col("v") < new_lo).alias("less"),
-            F.count_if(F.col("v").between(new_lo, new_hi)).alias("within"),
-        ).first()
-        start = below + counts["less"]
-        holds = start <= math.floor(want) and math.ceil(want) < start + counts["within"]
-        if not holds or counts["within"] == inside:
+    want = p * (total - 1)
+    low, high = (_value_at(ranged, sizes, rank) for rank in (math.floor(want), math.ceil(want)))
+    return low if low == high else low + (high - low) * (want - math.floor(want))
+
+
+def _value_at(ranged: DataFrame, sizes: list, rank: int) -> float:
+    before = 0
+    for r in sizes:
+        if rank < before + r["n"]:
             break
-        lo, hi, below, inside = new_lo, new_hi, start, counts["within"]
-        part = values.filter(F.col("v").between(lo, hi))
-    if lo == hi:
-        return lo
-    inner = (want - below) / (inside - 1) if inside > 1 else 0.0
-    return part.agg(F.percentile("v", F.lit(float(inner)))).first()[0]
+        before += r["n"]
+    inside = ranged.filter(F.col("part") == r["part"]).withColumn(
+        "upto", F.sum("count").over(Window.partitionBy("part").orderBy("v")))
+    return inside.filter(F.col("upto") > rank - before).agg(F.min("v")).first()[0]

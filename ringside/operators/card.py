@@ -1,5 +1,7 @@
 """Upcoming bouts scored as of their date, without touching the stored history."""
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -7,9 +9,11 @@ from ringside.functions import measures as m
 from ringside.functions import parse
 from ringside.operators import history, model_rows
 
-# Where ids of unknown fighters start, and tie order of upcoming bouts.
+# Where ids of unknown fighters start.
 FIRST_UNKNOWN_ID = -1000
-AFTER_HISTORY = 2**62
+# The order of bouts on a day has one digit more than a bout id, so that upcoming bouts come after any id.
+DAY_ORDER = "decimal(20,0)"
+AFTER_HISTORY = Decimal(2**63)
 
 
 def resolve_card(bouts: DataFrame, fighters: DataFrame) -> DataFrame:
@@ -74,11 +78,12 @@ def with_upcoming(rows: DataFrame, card: DataFrame, event_date: Column) -> DataF
     extra = dated.select(
         "fight_id", "event_date", "weight_class_norm", "is_title", "scheduled_rounds",
         F.unix_date("event_date").alias("day_no"),
-        (F.lit(AFTER_HISTORY) + F.col("bout_no")).cast("long").alias("bout_order"),
+        (F.lit(AFTER_HISTORY) + F.col("bout_no")).cast(DAY_ORDER).alias("bout_order"),
         *[no.alias(c) for c in ("is_valid_for_stats", "reached_round_3", "completed_round_3", "went_the_distance")],
         F.inline(F.array(corner("a", "b", True), corner("b", "a", False))),
     )
-    return rows.unionByName(extra, allowMissingColumns=True)
+    past = rows.withColumn("bout_order", F.col("bout_order").cast(DAY_ORDER))
+    return past.unionByName(extra, allowMissingColumns=True)
 
 
 def card_features(rows: DataFrame, card: DataFrame, event_date: Column) -> DataFrame:

@@ -78,21 +78,20 @@ class Timeline:
 
         ``sized_from`` names a cheaper table with the same rows per entity.
 
-        The count per entity is pre-aggregated in each map task. At most
-        total / limit entities can be above the limit, which bounds the list
-        of hot keys that is broadcast.
+        The count per entity is pre-aggregated in each map task. The list of hot
+        keys is broadcast while it has at most MAX_HOT_KEYS rows; a longer one is
+        joined like any other table.
         """
         spark = df.sparkSession
         hot_rows = hot_rows or setting(spark, "hotRows", HOT_ROWS)
         piece_rows = piece_rows or setting(spark, "pieceRows", PIECE_ROWS)
         sizes = (df if sized_from is None else sized_from).groupBy(*entity).agg(F.count(F.lit(1)).alias("__rows"))
-        seen = sizes.agg(F.max("__rows").alias("top"), F.sum("__rows").alias("all")).first()
-        if (seen["top"] or 0) <= hot_rows:
+        if (sizes.agg(F.max("__rows")).first()[0] or 0) <= hot_rows:
             return cls(df, None, list(entity), list(order), day)
-        limit = max(hot_rows, seen["all"] // MAX_HOT_KEYS)
-        keys = cut(sizes.filter(F.col("__rows") > limit), "hot-keys")
-        hot_total = keys.agg(F.sum("__rows")).first()[0] or 0
-        small = F.broadcast(keys.drop("__rows"))
+        keys = cut(sizes.filter(F.col("__rows") > hot_rows), "hot-keys")
+        many, hot_total = keys.agg(F.count(F.lit(1)), F.sum("__rows")).first()
+        small = keys.drop("__rows")
+        small = F.broadcast(small) if many <= MAX_HOT_KEYS else small
         same = _same(df, small, entity)
         hot = df.join(small, same, "left_semi")
         cold = df.join(small, same, "left_anti")

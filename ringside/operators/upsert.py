@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from ringside.session import cut
 
 BUCKET = "key_bucket"
+BUCKET_ROWS = 2_000_000
+LAYOUT = "_layout"  # hidden from reads of the table
 
 
 def latest(updates: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -39,24 +41,31 @@ def replace_group(target: DataFrame, groups: DataFrame, updates: DataFrame, key:
     return target.join(groups.select(key).distinct(), key, "left_anti").unionByName(updates)
 
 
-def write_buckets(df: DataFrame, path: str, keys: list[str], buckets: int = 256) -> None:
-    """Store a table partitioned by a hash of its key; a large bucket is split over several tasks."""
-    spread = df.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
-    spread.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+def _bucketed(df: DataFrame, keys: list[str], buckets: int) -> DataFrame:
+    return df.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
 
 
-def upsert_buckets(
-    spark: SparkSession, path: str, updates: DataFrame, keys: list[str], buckets: int = 256,
-    frozen: Column | None = None,
-) -> None:
+def write_buckets(df: DataFrame, path: str, keys: list[str], bucket_rows: int = BUCKET_ROWS) -> None:
+    """Store a table partitioned by a hash of its key, in as many buckets as its rows ask for.
+
+    The number of buckets is kept beside the data; a large bucket is split over several tasks.
+    """
+    buckets = max(1, -(-df.count() // bucket_rows))
+    _bucketed(df, keys, buckets).hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+    df.sparkSession.createDataFrame([(str(buckets),)], "buckets string").coalesce(1).write.mode("overwrite").text(
+        f"{path}/{LAYOUT}")
+
+
+def upsert_buckets(spark: SparkSession, path: str, updates: DataFrame, keys: list[str], frozen: Column | None = None) -> None:
     """Upsert into a stored table, reading and rewriting only the touched buckets.
 
     The merged rows are written aside first, so that the table is never read
     while it is being overwritten.
     """
-    fresh = updates.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
-    touched = [r[0] for r in fresh.select(BUCKET).distinct().collect()]  # at most ``buckets`` numbers
-    target = spark.read.parquet(path).filter(F.col(BUCKET).isin(touched))
+    buckets = int(spark.read.text(f"{path}/{LAYOUT}").first()[0])
+    fresh = _bucketed(updates, keys, buckets)
+    touched = fresh.select(BUCKET).distinct()  # one small number per bucket
+    target = spark.read.parquet(path).join(F.broadcast(touched), BUCKET, "left_semi")
     merged = cut(upsert(target, fresh.select(*target.columns), keys, frozen), "merged")
     merged.hint("rebalance", BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         BUCKET

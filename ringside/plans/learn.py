@@ -6,9 +6,10 @@ libraries; the protocol (time slices, weights, out-of-fold stack) is the same.
 """
 
 import json
+import re
 from dataclasses import asdict, dataclass, field, replace
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -26,7 +27,7 @@ MIN_TRAIN_ROWS, MIN_INNER_FIT, MIN_INNER_VAL = 250, 200, 50
 FIXED_TREES = 150
 INNER_VAL_MONTHS = 6
 MIN_VETERAN_FIT, MIN_VETERAN_VAL = 200, 50
-MAX_CATEGORIES = 10_000
+PATIENCE = 40
 KEYS = ["fight_id", "orientation"]
 STAT_TARGETS = {
     "slpm": ("y_a_sig_str_landed_pm", "a_career_sig_str_landed_pm_avg", "win"),
@@ -57,13 +58,11 @@ def feature_columns(columns: list[str], recipe: str = "all") -> list[str]:
 
 
 def categories(rows: DataFrame, cols: list[str]) -> dict[str, list[str]]:
-    """Sorted values of each text column; a category list must be small."""
+    """Sorted values of each text column; they are part of the model, one code each."""
     out = {}
     for name, kind in rows.select(*[c for c in cols if c in rows.columns]).dtypes:
         if kind == "string":
-            found = rows.select(name).filter(F.col(name).isNotNull()).distinct().limit(MAX_CATEGORIES + 1).collect()
-            if len(found) > MAX_CATEGORIES:
-                raise ValueError(f"{name} has more than {MAX_CATEGORIES} values; it is no category")
+            found = rows.select(name).filter(F.col(name).isNotNull()).distinct().collect()
             out[name] = sorted(r[0] for r in found)
     return out
 
@@ -75,8 +74,9 @@ def encode(rows: DataFrame, cols: list[str], codes: dict[str, list[str]], keep:
         if c not in rows.columns:
             value = F.lit(None).cast("double")
         elif c in codes:
-            pairs = [x for i, v in enumerate(codes[c]) for x in (F.lit(v), F.lit(float(i)))]
-            value = F.try_element_at(F.create_map(*pairs), F.col(c)) if pairs else F.lit(None).cast("double")
+            # one literal array, whatever the number of values; 0 means not there
+            place = F.array_position(F.lit(codes[c]).cast("array<string>"), F.col(c))
+            value = F.when(place > 0, (place - 1).cast("double"))
         else:
             value = F.col(c).cast("double")
             value = F.nanvl(value, F.lit(None).cast("double"))
@@ -113,7 +113,12 @@ class Model:
 
 
 def fit(train: DataFrame, cols, label, boost: Boost, val: DataFrame | None = None, kind: str = "stat") -> Model:
-    """One weighted boosted model; with ``val``, trees stop when the validation loss stalls."""
+    """One weighted boosted model.
+
+    With ``val``, all trees are fitted, the validation loss after each of them
+    is worked out (log loss, or absolute error of a stat), and the model keeps as
+    many trees as give the least loss before it fails to fall for PATIENCE trees.
+    """
     train = train.filter(F.col(label).isNotNull())
     codes = categories(train, cols)
     keep = [label, "weight", "is_val"]
@@ -136,13 +141,30 @@ def fit(train: DataFrame, cols, label, boost: Boost, val: DataFrame | None = Non
         stepSize=boost.step, subsamplingRate=boost.subsample, featureSubsetStrategy=boost.columns,
         minInstancesPerNode=boost.min_rows, seed=boost.seed,
     )
-    if val is not None:
-        common["validationIndicatorCol"] = "is_val"
     tree = GBTClassifier(**common) if kind == "win" else GBTRegressor(**common)
     fill = Imputer(strategy="median", inputCols=inputs, outputCols=filled).fit(data.filter("not is_val"))
     gather = VectorAssembler(inputCols=filled + [f"gap_{c}" for c in gaps], outputCol="features")
-    tail = Pipeline(stages=[gather, tree]).fit(fill.transform(data))
-    return Model(kind, label, used, codes, gaps, PipelineModel([fill, *tail.stages]))
+    ready_rows = cut(gather.transform(fill.transform(data)).select(*keep, "features"), "matrix")
+    seen_rows = ready_rows.filter("not is_val")
+    model = tree.fit(seen_rows)
+    if val is not None:
+        exam = ready_rows.filter("is_val")
+        losses = model.evaluateEachIteration(exam) if kind == "win" else model.evaluateEachIteration(exam, "absolute")
+        kept = trees_to_keep(losses)
+        if kept < len(losses):
+            model = tree.copy({tree.maxIter: kept}).fit(seen_rows)  # the same seed grows the same first trees
+    return Model(kind, label, used, codes, gaps, PipelineModel([fill, gather, model]))
+
+
+def trees_to_keep(losses: list[float], patience: int = PATIENCE) -> int:
+    """How many trees reach the least loss before ``patience`` trees in a row bring no lower one."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
 
 
 # -- models of one stat, and of the winner ----------------------------------
@@ -238,30 +260,43 @@ def out_of_fold(rows: DataFrame, recipes: dict[str, list[str]], boost: Boost) ->
 # -- ablation ---------------------------------------------------------------
 
 
-def _stem(col: str) -> str:
-    for prefix in ("a_", "b_", "diff_"):
-        if col.startswith(prefix):
-            return col[len(prefix):]
-    return col
+SLOT_PREFIXES = ("a_", "b_", "diff_")
+
+
+@dataclass(frozen=True)
+class Family:
+    """Columns described by their name behind the slot prefix: how it begins, what it holds, or what it is."""
+
+    begins: tuple[str, ...] = ()
+    holds: tuple[str, ...] = ()
+    names: tuple[str, ...] = ()
+    prefixed: bool = True  # False: the whole name counts
+
+    def pattern(self) -> re.Pattern:
+        ways = [re.escape(x) for x in self.begins]
+        ways += [f".*{re.escape(x)}" for x in self.holds]
+        ways += [f"{re.escape(x)}$" for x in self.names]
+        slot = f"(?:{'|'.join(SLOT_PREFIXES)})?" if self.prefixed else ""
+        return re.compile(f"{slot}(?:{'|'.join(ways)})")
 
 
-# Which column names make up a family.
-CARDIO_PARTS = ["cardio", "late_td", "late_kd", "late_ctrl", "n_r3", "n_distance", "n_five_stoppage", "n_observed"]
+# The families that an ablation drops.
 FAMILIES = {
-    "last3": lambda c: _stem(c).startswith(("last3_", "last_3_")) or "trend_last3_vs" in _stem(c),
-    "momentum": lambda c: _stem(c).startswith("momentum_")
-    or _stem(c) in ("fights_in_last_18mo", "used_career_fallback_momentum"),
-    "cardio": lambda c: any(p in _stem(c) for p in CARDIO_PARTS),
-    "last5": lambda c: _stem(c).startswith(("last5_", "last_5_")) or "trend_last5_vs" in _stem(c),
-    "stack": lambda c: c.startswith("stack_"),
-    "opp_sos": lambda c: any(p in _stem(c) for p in ("opp_asof", "avg_opp", "n_opp_known")),
-    "bio": lambda c: _stem(c) in ("height", "reach", "ape_index"),
+    "last3": Family(begins=("last3_", "last_3_"), holds=("trend_last3_vs",)),
+    "momentum": Family(begins=("momentum_",), names=("fights_in_last_18mo", "used_career_fallback_momentum")),
+    "cardio": Family(holds=("cardio", "late_td", "late_kd", "late_ctrl", "n_r3", "n_distance", "n_five_stoppage",
+                            "n_observed")),
+    "last5": Family(begins=("last5_", "last_5_"), holds=("trend_last5_vs",)),
+    "stack": Family(begins=("stack_",), prefixed=False),
+    "opp_sos": Family(holds=("opp_asof", "avg_opp", "n_opp_known")),
+    "bio": Family(names=("height", "reach", "ape_index")),
 }
 TD_PRODUCTS = ["prod_expected_td", "prod_last5_expected_td", "prod_ground_x_td"]
 
 
 def without(cols: list[str], *families: str) -> list[str]:
-    return [c for c in cols if not any(FAMILIES[f](c) for f in families)]
+    patterns = [FAMILIES[f].pattern() for f in families]
+    return [c for c in cols if not any(p.match(c) for p in patterns)]
 
 
 def ablation_recipes(base: list[str], every: list[str]) -> dict[str, list[str]]:

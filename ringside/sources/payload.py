@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ringside.functions import measures as m
+from ringside.functions import parse
 from ringside.operators.upsert import latest, replace_group, upsert
 from ringside.session import cut
 
@@ -22,17 +23,17 @@ _ROUND_CELLS = ["kd", "sig_str", "sig_str_percent", "total_str", "td", "td_perce
 _ROUND = "struct<" + ",".join(f"{c}:string" for c in _ROUND_CELLS) + ">"
 FIGHT_SCHEMA = (
     "struct<metadata:struct<url:string,page_title:string,source:string>,url:string,"
-    "general_info:struct<weight_class:string,method:string,round:int,time:string,time_format:string,"
+    "general_info:struct<weight_class:string,method:string,round:string,time:string,time_format:string,"
     "referee:string,finish_details:string>,"
     f"fighters:struct<fighter1:{_CORNER},fighter2:{_CORNER}>,fight_result:map<string,string>,"
     f"totals:struct<significant_strikes:struct<fighter1:{_TOTAL},fighter2:{_TOTAL}>>,"
-    f"round_stats:array<struct<round:int,fighter1:{_ROUND},fighter2:{_ROUND},"
+    f"round_stats:array<struct<round:string,fighter1:{_ROUND},fighter2:{_ROUND},"
     "significant_strikes:map<string,map<string,string>>>>,"
     "judges:array<struct<judge:string,judge_name:string,score:string>>>"
 )
-EVENT_SCHEMA = (
-    f"url string, headline string, date string, location string, fights array<{FIGHT_SCHEMA}>, broken string"
-)
+# A bout is read twice from its text: into the fields above, and into its parts as they came, unknown keys included.
+RAW_SCHEMA = "struct<metadata:string,totals:string,round_stats:array<string>>"
+EVENT_SCHEMA = "url string, headline string, date string, location string, fights array<string>, broken string"
 TOTAL_CELLS = ["sig_str", "sig_str_percent", "head", "body", "leg", "distance", "clinch", "ground"]
 
 
@@ -50,18 +51,28 @@ def read_documents(docs: DataFrame, text: str = "payload", seq: str = "seq") ->
     """Readable events and the documents set aside. ``seq`` is the load order."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "broken"}
     parsed = docs.withColumn("event", F.from_json(text, EVENT_SCHEMA, options))
+    parsed = parsed.withColumn("event", F.col("event").withField("fights", F.transform("event.fights", _both_ways)))
+
+    def unread(number):
+        return F.nullif(F.trim(number), F.lit("")).isNotNull() & parse.bio_int(number).isNull()
 
-    def bad_fight(f):
+    def bad_fight(entry):
+        f = entry["fight"]
         return (
             f.isNull()
             | F.coalesce(F.nullif(f["metadata"]["url"], F.lit("")), F.nullif(f["url"], F.lit(""))).isNull()
             | _no_name(f["fighters"]["fighter1"])
             | _no_name(f["fighters"]["fighter2"])
+            | F.coalesce(unread(f["general_info"]["round"]), F.lit(False))
+            | F.coalesce(F.exists(f["round_stats"], lambda r: unread(r["round"])), F.lit(False))
         )
 
+    date = F.nullif(F.trim("event.date"), F.lit(""))
+
     bad = (
         F.col("event.broken").isNotNull()
         | F.nullif(F.col("event.url"), F.lit("")).isNull()
+        | (date.isNotNull() & parse.day(date).isNull())
         | F.coalesce(F.exists("event.fights", bad_fight), F.lit(False))
     )
     flagged = parsed.withColumn("bad", F.coalesce(bad, F.lit(True)))
@@ -69,6 +80,10 @@ def read_documents(docs: DataFrame, text: str = "payload", seq: str = "seq") ->
     return good, flagged.filter("bad").select(F.col(seq).alias("seq"), F.col(text).alias("payload"))
 
 
+def _both_ways(text: Column) -> Column:
+    return F.struct(F.from_json(text, FIGHT_SCHEMA).alias("fight"), F.from_json(text, RAW_SCHEMA).alias("raw"))
+
+
 def _no_name(corner: Column) -> Column:
     return F.coalesce(
         F.nullif(corner["fighter_name"], F.lit("")), F.nullif(corner["name"], F.lit(""))
@@ -86,11 +101,12 @@ class Batch:
     @classmethod
     def of(cls, good: DataFrame) -> "Batch":
         events = latest(
-            good.select("seq", F.col("url").alias("event_url"), "headline", F.to_date("date").alias("event_date"),
+            good.select("seq", F.col("url").alias("event_url"), "headline", parse.day(F.col("date")).alias("event_date"),
                         F.col("location").alias("event_location")),
             ["event_url"], ["seq"],
         )
-        seen = good.select("seq", F.col("url").alias("event_url"), F.posexplode("fights").alias("place", "fight"))
+        seen = good.select("seq", F.col("url").alias("event_url"), F.posexplode("fights").alias("place", "entry"))
+        seen = seen.select("seq", "event_url", "place", "entry.*")
         seen = seen.withColumn("fight_url", first_of("fight.metadata.url", "fight.url"))
         for s in (1, 2):
             seen = seen.withColumn(
@@ -112,21 +128,22 @@ class Batch:
         meta = F.col("fight.metadata")
         return self.fights.filter(meta.isNotNull()).select(
             "fight_url", meta["page_title"].alias("page_title"), meta["source"].alias("source"),
-            meta["url"].alias("canonical_url"), F.to_json(meta).alias("raw_metadata"),
+            meta["url"].alias("canonical_url"), F.col("raw.metadata").alias("raw_metadata"),
         )
 
     def totals(self) -> DataFrame:
         strikes = "fight.totals.significant_strikes"
         cells = [F.col(f"{strikes}.fighter{s}.{c}").alias(f"fighter{s}_{c}") for c in TOTAL_CELLS for s in (1, 2)]
         return self.fights.filter(F.col("fight.totals").isNotNull()).select(
-            "fight_url", *cells, F.to_json("fight.totals").alias("raw_totals")
+            "fight_url", *cells, F.col("raw.totals").alias("raw_totals")
         )
 
     def rounds(self) -> DataFrame:
-        rows = self.fights.select("fight_url", F.posexplode("fight.round_stats").alias("place", "r"))
+        both = F.arrays_zip(F.col("fight.round_stats").alias("r"), F.col("raw.round_stats").alias("raw"))
+        rows = self.fights.select("fight_url", F.posexplode(both).alias("place", "b")).select("fight_url", "place", "b.*")
         cells = [F.col(f"r.fighter{s}.{c}").alias(f"fighter{s}_{c}") for c in _ROUND_CELLS for s in (1, 2)]
-        flat = rows.select("fight_url", F.col("r.round").alias("round_number"), "place", *cells,
-                           F.to_json("r").alias("raw_round"))
+        flat = rows.select("fight_url", parse.bio_int(F.col("r.round")).alias("round_number"), "place", *cells,
+                           F.col("raw").alias("raw_round"))
         return latest(flat, ["fight_url", "round_number"], ["place"]).drop("place")
 
     def judges(self) -> DataFrame:
@@ -200,7 +217,8 @@ def fight_rows(fights: DataFrame, people: DataFrame) -> DataFrame:
         surrogate("fight_url").alias("fight_id"),
         surrogate("event_url").alias("event_id"),
         "fight_url",
-        *[F.col(f"fight.general_info.{c}").alias(c) for c in info],
+        *[(parse.bio_int(F.col("fight.general_info.round")) if c == "round" else F.col(f"fight.general_info.{c}")).alias(c)
+          for c in info],
         "fighter1_id",
         "fighter2_id",
         F.when(F.col("winner_side") == 1, F.col("fighter1_id"))

@@ -16,12 +16,14 @@ def follow_folder(store: Store, folder: str, state: str, files_per_batch: int =
     lines = (
         store.spark.readStream.option("maxFilesPerTrigger", files_per_batch)
         .text(folder)
-        .select(F.col("value").alias("payload"), F.col("_metadata.file_modification_time").alias("at"))
+        .select(F.col("value").alias("payload"), F.col("_metadata.file_modification_time").alias("at"),
+                F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
     )
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        # the load order inside a batch: file time, then the text itself
-        order = F.unix_millis("at") * 1024 + F.pmod(F.xxhash64("payload"), F.lit(1024))
+        # the load order inside a batch: file time, file, place in the file. One task reads a block of a file
+        # from start to end, so that the growing id tells the lines of a block apart.
+        order = F.struct("at", "file", "block", F.monotonically_increasing_id().alias("line"))
         ingest(store, batch.select("payload", order.alias("seq")))
 
     return (

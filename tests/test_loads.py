@@ -139,6 +139,54 @@ def test_stream_loads_a_folder_once(spark, tmp_path):
     assert target.read("fights").count() == 3
 
 
+def test_stream_takes_the_last_line_of_a_file(spark, tmp_path):
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    lines = [event(1, bout(1, "Ann", "Bea", rounds=1 + i % 3)) for i in range(40)]
+    (inbox / "a.json").write_text("\n".join(lines) + "\n")
+    target = Store(spark, str(tmp_path / "tables"))
+    follow_folder(target, str(inbox), str(tmp_path / "state")).awaitTermination()
+    assert target.read("fights").first()["round"] == 1 + 39 % 3
+
+
+def test_real_input_is_read_or_set_aside(spark):
+    def doc(n, **changes):
+        e = json.loads(event(n, bout(n, "Ann", "Bea")))
+        for path, value in changes.items():
+            place = e
+            *way, last = path.split("__")
+            for step in way:
+                place = place[int(step) if step.isdigit() else step]
+            place[last] = value
+        return json.dumps(e)
+
+    rows = [(1, doc(1, date="June 3, 2024")), (2, doc(2, date="soon")), (3, doc(3, date=None)),
+            (4, doc(4, fights__0__general_info__round="3")), (5, doc(5, fights__0__general_info__round="three")),
+            (6, doc(6, fights__0__round_stats__0__round="1", fights__0__round_stats__0__extra={"x": [1]},
+                    fights__0__metadata__more="m", fights__0__totals__other="o")),
+            (7, doc(7, fights__0__round_stats__0__round="first"))]
+    tables, aside, _ = payload.load_rows(
+        spark.createDataFrame(rows, "seq long, payload string"),
+        spark.createDataFrame([], "fighter_id long, fighter_name string, fighter_url string"))
+    assert {r["seq"] for r in aside.collect()} == {2, 5, 7}
+    assert {r["event_url"][-1]: str(r["event_date"]) for r in tables["events"].collect()} == {
+        "1": "2024-06-03", "3": "None", "4": "2020-04-01", "6": "2020-06-01"}
+    assert {r["fight_url"][-1]: r["round"] for r in tables["fights"].collect()}["4"] == 3
+    six = tables["fights"].filter("fight_url like '%/6'").select("fight_id")
+    raw = tables["round_stats"].join(six, "fight_id").orderBy("round_number").first()["raw_round"]
+    assert json.loads(raw)["extra"] == {"x": [1]}
+    assert json.loads(tables["fight_metadata"].join(six, "fight_id").first()["raw_metadata"])["more"] == "m"
+    assert json.loads(tables["fight_totals"].join(six, "fight_id").first()["raw_totals"])["other"] == "o"
+
+
+def test_counts_of_findings_are_whole(spark):
+    events = spark.range(57).select(F.col("id").alias("event_id"), F.lit("e").alias("headline"),
+                                    F.lit("1990-01-01").cast("date").alias("event_date"))
+    early = {"events": events}
+    assert audit.checks("2021-01-01")["events_too_early"](early).count() == audit.SHOWN["events_too_early"]
+    assert audit.findings("2021-01-01")["events_too_early"](early).count() == 57
+
+
 def test_keyed_writes(spark, tmp_path):
     old = spark.createDataFrame([(1, "a", False), (2, "b", True), (3, "c", False)], "k int, v string, done boolean")
     new = spark.createDataFrame([(1, "A", False, 1), (1, "AA", False, 2), (2, "B", False, 1), (4, "D", False, 1)],
@@ -150,8 +198,9 @@ def test_keyed_writes(spark, tmp_path):
     got = {r["k"]: r["v"] for r in replace_group(old, groups, last.filter("k = 1"), "k").collect()}
     assert got == {1: "AA", 3: "c"}
     path = str(tmp_path / "kept")
-    write_buckets(old, path, ["k"], buckets=8)
-    upsert_buckets(spark, path, last, ["k"], buckets=8)
+    write_buckets(old, path, ["k"], bucket_rows=1)
+    assert spark.read.text(f"{path}/_layout").first()[0] == "3"
+    upsert_buckets(spark, path, last, ["k"])
     assert {r["k"]: r["v"] for r in spark.read.parquet(path).collect()} == {1: "AA", 2: "B", 3: "c", 4: "D"}
 
 

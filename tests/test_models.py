@@ -18,7 +18,7 @@ def test_upcoming_bouts_read_history_and_leave_it_alone(spark):
     rows = tf.random_history(5, fighters=12, bouts=40)
     df = spark.createDataFrame([tuple(r[f.name] for f in tf.schema()) for r in rows], tf.schema())
     df = df.withColumns({"event_date": F.date_from_unix_date(F.col("day_no").cast("int")),
-                         "day_no": F.col("day_no").cast("int"), "bout_order": F.col("fight_id")})
+                         "day_no": F.col("day_no").cast("int"), "bout_order": F.col("fight_id") + F.lit(2**63 - 10**7)})
     people = spark.createDataFrame([(i, f"N{i}", f"http://f.test/{i}") for i in range(1, 13)] + [(99, "N1", "http://f.test/99")],
                                    "fighter_id long, fighter_name string, fighter_url string")
     asked = spark.createDataFrame(
@@ -60,10 +60,10 @@ def test_symmetric_probability(spark):
     [random.Random(2).choice([0.0, 0.0, 1.0, 7.0]) for _ in range(3000)],
     [5.0], [1.0, 2.0],
 ])
-def test_exact_percentile_in_small_steps(spark, values):
+def test_exact_percentile(spark, values):
     df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double")
     for p in (0.01, 0.5, 0.99):
-        assert scores.exact_percentile(df, F.col("v"), p, small=100) == pytest.approx(np.percentile(values, 100 * p))
+        assert scores.exact_percentile(df, F.col("v"), p) == pytest.approx(np.percentile(values, 100 * p))
 
 
 def test_histogram_matches_numpy(spark):
@@ -114,6 +114,12 @@ def train_rows(spark, n=600):
                            "a_career_n_opp_known": F.lit(3), "b_career_win_pct": F.lit(0.4)}).drop("d")
 
 
+def test_trees_are_kept_up_to_the_least_loss():
+    assert learn.trees_to_keep([3, 2, 1, 2, 2, 0], patience=3) == 6
+    assert learn.trees_to_keep([3, 2, 1, 2, 2, 2, 0], patience=3) == 3
+    assert learn.trees_to_keep([1.0]) == 1
+
+
 def test_model_round_trip(spark, tmp_path):
     from datetime import date
 
@@ -124,6 +130,7 @@ def test_model_round_trip(spark, tmp_path):
     boost = learn.Boost(trees=5, depth=3)
     model, result = learn.win_models(fit, val, test, cols, boost)
     r = result.first()
+    assert model.trees > 1
     assert r["logloss"] < r["coin_logloss"] and r["veteran_n"] == r["n_test"] and "not_there" not in model.features
     learn.save(model, str(tmp_path / "win"))
     again = learn.load(spark, str(tmp_path / "win"))
