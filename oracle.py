@@ -107,7 +107,7 @@ select fight_id, event_id, event_date, weight_class as weight_class_raw,
  case when time_format like '5 Rnd%' then 5 when time_format like '3 Rnd%' then 3 end as scheduled_rounds,
  round as final_round, {SECONDS} as fight_seconds, method as method_raw, {GROUP} as method_group,
  outcome_type, winner_id, {GROUP} not in ('NC','DQ') as is_valid_for_stats
-from fights where fighter1_id <> fighter2_id""")
+from fights""")
 
 _nums = ", ".join(
     [f"{x_of_y(c, 1)} as {c}_landed, {x_of_y(c, 2)} as {c}_attempted" for c in PAIR_CELLS]
@@ -167,7 +167,8 @@ select a.*, case when a.outcome_type='draw' then 'D' when a.outcome_type='no_con
                                                      'td_attempted', 'kd', 'sub_att', 'ctrl_seconds'))},
  {_pm("(case when a.sig_str_attempted is null and a.td_attempted is null then null else "
       "coalesce(a.sig_str_attempted,0)+coalesce(a.td_attempted,0) end)")} as pace
-from corner_own a join corner_own o on o.fight_id = a.fight_id and o.fighter_id = a.opponent_id""")
+from corner_own a join corner_own o on o.fight_id = a.fight_id and o.fighter_id = a.opponent_id
+where a.fighter_id <> a.opponent_id""")
 
 cte("corner_flags", ["corner_linked"], f"""
 select *, r3_attempted is not null or r3_landed is not null as reached_round_3,

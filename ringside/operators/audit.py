@@ -4,7 +4,7 @@
 or ``MUST_BE_EMPTY`` report a defect when they find anything.
 """
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ringside.functions import parse
 
-Tables = dict[str, DataFrame]
+Tables = Mapping[str, DataFrame]
 
 # Limits of the checks.
 MAX_ROUNDS = 5

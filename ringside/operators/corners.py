@@ -49,10 +49,16 @@ ROUND_STATS = (
 
 
 def eligible_fights(fights: DataFrame, events: DataFrame) -> DataFrame:
-    """Dated bouts with two known, different corners."""
+    """Dated bouts with two known corners; a bout of a competitor against itself has bout and round facts too."""
     dated = events.select("event_id", "event_date").filter("event_date is not null")
     known = fights.filter("fighter1_id is not null and fighter2_id is not null")
-    return known.filter("fighter1_id <> fighter2_id").join(dated, "event_id")
+    return known.join(dated, "event_id")
+
+
+def corner_rejects(eligible: DataFrame) -> DataFrame:
+    """Bouts without corner facts: one competitor in both corners has no opponent, and two rows of one key."""
+    same = eligible.filter("fighter1_id = fighter2_id")
+    return same.select("fight_id", F.col("fighter1_id").alias("fighter_id"), F.lit("same competitor twice").alias("reason"))
 
 
 def fight_facts(eligible: DataFrame) -> DataFrame:
@@ -155,8 +161,8 @@ def _side(me: int, other: int):
 
 
 def corner_rows(eligible: DataFrame, facts: DataFrame, totals: DataFrame, rounds: DataFrame) -> DataFrame:
-    """Unpivot: two rows per bout, each with its own and the opponent's raw numbers."""
-    ids = eligible.select("fight_id", "fighter1_id", "fighter2_id")
+    """Unpivot: two rows per bout, each with its own and the opponent's raw numbers; see corner_rejects."""
+    ids = eligible.filter("fighter1_id <> fighter2_id").select("fight_id", "fighter1_id", "fighter2_id")
     wide = (
         facts.join(ids, "fight_id")
         .join(_totals(totals), "fight_id", "left")

@@ -4,6 +4,7 @@ The expressions are plain SQL text that Spark and DuckDB both read, so that the
 checking SQL starts from the same inputs. Operators know nothing of this module.
 """
 
+from collections.abc import Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -251,6 +252,22 @@ def exprs(table: dict[str, str], **fill) -> list:
 SPARK_DAYS = "datediff(DAY, date'1970-01-01', event_date)"
 
 
+class _Lazy(Mapping):
+    """Attributes of an object as a mapping, read when asked for."""
+
+    def __init__(self, owner, names: dict[str, str]):
+        self.owner, self.names = owner, names
+
+    def __getitem__(self, key):
+        return getattr(self.owner, self.names[key])
+
+    def __iter__(self):
+        return iter(self.names)
+
+    def __len__(self):
+        return len(self.names)
+
+
 class Bench:
     """Benchmark tables bound to the bout schema; every derived table is written once and re-read."""
 
@@ -363,16 +380,15 @@ class Bench:
             })
         return rows.withColumn("event_headline", F.lit("Card"))
 
-    def audit_tables(self) -> dict[str, DataFrame]:
-        return {
-            "events": self.events, "fighters": self.fighters, "fights": self.fights,
-            "fight_metadata": self.fight_metadata, "fight_totals": self.fight_totals,
-            "round_stats": self.round_stats, "judge_scores": self.judge_scores,
-            "fighter_bio": self.fighter_bio, "fighter_performance_stats": self.performance_stats,
-            "fighter_fight_features": self.features, "fight_facts": self.fight_facts,
-            "fighter_fight_facts": self.corner_facts, "fighter_round_facts": self.round_facts,
-            "fight_model_rows": self.model_rows, "fight_model_train": self.model_train,
-        }
+    def audit_tables(self) -> Mapping[str, DataFrame]:
+        """The tables under their stored names, each built when a check asks for it."""
+        return _Lazy(self, {n: n for n in (
+            "events", "fighters", "fights", "fight_metadata", "fight_totals", "round_stats", "judge_scores", "fighter_bio",
+            "fight_facts")} | {
+            "fighter_performance_stats": "performance_stats", "fighter_fight_features": "features",
+            "fighter_fight_facts": "corner_facts", "fighter_round_facts": "round_facts",
+            "fight_model_rows": "model_rows", "fight_model_train": "model_train",
+        })
 
     # -- derived layers ----------------------------------------------------
 
