@@ -1,9 +1,14 @@
 """Full rebuilds: raw tables to facts, facts to features, features to training rows.
 
-Every step reads and writes tables under one root folder. A table is written to
-a new folder first and only then takes its name, so readers see old or new.
+Every step reads and writes tables under one root folder. A write goes to a new
+folder of its own, and a pointer that names the folder of every table is written
+last: readers see all tables of a step as they were or as they are, and a write
+that breaks off changes nothing.
 """
 
+import json
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ringside.operators import corners, history, model_rows
@@ -12,47 +17,83 @@ from ringside.session import cut
 from ringside.sources import payload
 
 RAW = ["events", "fighters", "fights", "fight_metadata", "fight_totals", "round_stats", "judge_scores"]
+POINTERS = "_pointers"
 
 
 class Store:
-    """Tables as Parquet folders below a root that all executors can read."""
+    """Tables as Parquet folders below a root that all executors can read; one writer at a time."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
 
     def path(self, name: str) -> str:
+        """A folder below the root, for what is no table."""
         return f"{self.root}/{name}"
 
-    def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+    # -- pointers ----------------------------------------------------------
 
-    def exists(self, name: str) -> bool:
+    def _folder(self, path: str):
+        """The file system and the folder in it."""
         jvm = self.spark.sparkContext._jvm
-        where = jvm.org.apache.hadoop.fs.Path(self.path(name))
-        return where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        return where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), where
+
+    def _last_pointer(self) -> int:
+        """Number of the last pointer that was written to its end; 0 if there is none."""
+        fs, where = self._folder(self.path(POINTERS))
+        if not fs.exists(where):
+            return 0
+        names = [x.getPath().getName() for x in fs.listStatus(where)]
+        done = [int(n) for n in names if n.isdigit() and fs.exists(self._folder(f"{self.path(POINTERS)}/{n}/_SUCCESS")[1])]
+        return max(done, default=0)
+
+    def tables(self) -> dict[str, str]:
+        """The folder of every table, as the last pointer says."""
+        last = self._last_pointer()
+        return json.loads(self.spark.read.text(f"{self.path(POINTERS)}/{last}").first()[0]) if last else {}
+
+    # -- tables ------------------------------------------------------------
+
+    def exists(self, name: str) -> bool:
+        return name in self.tables()
+
+    def read(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(self.path(self.tables()[name]))
 
     def replace(self, name: str, df: DataFrame) -> DataFrame:
-        """Write aside, then overwrite: the new rows may come from the old table."""
-        staged = cut(df, name)
-        staged.write.mode("overwrite").parquet(self.path(name))
+        self.replace_all({name: df})
         return self.read(name)
 
+    def replace_all(self, tables: dict[str, DataFrame]) -> None:
+        """Write every table once, to a new folder; then let them all take their names at once."""
+        now = self.tables()
+        for name, df in tables.items():
+            folder = f"{name}/{uuid.uuid4().hex}"
+            df.write.parquet(self.path(folder))
+            now[name] = folder
+        pointer = self.spark.createDataFrame([(json.dumps(now, sort_keys=True),)], "tables string").coalesce(1)
+        pointer.write.text(f"{self.path(POINTERS)}/{self._last_pointer() + 1}")
+
+    def drop_old(self) -> int:
+        """Delete the folders of tables that no longer bear their name; nothing may be reading them. Returns how many."""
+        current, gone = self.tables(), 0
+        for name, folder in current.items():
+            fs, where = self._folder(self.path(name))
+            for x in fs.listStatus(where):
+                if x.getPath().getName() != folder.rsplit("/", 1)[1]:
+                    gone += fs.delete(x.getPath(), True)
+        return gone
+
 
 def ingest(store: Store, documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Load scraped documents into the raw tables; the counters and the documents set aside."""
-    if store.exists("fighters"):
-        known = store.read("fighters")
-    else:
-        known = store.spark.createDataFrame([], "fighter_id long, fighter_name string, fighter_url string")
+    first = not store.exists("fighters")
+    known = store.spark.createDataFrame([], "fighter_id long, fighter_name string, fighter_url string") if first \
+        else store.read("fighters")
     rows, aside, counts = payload.load_rows(documents, known)
     rows = {n: cut(df, f"load-{n}") for n, df in rows.items()}
-    if not store.exists("fights"):
-        for name, df in rows.items():
-            store.replace(name, df)
-    else:
-        for name, df in payload.apply_load({n: store.read(n) for n in RAW}, rows).items():
-            store.replace(name, df)
+    store.replace_all(rows if first else payload.apply_load({n: store.read(n) for n in RAW}, rows))
     return counts, aside
 
 

@@ -73,7 +73,8 @@ def score_card(store: Store, bouts: DataFrame, event_date: Column, bio: DataFram
     models = {n: learn.load(store.spark, store.path(f"models/{n}")) for n in [*learn.STAT_TARGETS, "win"]}
     named = cut(card.resolve_card(bouts, store.read("fighters")), "card")
     past = history.load_history(store.read("fighter_fight_facts"))
-    rows = cut(card.card_rows(card.card_features(past, named, event_date), named, bio), "card-rows")
+    upcoming = cut(card.card_features(past, named, event_date), "card-features")  # read for either corner
+    rows = cut(card.card_rows(upcoming, named, bio), "card-rows")
     win = models.pop("win")
     stats = learn.stat_predictions(models, rows)
     scored = win.predict(learn.with_stack(rows, stats)).select(*learn.KEYS, "p").join(stats, learn.KEYS)

@@ -118,6 +118,18 @@ def test_rebuild_and_audit(spark, store):
     assert all(found.values()), found
 
 
+def test_a_write_that_breaks_off_changes_nothing(spark, tmp_path):
+    s = Store(spark, str(tmp_path / "s"))
+    s.replace_all({"a": spark.range(3), "b": spark.range(4)})
+    broken = spark.range(5).select(F.raise_error(F.lit("no")).alias("id"))
+    with pytest.raises(Exception, match="no"):
+        s.replace_all({"a": spark.range(9), "b": broken})
+    assert (s.read("a").count(), s.read("b").count()) == (3, 4)
+    s.replace("a", s.read("a").unionByName(spark.range(1)))
+    assert (s.read("a").count(), s.read("b").count()) == (4, 4) and not s.exists("c")
+    assert s.drop_old() == 3 and (s.read("a").count(), s.read("b").count()) == (4, 4)
+
+
 def test_reload_with_fewer_rounds_resyncs(spark, store):
     again = spark.createDataFrame([(9, event(1, bout(1, "Ann", "Bea", rounds=1)))], "seq long, payload string")
     before = store.read("round_stats").count()
