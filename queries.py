@@ -851,10 +851,14 @@ def _doc_corners(spark, d):
     result = F.expr("map_filter(map(url1, status1, coalesce(nullif(url2, url1), 'none'), status2), (k, v) -> v is not null)")
     return rows.select("fight_url", "name1", "url1", "name2", "url2", result.alias("result"))
 
-# -- models (no SQL says a boosted tree; rows only) -------------------------
+# -- models: SQL cannot grow trees, but it can say which rows are fitted, scored and predicted ---------------
 
 SMALL = learn.Boost(trees=3, depth=3)
-_LEARN_COLS = ["weight_class_norm", "is_title", *[f"diff_{c}" for c in DIFF_COLS]]
+
+
+def _learn_cols(train):
+    """All features of the recipe but the text ones' codes, which are features too."""
+    return learn.feature_columns(train.columns, "win")
 
 
 def _slices(spark, d):
@@ -864,22 +868,66 @@ def _slices(spark, d):
 
 def _win_model(spark, d):
     fit, val, test = _slices(spark, d)
-    model = learn.fit(fit, _LEARN_COLS, "y_a_win", SMALL, val=val, kind="win")
-    return scores.win_baselines(model.predict(scores.page_only(test)))
+    model = learn.fit(fit, _learn_cols(fit), "y_a_win", SMALL, val=val, kind="win")
+    found = scores.win_baselines(model.predict(scores.page_only(test)))
+    return rounded(found.select("n_test", "coin_logloss", "fav_logloss", "fav_acc", "veteran_n",
+                                F.expr("logloss > 0 and logloss < 2 and brier between 0 and 1").alias("scored")))
 
 
 def _stat_model(spark, d):
     fit, val, test = _slices(spark, d)
-    return learn.stat_scores(fit, val, test, _LEARN_COLS, "y_a_td_landed", "a_career_td_landed_avg", SMALL)[1]
+    found = learn.stat_scores(fit, val, test, _learn_cols(fit), "y_a_td_landed", "a_career_td_landed_avg", SMALL)[1]
+    return rounded(found.select("n", "baseline_mae", F.expr("mae > 0 and trees between 1 and 3").alias("scored")))
 
 
 def _walk_forward(spark, d):
-    return learn.walk_forward(_slices(spark, d)[0], _LEARN_COLS, "y_a_td_landed", SMALL)
+    fit = _slices(spark, d)[0]
+    cols = ["weight_class_norm", "is_title", *[f"diff_{c}" for c in DIFF_COLS]]  # one model a year
+    return learn.walk_forward(fit, cols, "y_a_td_landed", SMALL).select(
+        *learn.KEYS, F.col("pred").isNotNull().alias("predicted"))
+
+
+def _fold_plan(spark, d):
+    plan = learn.fold_plan(bench(spark, d).model_train, "y_a_td_landed")
+    return spark.createDataFrame([(f.year, f.rows, f.inner_fit, f.inner_val, f.mode) for f in plan],
+                                 "year int, n_before long, inner_fit long, inner_val long, mode string")
 
 
-register("win_model", lambda spark, d: rounded(_win_model(spark, d)))
-register("stat_model", lambda spark, d: rounded(_stat_model(spark, d)))
-register("walk_forward", lambda spark, d: rounded(_walk_forward(spark, d)))
+def _fold_sql(where="true"):
+    """Folds of the training rows: counts before each year, the inner slice's edge six months before the last of them."""
+    return f"""(select year, n_before, inner_fit, n_before - inner_fit as inner_val, case when n_before < 250 then 'none'
+      when inner_fit < 200 or n_before - inner_fit < 50 then 'fixed' else 'stopped' end as mode from (
+      select y.year, count(t.event_date) as n_before,
+        count(t.event_date) filter (where t.event_date < y.last - interval 6 months) as inner_fit
+      from (select a.year, max(b.event_date) as last from (select distinct cast(year(event_date) as int) as year
+            from model_train where {where}) a left join (select event_date from model_train where y_a_td_landed is not null
+            and {where}) b on year(b.event_date) < a.year group by 1) y
+      left join (select event_date from model_train where y_a_td_landed is not null and {where}) t
+        on year(t.event_date) < y.year group by 1))"""
+
+
+_fit_era = f"{_era_sql} = 'FIT'"
+register("fold_plan", _fold_plan, o.with_(f"select * from {_fold_sql()}", "model_train"))
+register(
+    "win_model", _win_model,
+    o.with_("select count(*) as n_test, " + ", ".join(f"{o.r6(e)} as {n}" for n, e in (
+        ("coin_logloss", "-ln(0.5)"), ("fav_logloss", "avg(-case when y=1 then ln(fav) else ln(1-fav) end)"),
+        ("fav_acc", "avg(case when y = (fav=0.62)::int then 1.0 else 0.0 end)")))
+        + ", count(*) filter (where vet) as veteran_n, true as scored from (select *, case when a_career_win_pct is null or "
+        "b_career_win_pct is null then 0.5 when a_career_win_pct > b_career_win_pct then 0.62 else 0.38 end as fav, "
+        f"{_vet} as vet from {_labelled('TEST')})", "model_train"),
+)
+register(
+    "stat_model", _stat_model,
+    o.with_(f"select count(*) as n, {o.r6('avg(abs(y_a_td_landed - coalesce(a_career_td_landed_avg, fill)))')} as baseline_mae, "
+            "true as scored from model_train, (select quantile_cont(y_a_td_landed, 0.5) as fill from model_train where "
+            f"{_fit_era}) where orientation='page' and {_era_sql}='TEST' and y_a_td_landed is not null", "model_train"),
+)
+register(
+    "walk_forward", _walk_forward,
+    o.with_(f"select fight_id, orientation, mode <> 'none' as predicted from model_train join {_fold_sql(_fit_era)} f "
+            f"on f.year = year(event_date) where {_fit_era}", "model_train"),
+)
 register(
     "stacked_columns",
     lambda spark, d: rounded(learn.with_stack(

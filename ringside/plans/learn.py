@@ -7,7 +7,9 @@ libraries; the protocol (time slices, weights, out-of-fold stack) is the same.
 
 import json
 import re
+from calendar import monthrange
 from dataclasses import asdict, dataclass, field, replace
+from datetime import date
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier
@@ -197,28 +199,66 @@ def win_models(fit_rows, val, test, cols, boost: Boost) -> tuple[Model, DataFram
 # -- stacking ---------------------------------------------------------------
 
 
+@dataclass(frozen=True)
+class Fold:
+    """How one calendar year is predicted: from what, and with an inner validation slice or a fixed number of trees."""
+
+    year: int
+    rows: int
+    edge: date | None = None
+    inner_fit: int = 0
+    inner_val: int = 0
+
+    @property
+    def mode(self) -> str:
+        if self.rows < MIN_TRAIN_ROWS:
+            return "none"
+        return "fixed" if self.inner_fit < MIN_INNER_FIT or self.inner_val < MIN_INNER_VAL else "stopped"
+
+
+def fold_plan(rows: DataFrame, label: str) -> list[Fold]:
+    """One fold per calendar year of the rows, from the labelled rows of the years before it.
+
+    Worked out from the rows counted by day, a table as long as the calendar.
+    """
+    days = rows.groupBy("event_date").agg(F.count(label).alias("n")).filter("event_date is not null").collect()
+    out = []
+    for year in sorted({r["event_date"].year for r in days}):
+        before = [r for r in days if r["event_date"].year < year and r["n"]]
+        n = sum(r["n"] for r in before)
+        if not n:
+            out.append(Fold(year, 0))
+            continue
+        edge = _months_before(max(r["event_date"] for r in before), INNER_VAL_MONTHS)
+        early = sum(r["n"] for r in before if r["event_date"] < edge)
+        out.append(Fold(year, n, edge, early, n - early))
+    return out
+
+
+def _months_before(day: date, months: int) -> date:
+    """The same day of an earlier month, or that month's last day."""
+    years, month = divmod(day.year * 12 + day.month - 1 - months, 12)
+    return date(years, month + 1, min(day.day, monthrange(years, month + 1)[1]))
+
+
 def walk_forward(rows: DataFrame, cols, label, boost: Boost) -> DataFrame:
     """Out-of-fold predictions: a year is predicted by a model of the years before it.
 
     Rows of years with too little history keep a NULL. One fit per calendar
     year is a short driver loop; every fit and prediction is a Spark job.
     """
-    rows = rows.withColumn("__year", F.year("event_date"))
-    years = sorted(r[0] for r in rows.select("__year").distinct().collect())
-    out = []
-    for year in years:
-        usable = rows.filter((F.col("__year") < year) & F.col(label).isNotNull())
-        seen = usable.agg(F.count(F.lit(1)).alias("n"), F.max("event_date").alias("last")).first()
-        target = rows.filter(F.col("__year") == year)
-        if seen["n"] < MIN_TRAIN_ROWS:
+    year = F.year("event_date")
+    out = [rows.filter(year.isNull()).select(*KEYS, F.lit(None).cast("double").alias("pred"))]
+    for fold in fold_plan(rows, label):
+        target = rows.filter(year == fold.year)
+        if fold.mode == "none":
             out.append(target.select(*KEYS, F.lit(None).cast("double").alias("pred")))
             continue
-        edge = F.add_months(F.lit(seen["last"]), -INNER_VAL_MONTHS)
-        early = F.col("event_date") < edge
-        parts = usable.agg(F.count_if(early).alias("fit"), F.count_if(~early).alias("val")).first()
-        if parts["fit"] < MIN_INNER_FIT or parts["val"] < MIN_INNER_VAL:
+        usable = rows.filter((year < fold.year) & F.col(label).isNotNull())
+        if fold.mode == "fixed":
             model = fit(usable, cols, label, replace(boost, trees=min(boost.trees, FIXED_TREES)))
         else:
+            early = F.col("event_date") < F.lit(fold.edge)
             model = fit(usable.filter(early), cols, label, boost, val=usable.filter(~early))
         out.append(model.predict(target, "pred").select(*KEYS, "pred"))
     result = out[0]
