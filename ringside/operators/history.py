@@ -117,15 +117,21 @@ def performance_inputs(stats=STAT_COLS):
     return prior, recent, {MOMENTUM_DAYS: older, ACTIVITY_DAYS: {"b2_all": number()}}
 
 
+#: Statistics that can be negative: differences, and defense where more landed than was attempted.
+SIGNED = ("_diff", "_defense")
+
+
 def performance_columns(stats=STAT_COLS) -> dict[str, Column]:
     c = F.col
     in_window = c("n_valid") - c("bn_valid")
     out = {}
     for s in stats:
         career = _avg(s)
-        momentum = m.ratio(
-            c(f"s_{s}") - F.coalesce(c(f"bs_{s}"), F.lit(0.0)), c(f"n_{s}") - c(f"bn_{s}")
-        )
+        inside = c(f"s_{s}") - F.coalesce(c(f"bs_{s}"), F.lit(0.0))
+        if not s.endswith(SIGNED):
+            # two long sums of the same values may differ in their last digit, which must not show as less than none
+            inside = F.when(inside < 0, 0.0).otherwise(inside)
+        momentum = m.ratio(inside, c(f"n_{s}") - c(f"bn_{s}"))
         none = c("n_valid") == 0
         out[window_col("career", s)] = career
         out[window_col("momentum", s)] = F.when(in_window == 0, career).otherwise(momentum)
