@@ -19,6 +19,7 @@ import re
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,8 +31,8 @@ SPACE = 0x2581
 #: Stands for a literal U+2581: a number that no character and no piece has.
 _LITERAL = 0x110000
 #: Segments whose ids a task remembers, and characters worked on at a time.
-MEMO = 300_000
-BLOCK = 1 << 21
+MEMO = 200_000
+BLOCK = 1 << 17
 _FALLBACK = -1
 _SEGMENTS = re.compile(" +[^ ]*").findall
 _FILTER_BITS = 22
@@ -209,19 +210,7 @@ def opened(path: str) -> Pieces:
     return _OPEN[path]
 
 
-_BATCH = 2048
-
-
-def encoded(text: Column, path: str) -> Column:
-    """array<int> of the ids of a text column."""
-    @F.pandas_udf("array<int>")
-    def of(texts: pd.Series) -> pd.Series:
-        pieces, all_texts, out = opened(path), texts.tolist(), []
-        for i in range(0, len(all_texts), _BATCH):
-            out += pieces.encode(all_texts[i:i + _BATCH])
-        return pd.Series(out, dtype=object)
-
-    return of(text)
+_BATCH = 256
 
 
 def decoded(ids: Column, path: str) -> Column:
@@ -234,20 +223,36 @@ def decoded(ids: Column, path: str) -> Column:
     return of(ids)
 
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, text, ids) of every row, repeated rows included. A null text counts as empty and has no ids."""
-    return docs.select(F.col(f"`{id_col}`").alias("doc_id"), whole_text(text).alias("text"),
-                       encoded(whole_text(text), path).alias("ids"))
+def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "text", back: bool = False) -> DataFrame:
+    """(doc_id, text, ids) of every row, repeated rows included; with back, decoded too: the text of the ids.
+
+    A null text counts as empty and has no ids. Other columns play no part.
+    Texts are worked on a few at a time, whatever the size of a batch.
+    """
+    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), whole_text(text).alias("text"))
+
+    def of(batches):
+        pieces = opened(path)
+        for batch in batches:
+            for i in range(0, batch.num_rows, _BATCH):
+                part = batch.slice(i, _BATCH)
+                ids = pieces.encode(part.column(1).to_pylist())
+                ends = pa.array(np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32))
+                out = [part.column(0), part.column(1), pa.ListArray.from_arrays(ends, pa.array(np.concatenate(ids)))]
+                if back:
+                    out.append(pa.array([pieces.decode(x.tolist()) for x in ids], pa.string()))
+                yield pa.RecordBatch.from_arrays(out, ["doc_id", "text", "ids", "decoded"][:len(out)])
+
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(of, f"doc_id {kind}, text string, ids array<int>" + ", decoded string" * back)
 
 
 def op6(spark, sf_dir):
     """Every document encoded and decoded again."""
-    path = model_path()
-    rows = encode(table(spark, sf_dir, "documents"), path)
-    back = decoded(F.col("ids"), path)
+    rows = encode(table(spark, sf_dir, "documents"), model_path(), back=True)
     return rows.select("doc_id", F.octet_length("text").cast("bigint").alias("n_bytes"),
-                       F.size("ids").cast("bigint").alias("n_tokens"), "ids", F.sha2(back, 256).alias("decoded_sha256"),
-                       (back == F.col("text")).alias("round_trip"))
+                       F.size("ids").cast("bigint").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"),
+                       (F.col("decoded") == F.col("text")).alias("round_trip"))
 
 
 QUERIES = {"op6_sentencepiece_viterbi": op6}

@@ -94,6 +94,8 @@ def test_query_round_trips(spark):
     rows = pieces.op6(spark, "/root/testdata/sf0.001").collect()
     assert len(rows) == 200 and all(r["round_trip"] and r["n_tokens"] == len(r["ids"]) for r in rows)
     docs = spark.createDataFrame([(None, None, 1), (1, "", 2), (1, "a b", 3), (1, "a b", 3)], "doc_id long, text string, ids int")
-    got = pieces.encode(docs, token_counts.model_path()).collect()
+    path = token_counts.model_path()
+    got = pieces.encode(docs, path).collect()
+    assert all(r["t"] == r["text"] for r in pieces.encode(docs, path).withColumn("t", pieces.decoded(F.col("ids"), path)).collect())
     assert sorted(len(r["ids"]) for r in got) == [0, 0, 2, 2]
     assert pieces.encode(docs.limit(0), token_counts.model_path()).count() == 0
