@@ -38,16 +38,27 @@ from ringside.session import cut
 
 WINDOW = 200
 STEP = 16
-HOT = 1_000_000
+HOT = 200_000
 
-_RUN = "id bigint, k bigint, digit bigint, ext bigint, first int, n int, anchor int"
+#: place packs the first window's byte, the number of windows (at most the window's length) and the anchor's distance.
+_RUN = "id bigint, k bigint, digit bigint, ext bigint, place bigint"
+_BITS = 12
+
+
+def _place(first, n, anchor):
+    return ((np.asarray(first, np.int64) << _BITS | n) << _BITS) | (np.asarray(anchor) - first)
+
+
+def _first_n_anchor(place: np.ndarray):
+    low = (1 << _BITS) - 1
+    first = place >> (2 * _BITS)
+    return first, place >> _BITS & low, first + (place & low)
 
 
 def by_row(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, k, nameless, text): id is never null, k tells rows with equal ids but other texts apart."""
+    """(id, k, text): id is never null, k tells rows with equal ids but other texts apart, and a null id from 0."""
     i, t = F.col(f"`{id_col}`").cast("bigint"), whole_text(text)
-    return docs.select(F.coalesce(i, F.lit(0).cast("bigint")).alias("id"), F.xxhash64(i, t).alias("k"),
-                       i.isNull().alias("nameless"), t.alias("text"))
+    return docs.select(F.coalesce(i, F.lit(0).cast("bigint")).alias("id"), F.xxhash64(i, t).alias("k"), t.alias("text"))
 
 
 def _frame(ids, ks, parts, names):
@@ -79,70 +90,78 @@ def _emit(batches, of_text, names, at_most=400_000):
 def _runs(docs: DataFrame, window: int) -> DataFrame:
     def scan(batches):
         coder = suffixes.Coder(window)
-        return _emit(batches, lambda data, _: suffixes.runs(data, coder, window), ["digit", "ext", "first", "n", "anchor"])
+
+        def of_text(data, _):
+            for gram, ext, first, n, anchor in suffixes.runs(data, coder, window):
+                yield gram, ext, _place(first, n, anchor)
+
+        return _emit(batches, of_text, ["digit", "ext", "place"])
 
     long_enough = docs.select("id", "k", "text").filter(F.octet_length("text") >= window)
     return long_enough.mapInPandas(scan, _RUN)
 
 
 def _lists(rows: DataFrame) -> DataFrame:
-    """Stretches per document; a document's list is no longer than its text."""
-    return rows.groupBy("id", "k").agg(F.sort_array(F.collect_list(F.struct("first", "n", "anchor"))).alias("list"))
-
-
-def _unpack(row):
-    return (np.array([x[c] for x in row.list], np.int64) for c in ("first", "n", "anchor"))
+    """Places per document, in order; a document's list is no longer than its text."""
+    return rows.groupBy("id", "k").agg(F.sort_array(F.collect_list("place")).alias("list"))
 
 
-def _sub_runs(docs: DataFrame, rows: DataFrame, window: int, step: int) -> DataFrame:
+def _sub_runs(texts: DataFrame, rows: DataFrame, window: int, step: int) -> DataFrame:
     def scan(batches):
         coder = suffixes.Coder(window)
 
         def of_text(data, row):
-            for core, ext, first, n in suffixes.sub_runs(data, coder, window, step, *_unpack(row)):
-                yield core, ext, first, n, first
+            for core, ext, first, n in suffixes.sub_runs(data, coder, window, step, *_first_n_anchor(row.list)):
+                yield core, ext, _place(first, n, first)
 
-        return _emit(batches, of_text, ["digit", "ext", "first", "n", "anchor"])
+        return _emit(batches, of_text, ["digit", "ext", "place"])
 
-    return docs.join(_lists(rows), ["id", "k"]).select("id", "k", "text", "list").mapInPandas(scan, _RUN)
+    return texts.join(_lists(rows), ["id", "k"]).select("id", "k", "text", "list").mapInPandas(scan, _RUN)
 
 
-def _windows(docs: DataFrame, rows: DataFrame, window: int) -> DataFrame:
+def _windows(texts: DataFrame, rows: DataFrame, window: int) -> DataFrame:
     def scan(batches):
         coder = suffixes.Coder(window)
 
         def of_text(data, row):
-            first, n, _ = _unpack(row)
-            yield from suffixes.window_codes(data, coder, window, first, n)
+            first, n, _ = _first_n_anchor(row.list)
+            for x, y, start in suffixes.window_codes(data, coder, window, first, n):
+                yield x, y, _place(start, 1, start)
+
+        return _emit(batches, of_text, ["x", "y", "place"])
+
+    return texts.join(_lists(rows), ["id", "k"]).select("id", "k", "text", "list").mapInPandas(
+        scan, "id bigint, k bigint, x bigint, y bigint, place bigint")
 
-        return _emit(batches, of_text, ["x", "y", "first"])
 
-    return docs.join(_lists(rows), ["id", "k"]).select("id", "k", "text", "list").mapInPandas(
-        scan, "id bigint, k bigint, x bigint, y bigint, first int")
+def _sizes(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("digit").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
 
 
-def _sift(rows: DataFrame, hot: int) -> DataFrame:
-    """One digit's pass: rows that share it with others, as (id, k, first, n, anchor, whole, open).
+def _sift(rows: DataFrame, sizes: DataFrame, hot: int, crowded: bool) -> DataFrame:
+    """One digit's pass: rows that share it with others, as (id, k, place, whole, open).
 
     whole: another row covers equal bytes. open: goes on to the next digit, because the
     digit's group holds other bytes too; of rows with equal bytes only one goes on.
+    crowded: whether a digit can have more than hot rows.
     """
-    sizes = rows.groupBy("digit").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    met = rows.join(sizes, "digit")
+    cols = ["id", "k", "place", (F.col("same") > 1).alias("whole"), (F.col("mixed") & F.col("head")).alias("open")]
     digit, both = Window.partitionBy("digit"), Window.partitionBy("digit", "ext")
-    cold = met.filter(F.col("size") <= hot).withColumns({
+    few, many = rows, None
+    if crowded:  # hot digits leave before the others are brought together by digit
+        hot_digits = sizes.filter(F.col("size") > hot).select("digit")
+        few, many = rows.join(hot_digits, "digit", "left_anti"), rows.join(hot_digits, "digit", "left_semi")
+    cold = few.join(sizes.select("digit"), "digit").withColumns({
         "same": F.count(F.lit(1)).over(both),
         "mixed": F.min("ext").over(digit) != F.max("ext").over(digit),
-        "head": F.row_number().over(both.orderBy("id", "k", "first")) == 1})
-    crowd = met.filter(F.col("size") > hot)
-    place = F.struct("id", "k", "first")
-    kinds = crowd.groupBy("digit", "ext").agg(F.count(F.lit(1)).alias("same"), F.min(place).alias("least"))
-    digits = crowd.groupBy("digit").agg((F.min("ext") != F.max("ext")).alias("mixed"))
-    kinds = kinds.join(digits, "digit")
-    warm = crowd.join(kinds, ["digit", "ext"]).withColumn("head", place == F.col("least"))
-    cols = ["id", "k", "first", "n", "anchor", (F.col("same") > 1).alias("whole"),
-            (F.col("mixed") & F.col("head")).alias("open")]
-    return cold.select(*cols).union(warm.select(*cols)).filter("whole or open")
+        "head": F.row_number().over(both.orderBy("id", "k", "place")) == 1}).select(*cols)
+    if not crowded:
+        return cold.filter("whole or open")
+    who = F.struct("id", "k", "place")
+    kinds = many.groupBy("digit", "ext").agg(F.count(F.lit(1)).alias("same"), F.min(who).alias("least"))
+    digits = kinds.groupBy("digit").agg((F.min("ext") != F.max("ext")).alias("mixed"))
+    warm = many.join(kinds.join(digits, "digit"), ["digit", "ext"]).withColumn("head", who == F.col("least"))
+    return cold.union(warm.select(*cols)).filter("whole or open")
 
 
 def repeated_spans(rows: DataFrame, texts: DataFrame, window: int = WINDOW, step: int = STEP, hot: int = HOT) -> DataFrame:
@@ -150,25 +169,26 @@ def repeated_spans(rows: DataFrame, texts: DataFrame, window: int = WINDOW, step
 
     texts: the same rows, partitioned by (id, k).
     """
-    runs = cut(_sift(_runs(rows, window), hot), "runs")
-    sub = _sift(_sub_runs(texts, runs.filter("open"), window, step), hot)
+    found = _runs(rows, window)
+    grams = cut(_sizes(found), "grams")
+    # a later digit holds the gram, so its groups are no larger
+    crowded = not grams.filter(F.col("size") > hot).isEmpty()
+    runs = cut(_sift(found, grams, hot, crowded), "runs")
+    pieces = _sub_runs(texts, runs.filter("open"), window, step)
+    sub = _sift(pieces, _sizes(pieces), hot, crowded)
     singles = _windows(texts, sub.filter("open"), window)
     twice = singles.groupBy("x", "y").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
-    found = singles.join(twice, ["x", "y"]).select("id", "k", "first", F.lit(1).alias("n"))
-    every = runs.filter("whole").select("id", "k", "first", "n").union(
-        sub.filter("whole").select("id", "k", "first", "n")).union(found)
-    return every.groupBy("id", "k").agg(F.collect_set(F.struct("first", "n")).alias("stretches"))
+    found = singles.join(twice, ["x", "y"]).select("id", "k", "place")
+    every = runs.filter("whole").select("id", "k", "place").union(sub.filter("whole").select("id", "k", "place")).union(found)
+    return every.groupBy("id", "k").agg(F.collect_set("place").alias("places"))
 
 
-def _ranges(stretches, window: int) -> list[tuple[int, int]]:
-    out: list[tuple[int, int]] = []
-    for first, n in sorted((s["first"], s["n"]) for s in stretches):
-        stop = first + n + window - 1
-        if out and first <= out[-1][1]:
-            out[-1] = (out[-1][0], max(stop, out[-1][1]))
-        else:
-            out.append((first, stop))
-    return out
+def _ranges(places, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Byte ranges that the windows of these places cover, neighbours joined: starts and stops."""
+    first, n, _ = _first_n_anchor(np.sort(places))
+    stop = np.maximum.accumulate(first + n + window - 1)
+    new = np.concatenate(([True], first[1:] > stop[:-1]))
+    return first[new], stop[np.append(np.flatnonzero(new)[1:], len(stop)) - 1]
 
 
 def strip_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text: str = "text", **how) -> DataFrame:
@@ -182,21 +202,22 @@ def strip_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
     rows = by_row(docs, id_col, text)
     texts = rows.repartition("id", "k")  # one exchange, read by every later step
     joined = texts.join(repeated_spans(rows, texts, window, **how), ["id", "k"], "left")
+    nameless = (F.col("id") == 0) & (F.col("k") != F.xxhash64(F.lit(0).cast("bigint"), F.col("text")))
 
     def remove(batches):
         for pdf in batches:
-            spans, kept = [], []
-            for t, s in zip(pdf["text"], pdf["stretches"]):
+            spans, kept, sizes = [], [], []
+            for t, places in zip(pdf["text"], pdf["places"]):
                 data = t.encode()
-                ranges = [] if s is None else _ranges(s, window)
-                edges = [0, *[x for r in ranges for x in r], len(data)]
-                kept.append(b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2])))
-                spans.append([{"start": a, "stop": b} for a, b in ranges])
-            yield pd.DataFrame({"doc_id": pdf["id"].where(~pdf["nameless"], None).astype("Int64"),
-                                "n_bytes": pdf["text"].map(lambda t: len(t.encode())), "spans": spans, "kept": kept})
-
-    return joined.select("id", "nameless", "text", "stretches").mapInPandas(
-        remove, "doc_id bigint, n_bytes bigint, spans array<struct<start:bigint,stop:bigint>>, kept binary")
+                starts, stops = ([], []) if places is None else _ranges(np.asarray(places, np.int64), window)
+                kept.append(b"".join([data[a:b] for a, b in zip([0, *stops], [*starts, len(data)])]))
+                spans.append([{"start": int(a), "stop": int(b)} for a, b in zip(starts, stops)])
+                sizes.append(len(data))
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "n_bytes": sizes, "spans": spans, "kept": kept})
+
+    return joined.select(F.when(~nameless, F.col("id")).cast("string").alias("doc_id"), "text", "places").mapInPandas(
+        remove, "doc_id string, n_bytes bigint, spans array<struct<start:bigint,stop:bigint>>, kept binary").withColumn(
+        "doc_id", F.col("doc_id").cast("bigint"))
 
 
 def op3(spark, sf_dir):
