@@ -25,7 +25,7 @@ import zlib
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ringside.llm.common import WORD, fresh, table, whole_text
@@ -138,8 +138,27 @@ def taken_words(size: np.ndarray, blocks: int, quota: int, seed: int) -> np.ndar
     return np.diff(upto)
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP, block: int = BLOCK, seed: int = SEED,
-        shard_rows: int = SHARD_ROWS, source: str = "source", id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def whole_copies(size: np.ndarray, taken: np.ndarray, seed: int) -> np.ndarray:
+    """Copies of each document of a line: its share taken / size, rounded up or down so that the words add up.
+
+    Longest first, a fraction is rounded up by a seeded draw whose chance is the
+    fraction plus the words owed so far over the document's length. What a long
+    document has too much or too little is thus made up for by shorter ones.
+    """
+    out = np.where(size > 0, taken // np.maximum(size, 1), 0)
+    left = taken - out * size
+    line = np.lexsort((np.arange(len(size)), -size))
+    line = line[left[line] > 0]
+    owed = 0
+    for i, draw in zip(line, np.random.Generator(np.random.PCG64(seed)).random(len(line))):
+        owed += int(left[i])
+        if draw * size[i] < owed:
+            out[i] += 1
+            owed -= int(size[i])
+    return out
+
+
+def mix(docs: DataFrame, **how) -> DataFrame:
     """(doc_id, k, size, source_size, target, taken) of every row.
 
     taken counts repeats and is at most cap times the size. A null or empty text
@@ -148,6 +167,12 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP
     Reruns over equal rows agree, however they are partitioned. Columns other than
     id, text and source play no part. An empty table gives an empty table.
     """
+    return _taken(docs, **how).select("doc_id", "k", "size", "source_size", "target", "taken")
+
+
+def _taken(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP, block: int = BLOCK, seed: int = SEED,
+           shard_rows: int = SHARD_ROWS, source: str = "source", id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of mix with their source (named, source) and copies, their number of whole copies."""
     spark = docs.sparkSession
     rows = cut(sizes(docs, source, id_col, text), "sizes")
     per_source = cut(rows.groupBy("named", "source").agg(F.count(F.lit(1)).alias("docs")), "sources")
@@ -162,7 +187,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP
     words = dealt.groupBy("named", "source", "shard").agg(F.sum("size").alias("words")).toPandas()
     if words.empty:
         return rows.select("doc_id", "k", "size", F.col("size").alias("source_size"), F.lit(0.0).alias("target"),
-                           F.col("size").alias("taken"))
+                           F.col("size").alias("taken"), "named", "source", F.col("size").alias("copies"))
     plan = quotas(words, weights, share, cap, block)[
         ["named", "source", "shard", "source_size", "target", "blocks", "quota"]]
     plan = spark.createDataFrame(plan, "named boolean, source string, shard int, source_size long, target double, "
@@ -171,29 +196,42 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP
     def take(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["order", "doc_id", "k"], kind="stable")
         name = f"{seed}/{pdf['named'].iat[0]}/{pdf['source'].iat[0]}/{pdf['shard'].iat[0]}"
-        taken = taken_words(pdf["size"].to_numpy(np.int64), int(pdf["blocks"].iat[0]), int(pdf["quota"].iat[0]),
-                            zlib.crc32(name.encode()))
-        return pdf.assign(taken=taken)[["doc_id", "k", "size", "source_size", "target", "taken"]]
+        size = pdf["size"].to_numpy(np.int64)
+        taken = taken_words(size, int(pdf["blocks"].iat[0]), int(pdf["quota"].iat[0]), zlib.crc32(name.encode()))
+        copies = whole_copies(size, taken, zlib.crc32(f"{name}/copies".encode()))
+        return pdf.assign(taken=taken, copies=copies)[
+            ["doc_id", "k", "size", "source_size", "target", "taken", "named", "source", "copies"]]
 
     return dealt.join(plan, ["named", "source", "shard"]).groupBy("named", "source", "shard").applyInPandas(
-        take, "doc_id bigint, k bigint, size bigint, source_size bigint, target double, taken bigint")
+        take, "doc_id bigint, k bigint, size bigint, source_size bigint, target double, taken bigint, "
+              "named boolean, source string, copies bigint")
 
 
 def mixed(docs: DataFrame, **how) -> DataFrame:
-    """The mix as documents: every row as often as the mix takes it, rounded to whole copies, columns unchanged.
+    """The mix as documents: every row as often as the mix takes it in whole copies, columns unchanged.
 
-    A document of which the mix takes less than half its words is left out; one
-    that it takes one and a half times or more comes twice.
+    A row comes as often as its share of words says, rounded up or down so that
+    each source's words add up to its target (whole_copies). Copies of rows equal
+    in id, text and source are dealt among them.
     """
-    k, n, again = fresh(docs, "_k", "_n", "_again")
-    plan = mix(docs, **how).filter("size > 0").groupBy("doc_id", "k").agg(
-        F.sum("taken").alias("taken"), F.sum("size").alias("size"))
-    plan = plan.select(F.col("doc_id").alias("_id"), F.col("k").alias("_key"),
-                       F.round(F.col("taken") / F.col("size")).cast("int").alias(n)).filter(F.col(n) > 0)
-    rows = docs.withColumn(k, F.xxhash64(whole_text("text")))
-    met = rows.join(plan, rows["doc_id"].eqNullSafe(F.col("_id")) & (rows[k] == F.col("_key")))
-    return met.select(*[rows[f"`{c}`"] for c in docs.columns], n).withColumn(
-        again, F.explode(F.sequence(F.lit(1), F.col(n)))).drop(n, again)
+    named, s, k, n, m, again = fresh(docs, "_named", "_source", "_k", "_n", "_m", "_again")
+    plan = _taken(docs, **how).groupBy("doc_id", "k", "named", "source").agg(
+        F.sum("copies").alias(n), F.count(F.lit(1)).alias(m)).filter(F.col(n) > 0)
+    plan = cut(plan.select(F.col("doc_id").alias("_id"), F.col("k").alias("_key"), F.col("named").alias("_has"),
+                           F.col("source").alias("_of"), n, m), "copies")
+    of = F.col(f"`{how.get('source', 'source')}`").cast("string")
+    rows = docs.withColumns({named: of.isNotNull(), s: F.coalesce(of, F.lit("")), k: F.xxhash64(whole_text("text"))})
+    met = rows.join(plan, rows["doc_id"].cast("bigint").eqNullSafe(F.col("_id")) & (rows[k] == F.col("_key"))
+                    & (rows[named] == F.col("_has")) & (rows[s] == F.col("_of")))
+    met = met.select(*[rows[f"`{c}`"] for c in docs.columns], "_id", "_key", "_has", "_of", n, m)
+    each = F.floor(F.col(n) / F.col(m))
+    if not plan.filter(F.col(n) % F.col(m) > 0).isEmpty():  # rows that share an uneven number
+        place = F.row_number().over(Window.partitionBy("_id", "_key", "_has", "_of").orderBy(
+            F.xxhash64(*[F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind])))
+        met = met.withColumn(again, place)
+        each = each + (F.col(again) <= F.col(n) % F.col(m)).cast("int")
+    met = met.withColumn(n, each.cast("int")).filter(F.col(n) > 0)
+    return met.withColumn(again, F.explode(F.sequence(F.lit(1), F.col(n)))).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op1(spark, sf_dir):
