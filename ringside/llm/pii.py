@@ -18,22 +18,39 @@ from pyspark.sql import functions as F
 
 from ringside.llm.common import table, whole_text
 
-#: The pattern of each kind, tried in this order at each place of a text.
+_EMAIL = r"[A-Za-z0-9](?:[A-Za-z0-9._%+\-]{0,63})@[A-Za-z0-9](?:[A-Za-z0-9\-]{0,62})(?:\.[A-Za-z0-9\-]{1,63})*\.[A-Za-z]{2,24}"
+_DATE = r"(?<![\w.\-/])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})(?![\w\-/]|\.\d)"
+_SSN = r"(?<![\w\-])\d{3}-\d{2}-\d{4}(?![\w\-])"
+_IP = r"(?<![\w.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\w|\.\d)"
+_END = r"(?!\w|[.\-]\d)"
+_NATIONAL = r"\d{3}[.\- ]\d{3}[.\- ]\d{4}" + _END
+#: What a run of digit groups stops at, and a phone number besides at a card.
+_OTHERS = f"(?:{_EMAIL}|{_DATE}|{_SSN}|{_IP})"
+_CARD_SHAPE = r"(?:\d{13,19}|\d{4}(?:[ \-]\d{4}){3}|\d{4}[ \-]\d{6}[ \-]\d{4,5})(?!\d)"
+_STOP, _GROUP = f"(?!{_OTHERS}|{_NATIONAL})", r"\d++(?!\w|\.\d)"
+
+#: The pattern of each kind, tried in this order at each place of a text. A card's is a whole run of digit
+#: groups with 13 digits or more, in which _cards() looks for numbers; a phone number has a country code and 8 to 15
+#: digits in any grouping, or the national form of 3, 3 and 4.
 PATTERNS = {
-    "email": r"[A-Za-z0-9](?:[A-Za-z0-9._%+\-]{0,63})@[A-Za-z0-9](?:[A-Za-z0-9\-]{0,62})(?:\.[A-Za-z0-9\-]{1,63})*\.[A-Za-z]{2,24}",
-    "date": r"(?<![\w.\-/])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})(?![\w\-/]|\.\d)",
-    "ssn": r"(?<![\w\-])\d{3}-\d{2}-\d{4}(?![\w\-])",
-    "ip": r"(?<![\w.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\w|\.\d)",
-    "card": r"(?<![\w.\-])\d(?:[ \-]?\d){12,18}(?!\w|[.\-]\d)",
-    "phone": r"(?<![\w.+])(?:\+\d{1,3}[ .\-]?(?:\(\d{2,4}\)|\d{2,4})[ .\-]?\d{3}[ .\-]?\d{3,4}|\(\d{3}\) ?\d{3}[.\-]\d{4}|\d{3}[.\-]\d{3}[.\-]\d{4})(?!\w|[.\-]\d)",
+    "email": _EMAIL,
+    "date": _DATE,
+    "ssn": _SSN,
+    "ip": _IP,
+    "card": rf"(?<![\w.\-])(?!{_NATIONAL})(?=(?:\d(?:[ \-]{_STOP})?+){{12}}\d){_GROUP}(?:[ \-]{_STOP}{_GROUP})*+",
+    "phone": rf"(?<![\w.+])(?:\+1[ .\-]?(?:\(\d{{3}}\)|\d{{3}})[ .\-]?\d{{3}}[ .\-]?\d{{4}}"
+             rf"|\+\d(?:\)?(?:[ .\-](?!{_OTHERS}))?\(?\d){{7}}(?:\)?(?:[ .\-](?!{_OTHERS}|{_CARD_SHAPE}(?![ \-]\d{{4}}(?!\d))))?\(?\d){{0,7}}"
+             rf"|\(\d{{3}}\) ?\d{{3}}[.\- ]\d{{4}}|\d{{3}}[.\- ]\d{{3}}[.\- ]\d{{4}}){_END}",
 }
 KINDS = list(PATTERNS)
 ANY = "|".join(PATTERNS.values())
 #: How a date can be written, by its shape.
 DATE_FORMS = {r"\d{4}-\d{2}-\d{2}": "yyyy-MM-dd", r"\d{4}/\d{2}/\d{2}": "yyyy/MM/dd",
               r"\d{2}\.\d{2}\.\d{4}": "dd.MM.yyyy", r"\d{2}/\d{2}/\d{4}": "MM/dd/yyyy"}
-#: Dates from 1900-01-01 on for this many days (271 x 270, into May 2100) are permuted among themselves.
+#: Days are counted from FIRST_DAY. Dates from it on for 271 x 270 days (into May 2100) are permuted among themselves, and
+#: so are those before it, from 0001-01-01 on, and those after, to 9999-12-31: (first day, radices), latest first.
 FIRST_DAY, DATE_RADICES = "1900-01-01", (271, 270)
+DATE_SPANS = [(73_170, (538, 5_363)), (0, DATE_RADICES), (-693_595, (245, 2_831))]
 ROUNDS = 10
 DEFAULT_KEY = "ringside-pseudonyms"
 
@@ -145,6 +162,48 @@ def _card_is_valid(value: Column) -> Column:
         & digits.rlike("[1-9]")
 
 
+def _cards(run: Column, key: str) -> Column:
+    """(value, hits): the run of digit groups with its card numbers replaced, and those found, in order.
+
+    A number may begin and end at any group. Of numbers that overlap one counts:
+    that in a usual grouping, then the longest, then the first; digits that only
+    the others have are permuted too, so no valid number stays.
+    """
+    def windows(groups):
+        def one(i, j):
+            s = F.array_join(F.slice(groups, i, j - i + 1), "")
+            usual = s.rlike(rf"^[ \-]?{_CARD_SHAPE}$")
+            return F.struct((~usual).alias("unusual"), (-F.length(_digits_of(s))).alias("size"), i.alias("i"), j.alias("j"), s.alias("s"))
+
+        return F.array_sort(F.flatten(F.transform(F.sequence(F.lit(1), F.size(groups)), lambda i: F.filter(
+            F.transform(F.sequence(i, F.least(i + 18, F.size(groups))), lambda j: one(i, j)),
+            lambda w: w["size"].between(-19, -13) & _card_is_valid(w["s"])))))
+
+    def chosen(found):
+        none = F.filter(found, lambda w: F.lit(False))
+        return F.aggregate(found, none, lambda taken, w: F.when(
+            F.exists(taken, lambda c: (c["i"] <= w["j"]) & (w["i"] <= c["j"])), taken).otherwise(F.concat(taken, F.array(w))))
+
+    def replaced(groups, found, taken):
+        new = F.transform(taken, lambda c: F.struct(c["i"].alias("i"), c["j"].alias("j"), _card(c["s"], key).alias("new")))
+
+        def put(cards, group, x):
+            inside = F.filter(cards, lambda c: (c["i"] <= x + 1) & (c["j"] >= x + 1))
+            shared = F.exists(found, lambda w: (w["i"] <= x + 1) & (w["j"] >= x + 1))
+            return _bind(inside, lambda c: F.when(F.size(c) > 0, F.when(c[0]["i"] == x + 1, c[0]["new"]).otherwise(""))
+                         .when(shared, _fill(group, _permuted_digits(_digits_of(group), key, "card"))).otherwise(group))
+
+        def made(cards):
+            hits = F.transform(F.array_sort(cards), lambda c: F.struct(
+                F.lit("card").alias("kind"), F.regexp_replace(c["new"], r"^[ \-]", "").alias("value")))
+            return F.struct(F.array_join(F.transform(groups, lambda g, x: put(cards, g, x)), "").alias("value"), hits.alias("hits"))
+
+        return _bind(new, made)
+
+    groups = F.regexp_extract_all(run, F.lit(r"[ \-]?\d+"), F.lit(0))
+    return _bind(groups, lambda g: _bind(windows(g), lambda w: _bind(chosen(w), lambda c: replaced(g, w, c))))
+
+
 def _phone(value: Column, key: str) -> Column:
     """The country code stays; all other digits are permuted."""
     code = F.regexp_extract(value, r"^(\+1(?!\d)|\+\d{1,3}(?=[ .\-(])|)", 1)
@@ -175,9 +234,17 @@ def _day(value: Column) -> Column:
 
 
 def _date(value: Column, key: str) -> Column:
-    a, b = DATE_RADICES
-    n = _day(value)
-    moved = feistel(_longs(F.array((n / b).cast("int"), n % b)), _longs(F.array(F.lit(a), F.lit(b))), key, "date")
+    def of_span(n, pick):
+        out = F.lit(pick(*DATE_SPANS[-1]))
+        for first, radices in reversed(DATE_SPANS[:-1]):
+            out = F.when(n >= first, pick(first, radices)).otherwise(out)
+        return out
+
+    def moved_day(n):
+        start, a, b = of_span(n, lambda f, r: f), of_span(n, lambda f, r: r[0]), of_span(n, lambda f, r: r[1])
+        at = n - start
+        new = feistel(_longs(F.array((at / b).cast("int"), at % b)), _longs(F.array(a, b)), key, "date")
+        return _bind(new, lambda m: start + m[0] * b + m[1])
 
     def written(day):
         out = value
@@ -185,8 +252,7 @@ def _date(value: Column, key: str) -> Column:
             out = F.when(value.rlike(f"^{shape}$"), F.date_format(day, form)).otherwise(out)
         return out
 
-    return _bind(_bind(moved, lambda m: F.date_add(
-        F.lit(FIRST_DAY).cast("date"), (m[0] * b + m[1]).cast("int"))), written)
+    return _bind(F.date_add(F.lit(FIRST_DAY).cast("date"), _bind(_day(value), moved_day).cast("int")), written)
 
 
 def _kind(value: Column) -> Column:
@@ -198,21 +264,21 @@ def _kind_by(value: Column, day: Column) -> Column:
     return (
         F.when(value.contains("@"), "email")
         .when(value.rlike(f"^(?:{'|'.join(DATE_FORMS)})$"),
-              F.when((day >= 0) & (day < DATE_RADICES[0] * DATE_RADICES[1]), "date"))
+              F.when(day >= DATE_SPANS[-1][0], "date"))
         .when(value.rlike(r"^\d{3}-\d{2}-\d{4}$"),
               F.when(~value.rlike(r"^(?:000|666|9\d\d)|-00-|-0000$"), "ssn"))
         .when(value.rlike(r"^\d{1,3}(?:\.\d{1,3}){3}$"),
               F.when(F.forall(F.split(value, r"\."), lambda o: ~o.rlike("^0[0-9]") & (o.cast("int") <= 255)), "ip"))
-        .when(value.rlike(r"^\d(?:[ \-]?\d){12,18}$"), F.when(_card_is_valid(value), "card"))
+        .when(value.rlike(r"^\d++(?:[ \-]\d++)*+$") & ~value.rlike(f"^{_NATIONAL}$"), "card")
         .otherwise("phone")
     )
 
 
 def pseudonym(value: Column, kind: Column, key: str) -> Column:
-    """The value itself where kind is null."""
+    """Of any kind but card (see _cards); the value itself where kind is null."""
     return (F.when(kind == "email", _email(value, key)).when(kind == "date", _date(value, key))
             .when(kind == "ssn", _fill(value, _permuted_digits(_digits_of(value), key, "ssn")))
-            .when(kind == "ip", _ip(value, key)).when(kind == "card", _card(value, key))
+            .when(kind == "ip", _ip(value, key))
             .when(kind == "phone", _phone(value, key)).otherwise(value))
 
 
@@ -233,8 +299,14 @@ def pseudonymise(docs: DataFrame, key: str = DEFAULT_KEY, text: str = "text", fo
     worked = docs.select(*[F.col(f"`{c}`") for c in docs.columns], F.struct(values.alias("v")).alias("_pii_seen"))
     marked = F.transform(F.col("_pii_seen.v"), lambda v: F.struct(v.alias("v"), _kind(v).alias("kind")))
     worked = worked.withColumn("_pii_kinds", marked)
-    renamed = F.transform(F.col("_pii_kinds"), lambda m: F.struct(
-        m["kind"].alias("kind"), pseudonym(m["v"], m["kind"], key).alias("value")))
+    hit = "array<struct<kind:string,value:string>>"
+
+    def one(m):
+        other = _bind(pseudonym(m["v"], m["kind"], key), lambda new: F.struct(new.alias("value"), F.when(m["kind"].isNotNull(), F.array(
+            F.struct(m["kind"].alias("kind"), new.alias("value")))).otherwise(F.array().cast(hit)).alias("hits")))
+        return F.when(m["kind"] == "card", _cards(m["v"], key)).otherwise(other)
+
+    renamed = F.transform(F.col("_pii_kinds"), one)
     hits = F.size("_pii_seen.v") > 0
     worked = worked.withColumn("_pii_new", F.when(hits, renamed))
     # a text is its pieces between the matches, with the matches between them
@@ -246,8 +318,7 @@ def pseudonymise(docs: DataFrame, key: str = DEFAULT_KEY, text: str = "text", fo
     if found:
         if found in names:
             raise ValueError(f"there is a column {found} already")
-        out.append(F.coalesce(F.filter(F.col("_pii_new"), lambda m: m["kind"].isNotNull()),
-                              F.array().cast("array<struct<kind:string,value:string>>")).alias(found))
+        out.append(F.coalesce(F.flatten(F.transform(F.col("_pii_new"), lambda m: m["hits"])), F.array().cast(hit)).alias(found))
     return worked.select(*out)
 
 
