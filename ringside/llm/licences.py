@@ -1,7 +1,7 @@
 """Operator 8: licence scan by canonical digests.
 
 A text is brought to a canonical form: ASCII lower case, punctuation and white
-space as single spaces, copyright lines left out, variant spellings made equal.
+space as single spaces, lines that name an owner left out, variant spellings made equal.
 The SHA-256 of the whole canonical text is joined to the digests of known
 licences; so is that of every line taken as a text of its own, which finds
 one-line notices inside longer documents. Only whole texts and whole lines are
@@ -29,8 +29,11 @@ SPELLINGS = [
     ("merchantibility", "merchantability"), ("per cent", "percent"), ("v 2", "version 2"), ("v2", "version 2"),
     ("v3", "version 3"), ("v 3", "version 3"), ("creative commons attribution", "cc by"),
 ]
-#: A canonical line that only states whose work it is.
+#: A canonical line that only states whose work it is, as the checking SQL has it.
 OWNERSHIP = r"^(copyright( |$)|c [0-9]{4}( |$)|all rights reserved$)"
+#: The same for a line as written: copyright with (c), a year or a name, never wrapped prose such as "copyright notice and".
+OWNER = (r"^\W*(?:(?i:copyright)\W*(?:(?i:c)\W|\d{4})|(?i:c)\W+\d{4}(?!\w)|(?i:all rights reserved)\W*$"
+         r"|Copyright\W+(?:(?:by|the|The) +)?(?!(?:Holders?|Owners?|Notices?|Licen[cs]e|Laws?|Act)\b)[A-Z])|^[^\w\u00a9]*\u00a9\W*\d{4}")
 #: What separates words: any ASCII character but letters and digits.
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -68,16 +71,55 @@ KNOWN = [
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."), ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."), ("CC0-1.0", "Licensed under CC0 1.0."),
 ]
+_BSD = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met:\n1. Redistributions of source code must retain the above copyright notice, this list of "
+        "conditions and the following disclaimer.\n2. Redistributions in binary form must reproduce the above copyright notice, "
+        "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
+        "distribution.\n")
+_BSD_3 = ("3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+          "products derived from this software without specific prior written permission.\n")
+_BSD_END = ("THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, "
+            "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+            "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+            "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR "
+            "SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, "
+            "WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE "
+            "OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
+#: Whole texts beside those of KNOWN; BSD clauses are numbered or marked by signs.
+WHOLE = [(name, text) for name, numbered in (("BSD-2-Clause", _BSD + _BSD_END), ("BSD-3-Clause", _BSD + _BSD_3 + _BSD_END))
+         for text in (numbered, numbered.replace("1. ", "* ").replace("2. ", "* ").replace("3. ", "* "))]
+#: Titles that a whole text may bear.
+TITLES = {
+    "MIT": ["MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)"],
+    "ISC": ["ISC License", "The ISC License", "ISC License (ISC)"],
+    "0BSD": ["BSD Zero Clause License", "Zero-Clause BSD", "Zero Clause BSD License", "BSD 0-Clause License"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "The BSD 2-Clause License", "The 2-Clause BSD License", "Simplified BSD License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "The BSD 3-Clause License", "The 3-Clause BSD License", "New BSD License"],
+}
+
+
+def known_texts() -> list[tuple[str, str]]:
+    """KNOWN, and the whole texts with and without each title."""
+    whole = KNOWN[:3] + WHOLE
+    return KNOWN + WHOLE + [(name, f"{title}\n{text}") for name, text in whole for title in TITLES[name]]
 
 
 def canonical_line(line: Column) -> Column:
     """One line in canonical form; empty if it holds no word or only says whose work it is."""
     words = F.trim(F.regexp_replace(F.translate(line, _UPPER, _LOWER), SEPARATORS, " "))
+    return F.when(line.rlike(OWNER), "").otherwise(_spelled(words))
+
+
+def _spelled(words: Column) -> Column:
     padded = F.concat(F.lit(" "), words, F.lit(" "))
     for variant, standard in SPELLINGS:
         padded = F.replace(padded, F.lit(f" {variant} "), F.lit(f" {standard} "))
-    words = F.trim(padded)
-    return F.when(words.rlike(OWNERSHIP), "").otherwise(words)
+    return F.trim(padded)
+
+
+def canonical_text(lines: Column) -> Column:
+    """The canonical form of a whole text, from its canonical lines; how the text was wrapped makes no difference."""
+    return _spelled(F.array_join(lines, " "))
 
 
 def canonical_lines(text: Column) -> Column:
@@ -86,11 +128,11 @@ def canonical_lines(text: Column) -> Column:
 
 def known_digests(spark: SparkSession, known=None) -> DataFrame:
     """(digest, licence), one row per digest: the first named licence of a text that several share."""
-    rows = [(i, name, text) for i, (name, text) in enumerate(KNOWN if known is None else known)]
+    rows = [(i, name, text) for i, (name, text) in enumerate(known_texts() if known is None else known)]
     if len(rows) > MAX_KNOWN:
         raise ValueError(f"more than {MAX_KNOWN} known texts")
     texts = spark.createDataFrame(rows, "n int, licence string, text string")
-    canon = F.array_join(canonical_lines(F.col("text")), " ")
+    canon = canonical_text(canonical_lines(F.col("text")))
     return texts.select("n", "licence", canon.alias("canon")).filter("canon <> ''").groupBy(
         F.sha2("canon", 256).alias("digest")).agg(F.min_by("licence", "n").alias("licence"))
 
@@ -109,7 +151,7 @@ def scan(docs: DataFrame, known=None, id_col: str = "doc_id", text: str = "text"
     # a line's digest is looked up once per document, the whole text's beside them
     units = F.concat(
         F.transform(F.array_distinct("lines"), lambda x: F.struct(F.lit(False).alias("whole"), F.sha2(x, 256).alias("digest"))),
-        F.array(F.struct(F.lit(True).alias("whole"), F.sha2(F.array_join("lines", " "), 256).alias("digest"))))
+        F.array(F.struct(F.lit(True).alias("whole"), F.sha2(canonical_text(F.col("lines")), 256).alias("digest"))))
     hits = rows.select("id", "k", F.explode(units).alias("u")).select("id", "k", "u.*").join(
         F.broadcast(known_digests(spark, known)), "digest")
     found = hits.groupBy("id", "k").agg(
