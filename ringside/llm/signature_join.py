@@ -402,7 +402,7 @@ with recursive words as (
          '[^ 	-]+') as w from documents),
 shingles as (
   select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
-    else list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')) end) as s from words),
+    else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) as s from words),
 sizes as (select doc_id, count(*) as n from shingles group by doc_id),
 pairs as (
   select a.doc_id as x, b.doc_id as y, count(*) as shared from shingles a join shingles b on a.s = b.s and a.doc_id <> b.doc_id
