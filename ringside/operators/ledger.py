@@ -72,45 +72,49 @@ def _person_keys(ident: Column, url: Column, name: Column) -> Column:
     return F.filter(keys, lambda k: k.isNotNull())
 
 
-def _spread(rows: DataFrame) -> DataFrame:
-    """One row per (event key, key of A, key of B): at most 2 x 3 x 3 per row."""
-    for c in ("event_key", "a_key", "b_key"):
-        rows = rows.withColumn(c, F.explode(c))
-    return rows
+def _marked(keys: Column, name: str, mark) -> Column:
+    return F.transform(keys, lambda x: F.named_struct(F.lit("key"), x, F.lit(name), F.lit(mark)))
 
 
-def match_picks(picks: DataFrame, completed: DataFrame) -> DataFrame:
-    """match_key with the completed bout it names; the lowest bout id if several fit.
+def bout_postings(completed: DataFrame) -> DataFrame:
+    """(identity, fight_id, corner): an inverted index from a person at an event to the bouts they stood in.
 
-    "Same event by URL or date, same people by id, URL or name, in either corner"
-    is spelled out as equality of (event, A, B) keys. The join is a plain equi-join:
-    it never pairs all bouts of an event with all of its picks.
+    A person has up to three keys (id, URL, name), so a bout has up to six postings of three numbers each; identity is a
+    64-bit hash of event and key, and what it finds is verified.
     """
     c = F.col
-    left = picks.select(
-        "match_key",
-        _event_keys(c("event_url"), c("event_date")).alias("event_key"),
-        _person_keys(c("fighter_a_id"), c("fighter_a_url"), c("fighter_a_name")).alias("a_key"),
-        _person_keys(c("fighter_b_id"), c("fighter_b_url"), c("fighter_b_name")).alias("b_key"),
-    )
-    wanted = left.select(F.explode("event_key").alias("event_key")).distinct()
-    one = _person_keys(c("fighter1_id"), c("f1_url"), c("f1_name"))
-    two = _person_keys(c("fighter2_id"), c("f2_url"), c("f2_name"))
-    orders = F.array(
-        F.struct(one.alias("a_key"), two.alias("b_key")), F.struct(two.alias("a_key"), one.alias("b_key"))
-    )
-    bout = F.struct(*completed.columns)
-    right = (
-        completed.select(bout.alias("bout"), _event_keys(c("event_url"), c("event_date")).alias("event_key"))
-        .withColumn("event_key", F.explode("event_key"))
-        .join(wanted, "event_key", "left_semi")
-        .select("event_key", "bout", F.inline(F.expr("array(bout)")).alias(*completed.columns))
-        .select("event_key", "bout", F.inline(orders))
-        .withColumn("a_key", F.explode("a_key"))
-        .withColumn("b_key", F.explode("b_key"))
-    )
-    hits = _spread(left).join(right, ["event_key", "a_key", "b_key"])
-    return hits.groupBy("match_key").agg(F.min_by("bout", F.col("bout.fight_id")).alias("bout"))
+    keys = {n: _person_keys(c(f"fighter{n}_id"), c(f"f{n}_url"), c(f"f{n}_name")) for n in (1, 2)}
+    corners = F.concat(*[_marked(k, "corner", n) for n, k in keys.items()])
+    each = completed.select("fight_id", "event_id", F.inline(corners))
+    return each.select(F.xxhash64("event_id", "key").alias("identity"), "fight_id", "corner")
+
+
+def match_picks(picks: DataFrame, completed: DataFrame, postings: DataFrame | None = None, ref: str = "match_key") -> DataFrame:
+    """(ref, bout) of the picks that name a completed bout; the lowest bout id if several fit.
+
+    "Same event by URL or date, same people by id, URL or name, in either corner": the events a pick can mean are found
+    first, then its people's postings at them are intersected per (pick, bout). Bouts that remain are looked up once and
+    verified. ref names the picks and must be unique among them.
+    """
+    c = F.col
+    events = completed.select("event_id", F.explode(_event_keys(c("event_url"), c("event_date"))).alias("event_key")).distinct()
+    sides = {s: _person_keys(*[c(f"fighter_{s}_{k}") for k in ("id", "url", "name")]) for s in "ab"}
+    people = F.concat(*[_marked(k, "side", s) for s, k in sides.items()])
+    meant = picks.select(ref, people.alias("people"), F.explode(_event_keys(c("event_url"), c("event_date"))).alias("event_key"))
+    meant = meant.join(events, "event_key").dropDuplicates([ref, "event_id"]).select(ref, "event_id", F.inline("people"))
+    asked = meant.select(ref, F.xxhash64("event_id", "key").alias("identity"), "side")
+    hits = asked.join(bout_postings(completed) if postings is None else postings, "identity")
+    stood = {f"{s}{n}": F.max((c("side") == s) & (c("corner") == n)).alias(f"{s}{n}") for s in "ab" for n in (1, 2)}
+    met = hits.groupBy(ref, "fight_id").agg(*stood.values()).filter("(a1 and b2) or (a2 and b1)").select(ref, "fight_id")
+    found = met.join(picks.drop("fight_id"), ref).join(completed.select("fight_id", F.struct(*completed.columns).alias("bout")), "fight_id")
+    same = {(s, n): _same_person(s, n) for s in "ab" for n in (1, 2)}
+    sure = found.filter(_same_event() & ((same["a", 1] & same["b", 2]) | (same["a", 2] & same["b", 1])))
+    return sure.groupBy(ref).agg(F.min_by("bout", F.col("bout.fight_id")).alias("bout"))
+
+
+def _same_event() -> Column:
+    by_url = parse.url_key(F.col("event_url")) == parse.url_key(F.col("bout.event_url"))
+    return F.coalesce(by_url, F.lit(False)) | F.coalesce(F.col("event_date") == F.col("bout.event_date"), F.lit(False))
 
 
 def _same_person(side: str, n: int) -> Column:
@@ -133,22 +137,21 @@ def winner_side() -> Column:
     return side
 
 
-def score_picks(ledger: DataFrame, completed: DataFrame, scored_at: Column) -> DataFrame:
-    """Pending rows whose bout is completed, scored; only decisive, non-toss-up picks can be right."""
-    pending = ledger.filter("scored_at is null")
-    hit = pending.join(match_picks(pending, completed), "match_key")
-    decisive = F.col("bout.outcome_type") == "decisive"
-    side = F.when(decisive, winner_side())
+UNSCORED = [c for c in LEDGER_COLS if c not in ("fight_id", "outcome_type", "winner_side", "pick_correct", "scored_at")]
+
+
+def _scored(scored_at: Column) -> list[Column]:
+    """Columns that scoring fills, from a pick and its bout; only decisive, non-toss-up picks can be right."""
+    side = F.when(F.col("bout.outcome_type") == "decisive", winner_side())
     right = F.when(side.isNotNull() & F.col("pick").isin("A", "B"), F.col("pick") == side)
-    scored = hit.select(
-        *[c for c in LEDGER_COLS if c not in ("fight_id", "outcome_type", "winner_side", "pick_correct", "scored_at")],
-        F.col("bout.fight_id").cast("long").alias("fight_id"),
-        F.col("bout.outcome_type").alias("outcome_type"),
-        side.alias("winner_side"),
-        right.alias("pick_correct"),
-        scored_at.alias("scored_at"),
-    )
-    return scored.select(*LEDGER_COLS)
+    return [F.col("bout.fight_id").cast("long").alias("fight_id"), F.col("bout.outcome_type").alias("outcome_type"),
+            side.alias("winner_side"), right.alias("pick_correct"), scored_at.alias("scored_at")]
+
+
+def score_picks(ledger: DataFrame, completed: DataFrame, scored_at: Column) -> DataFrame:
+    """Pending rows whose bout is completed, scored."""
+    pending = ledger.filter("scored_at is null").drop("fight_id", "outcome_type")
+    return pending.join(match_picks(pending, completed), "match_key").select(*UNSCORED, *_scored(scored_at)).select(*LEDGER_COLS)
 
 
 def with_scores(ledger: DataFrame, scored: DataFrame) -> DataFrame:
@@ -172,8 +175,22 @@ def summary(ledger: DataFrame) -> DataFrame:
 
 
 def run_cycle(ledger, predictions, completed, now: Column) -> tuple[DataFrame, DataFrame]:
-    """Score what is pending, log the new card, score again; the new ledger and its summary."""
-    first = cut(with_scores(ledger, score_picks(ledger, completed, now)), "ledger")
-    logged = cut(log_picks(first, new_picks(predictions, now)), "ledger")
-    final = cut(with_scores(logged, score_picks(logged, completed, now)), "ledger")
+    """Score what is pending, log the new card, score again; the new ledger and its summary.
+
+    Matching does not depend on the ledger, so old pending rows and new picks are matched together, once, and one
+    grouping by pairing decides what becomes of them: a scored row stays, then an old pending row that finds its bout,
+    then the new pick, scored or not, then an old pending row that is left alone. The ledger is written once.
+    """
+    completed = cut(completed, "completed")
+    open_ = ledger.filter("scored_at is null").select(*UNSCORED, F.lit(0).alias("new")).unionByName(
+        new_picks(predictions, now).select(*UNSCORED, F.lit(1).alias("new")))
+    open_ = cut(open_.withColumn("ref", F.monotonically_increasing_id()), "open-picks")  # written, so that the numbers stay
+    tried = open_.join(match_picks(open_, completed, ref="ref"), "ref", "left")
+    empty = [F.when(F.col("bout").isNotNull(), c).alias(c_name) for c, c_name in zip(
+        _scored(now), ("fight_id", "outcome_type", "winner_side", "pick_correct", "scored_at"))]
+    tried = tried.select(*UNSCORED, *empty, F.when(F.col("new") == 1, 2).when(F.col("bout").isNotNull(), 3).otherwise(1).alias("rank"))
+    held = ledger.filter("scored_at is not null").select(*LEDGER_COLS, F.lit(4).alias("rank"))
+    row = F.struct(*[c for c in LEDGER_COLS if c != "match_key"])
+    best = held.unionByName(tried).groupBy("match_key").agg(F.max_by(row, "rank").alias("row"))
+    final = cut(best.select("match_key", "row.*").select(*LEDGER_COLS), "ledger")
     return final, summary(final)
