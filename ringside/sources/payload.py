@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ringside.functions import measures as m
 from ringside.functions import parse
+from ringside.operators import identity
 from ringside.operators.upsert import latest, replace_group, upsert
 from ringside.session import cut
 
@@ -90,6 +91,10 @@ def _no_name(corner: Column) -> Column:
     ).isNull()
 
 
+def _place(side: int) -> Column:
+    return F.struct(F.col("seq").cast("bigint").alias("seq"), F.col("place").cast("int").alias("place"), F.lit(side).alias("side"))
+
+
 @dataclass
 class Batch:
     """Child relations of one load, keyed by natural keys; one row per key."""
@@ -124,6 +129,13 @@ class Batch:
                          for s in (1, 2)])
         return self.seen.select(F.inline(both)).distinct()
 
+    def mentions(self) -> DataFrame:
+        """Every corner of every bout in load order: (fighter_name, fighter_url, place)."""
+        both = F.array(*[F.struct(F.col(f"name{s}").alias("fighter_name"), F.col(f"url{s}").alias("fighter_url"),
+                                  _place(s).alias("place")) for s in (1, 2)])
+        return self.seen.select("seq", F.col("place").cast("int").alias("bout"), F.inline(both)).select(
+            "fighter_name", "fighter_url", "place")
+
     def metadata(self) -> DataFrame:
         meta = F.col("fight.metadata")
         return self.fights.filter(meta.isNotNull()).select(
@@ -205,7 +217,10 @@ def with_outcome(fights: DataFrame) -> DataFrame:
 def fight_rows(fights: DataFrame, people: DataFrame) -> DataFrame:
     """Bout rows with resolved corners and winner."""
     rows = with_outcome(fights)
-    for s in (1, 2):
+    if "by_name" in people.columns:
+        rows = _in_load_order(rows, people)
+        people = None
+    for s in (1, 2) if people is not None else ():
         ids = people.select(
             F.col("fighter_name").alias(f"name{s}"), F.col("fighter_url").alias(f"__url{s}"),
             F.col("fighter_id").alias(f"fighter{s}_id"),
@@ -227,23 +242,38 @@ def fight_rows(fights: DataFrame, people: DataFrame) -> DataFrame:
     )
 
 
-def load_rows(docs: DataFrame, fighters: DataFrame) -> tuple[dict[str, DataFrame], DataFrame, DataFrame]:
-    """(rows per table, documents set aside, counters) of one load; nothing is written."""
+def _in_load_order(rows: DataFrame, people: DataFrame) -> DataFrame:
+    """rows with fighter1_id and fighter2_id as they were decided at the bout's place in the load."""
+    for s in (1, 2):
+        them = people.withColumnsRenamed({"fighter_name": f"__name{s}", "fighter_url": f"__url{s}"})
+        same = (F.col(f"name{s}") == F.col(f"__name{s}")) & F.col(f"url{s}").eqNullSafe(F.col(f"__url{s}"))
+        rows = rows.join(them, same, "left").withColumn(f"fighter{s}_id", identity.at_place(_place(s))).drop(*them.columns)
+    return rows
+
+
+def load_rows(docs: DataFrame, fighters: DataFrame, unique_names: bool = True) -> tuple[dict[str, DataFrame], DataFrame, DataFrame]:
+    """(rows per table, documents set aside, counters) of one load; nothing is written.
+
+    unique_names: a name decides only where exactly one fighter on file bears it, and newcomers of one name stay apart.
+    Otherwise people are told apart as one insert after the other would (``identity``).
+    """
     good, aside = read_documents(docs)
     good = cut(good, "documents")  # parsed once, read by every child relation
     batch = Batch.of(good)
     batch.fights = cut(batch.fights, "document-bouts")
-    people = cut(resolve_people(batch.people(), fighters), "people")
+    if unique_names:
+        people = cut(resolve_people(batch.people(), fighters), "people")
+        added = people.filter("is_new").select("fighter_id", "fighter_name", "fighter_url")
+    else:
+        people, added = identity.resolve(batch.mentions(), fighters)
+        people = cut(people, "people")
     by_bout = {"metadata": batch.metadata(), "totals": batch.totals(), "rounds": batch.rounds(),
                "judges": batch.judges()}
     keyed = {n: d.select(surrogate("fight_url").alias("fight_id"), *[c for c in d.columns if c != "fight_url"])
              for n, d in by_bout.items()}
     rows = {
         "events": batch.events.drop("seq").select(surrogate("event_url").alias("event_id"), "*"),
-        "fighters": latest(
-            people.filter("is_new").select("fighter_id", "fighter_name", "fighter_url"), ["fighter_id"],
-            ["fighter_name"],
-        ),
+        "fighters": latest(added, ["fighter_id"], ["fighter_name"]),
         "fights": fight_rows(batch.fights, people),
         "fight_metadata": keyed["metadata"],
         "fight_totals": keyed["totals"],
