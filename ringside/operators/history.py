@@ -345,11 +345,14 @@ ASOF = {
 }
 
 
-def opponent_asof(rows: DataFrame) -> DataFrame:
-    """The opponent's own pre-bout record in the same bout; a narrow join on (bout, corner)."""
+def opponent_asof(rows: DataFrame, records: DataFrame | None = None) -> DataFrame:
+    """The opponent's own pre-bout record in the same bout; a narrow join on (bout, corner).
+
+    records: where the opponents' records are, if rows hold only some fighters.
+    """
     c = F.col
     decided = c("career_wins") + c("career_losses")
-    theirs = rows.select(
+    theirs = (rows if records is None else records).select(
         "fight_id",
         c("fighter_id").alias("opponent_id"),
         *[c(x).alias(ASOF[x]) for x in ASOF if not x.startswith("n_")],
@@ -357,7 +360,7 @@ def opponent_asof(rows: DataFrame) -> DataFrame:
         (decided + c("career_draws") + c("career_no_contests")).cast("int").alias("opp_asof_n_fights"),
     )
     keys = ["fight_id", "opponent_id"]
-    out = rows.select("fighter_id", *ORDER, *keys).join(theirs, keys, "left")
+    out = rows.select("fighter_id", *ORDER, *keys, *[x for x in CARRIED if x in rows.columns]).join(theirs, keys, "left")
     return out.withColumns(
         {
             "opp_asof_n_decided": F.coalesce("opp_asof_n_decided", F.lit(0)),
@@ -367,6 +370,8 @@ def opponent_asof(rows: DataFrame) -> DataFrame:
     )
 
 
+#: Worked out on the narrow rows of the record and carried along with the schedule.
+CARRIED = ["n_in_class"]
 SCHEDULE = {
     "avg_opp_win_pct": "opp_asof_win_pct",
     "avg_opp_last5_win_pct": "opp_asof_last5_win_pct",
@@ -388,19 +393,23 @@ def schedule_strength(asof: DataFrame, sized_from: DataFrame | None = None) -> D
     out["last3_avg_opp_win_pct"] = m.mean_of(_recent("met", 3, "opp_asof_win_pct"))
     out["career_n_opp_known"] = F.col("n_opp_asof_win_pct").cast("int")
     out["last5_n_opp_known"] = _hits([x.isNotNull() for x in _recent("met", 5, "opp_asof_win_pct")])
-    kept = ["fighter_id", "fight_id", *ASOF.values()]
+    kept = ["fighter_id", "fight_id", *ASOF.values(), *[x for x in CARRIED if x in asof.columns]]
     return line.df.select(*kept, *[v.alias(k) for k, v in out.items()])
 
 
 # -- everything -------------------------------------------------------------
 
 
-def own_features(rows: DataFrame) -> DataFrame:
-    """All features that need only the fighter's own earlier rows."""
+def own_features(rows: DataFrame, kept: tuple[str, ...] = ()) -> DataFrame:
+    """All features that need only the fighter's own earlier rows, and the columns to keep.
+
+    n_in_class is worked out unless the rows have it.
+    """
     p1, r1, before = performance_inputs()
     p2, r2 = record_inputs()
     p3, r3 = cardio_inputs()
-    line = Timeline.of(with_class_counts(rows), ENTITY, ORDER, DAY, sized_from=rows)
+    counted = rows if "n_in_class" in rows.columns else with_class_counts(rows)
+    line = Timeline.of(counted, ENTITY, ORDER, DAY, sized_from=rows)
     line = line.with_known(prior=p1 | p2 | p3, recent=r1 | r2 | r3, before=before)
     line = line.with_known(prior=streak_inputs())
     ints = ["career_wins", "career_losses", "career_draws", "career_no_contests",
@@ -410,7 +419,7 @@ def own_features(rows: DataFrame) -> DataFrame:
         | class_columns() | cardio_columns()
     )
     flat = line.df.select(
-        *FEATURE_KEYS, *ORDER, *[F.col(c).cast("int").alias(c) for c in ints], *[v.alias(k) for k, v in first.items()]
+        *FEATURE_KEYS, *ORDER, *kept, *[F.col(c).cast("int").alias(c) for c in ints], *[v.alias(k) for k, v in first.items()]
     )
     second = trend_columns() | mix_columns() | {
         "last5_win_pct": m.ratio(F.col("last_5_wins"), F.col("last_5_wins") + F.col("last_5_losses"))
@@ -419,31 +428,40 @@ def own_features(rows: DataFrame) -> DataFrame:
 
 
 def own_record(rows: DataFrame) -> DataFrame:
-    """The few columns of ``own_features`` that opponents are judged by, from narrow rows."""
+    """The few columns that opponents are judged by, and n_in_class, from narrow rows."""
     prior, recent = record_inputs()
     narrow = rows.select(
         *FEATURE_KEYS, *ORDER, "method_group", "final_round", "weight_class_norm", "is_title", "scheduled_rounds"
     )
-    line = Timeline.of(narrow, ENTITY, ORDER).with_known(prior=prior | {"n_all": number()}, recent=recent)
+    line = Timeline.of(with_class_counts(narrow), ENTITY, ORDER, sized_from=narrow)
+    line = line.with_known(prior=prior | {"n_all": number()}, recent=recent)
     cols = record_columns()
     wins, losses = cols["last_5_wins"], cols["last_5_losses"]
     shown = {c: cols[c] for c in ("career_win_pct", "career_finish_rate", "career_ko_rate")}
     shown |= {"last5_win_pct": m.ratio(wins, wins + losses), "debut_flag": F.col("n_all") == 0}
     counts = ["career_wins", "career_losses", "career_draws", "career_no_contests"]
-    return line.df.select(*FEATURE_KEYS, *ORDER, *counts, *[v.alias(k) for k, v in shown.items()])
+    return line.df.select(*FEATURE_KEYS, *ORDER, *CARRIED, *counts, *[v.alias(k) for k, v in shown.items()])
+
+
+def with_schedule(rows: DataFrame, schedule: DataFrame) -> DataFrame:
+    """All features of rows; schedule: (fighter_id, fight_id) with what comes from narrow rows.
+
+    The schedule joins the inputs of the windows, not their much wider results, which no exchange moves.
+    """
+    kept = tuple(c for c in schedule.columns if c not in ("fighter_id", "fight_id", *CARRIED))
+    return own_features(rows.join(schedule, ["fighter_id", "fight_id"], "left"), kept).select(*FEATURE_KEYS, *FEATURE_COLS)
 
 
 def build_features(rows: DataFrame) -> DataFrame:
     """One row per (fighter, bout) with every pre-bout feature.
 
-    The opponent step joins records with themselves and the schedule step
-    windows over that join; both work on narrow rows that are written once.
-    The wide rows are shuffled once for the windows and once for the last join.
+    Counts within a class, the opponent step, which joins records with themselves, and the schedule step, which windows
+    over that join, all work on narrow rows that are written once. The input rows are shuffled to meet them, then once
+    for all windows.
     """
     record = cut(own_record(rows), "own-record")
     schedule = cut(schedule_strength(opponent_asof(record), sized_from=record), "schedule")
-    both = own_features(rows).join(schedule, ["fighter_id", "fight_id"], "left")
-    return both.select(*FEATURE_KEYS, *FEATURE_COLS)
+    return with_schedule(rows, schedule)
 
 
 assert set(WINDOW_COLS) | set(TREND_COLS) <= set(FEATURE_COLS) and len(WINDOWS) == 4

@@ -56,17 +56,30 @@ def write_buckets(df: DataFrame, path: str, keys: list[str], bucket_rows: int =
         f"{path}/{LAYOUT}")
 
 
-def upsert_buckets(spark: SparkSession, path: str, updates: DataFrame, keys: list[str], frozen: Column | None = None) -> None:
-    """Upsert into a stored table, reading and rewriting only the touched buckets.
+def upsert_buckets(spark: SparkSession, path: str, updates: DataFrame, keys: list[str], frozen: Column | None = None,
+                   by: list[str] | None = None, gone: DataFrame | None = None) -> None:
+    """Upsert into a stored table, reading and rewriting only the touched buckets; all others keep their files.
 
-    The merged rows are written aside first, so that the table is never read
-    while it is being overwritten.
+    ``by`` are the keys the table was stored by, if they are only some of ``keys``; rows with the keys of ``gone`` are
+    deleted first. The merged rows are written aside first, so that the table is never read while it is being
+    overwritten. ``updates`` and ``gone`` are read several times.
     """
+    by = by or keys
     buckets = int(spark.read.text(f"{path}/{LAYOUT}").first()[0])
-    fresh = _bucketed(updates, keys, buckets)
-    touched = fresh.select(BUCKET).distinct()  # one small number per bucket
+    fresh = _bucketed(updates, by, buckets)
+    touched = fresh.select(BUCKET)
+    if gone is not None:
+        removed = _bucketed(gone.select(*dict.fromkeys([*by, *keys])), by, buckets)
+        touched = touched.union(removed.select(BUCKET))
+    touched = touched.distinct()  # one small number per bucket
     target = spark.read.parquet(path).join(F.broadcast(touched), BUCKET, "left_semi")
+    if gone is not None:
+        target = target.join(removed.select(*keys).distinct(), keys, "left_anti")
     merged = cut(upsert(target, fresh.select(*target.columns), keys, frozen), "merged")
+    emptied = [r[0] for r in touched.join(merged.select(BUCKET).distinct(), BUCKET, "left_anti").collect()] if gone is not None else []
     merged.hint("rebalance", BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         BUCKET
     ).parquet(path)
+    for bucket in emptied:  # an overwrite leaves alone what it has no rows for
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{BUCKET}={bucket}")
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)

@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from ringside.operators import corners, history, model_rows
-from ringside.operators.upsert import latest, upsert
+from ringside.operators.upsert import BUCKET, BUCKET_ROWS, latest, upsert, upsert_buckets, write_buckets
 from ringside.session import cut
 from ringside.sources import payload
 
@@ -59,22 +59,35 @@ class Store:
         return name in self.tables()
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(self.tables()[name]))
+        return self.spark.read.parquet(self.path(self.tables()[name])).drop(BUCKET)
 
     def replace(self, name: str, df: DataFrame) -> DataFrame:
         self.replace_all({name: df})
         return self.read(name)
 
-    def replace_all(self, tables: dict[str, DataFrame]) -> None:
-        """Write every table once, to a new folder; then let them all take their names at once."""
+    def replace_all(self, tables: dict[str, DataFrame], by: dict[str, list[str]] = {}, bucket_rows: int = BUCKET_ROWS) -> None:  # noqa: B006
+        """Write every table once, to a new folder; then let them all take their names at once.
+
+        Tables named in ``by`` are stored in buckets of these keys, so that ``change`` can rewrite some of them.
+        """
         now = self.tables()
         for name, df in tables.items():
             folder = f"{name}/{uuid.uuid4().hex}"
-            df.write.parquet(self.path(folder))
+            if name in by:
+                write_buckets(cut(df, name), self.path(folder), by[name], bucket_rows)
+            else:
+                df.write.parquet(self.path(folder))
             now[name] = folder
         pointer = self.spark.createDataFrame([(json.dumps(now, sort_keys=True),)], "tables string").coalesce(1)
         pointer.write.text(f"{self.path(POINTERS)}/{self._last_pointer() + 1}")
 
+    def change(self, name: str, updates: DataFrame, keys: list[str], by: list[str], gone: DataFrame | None = None) -> None:
+        """Upsert into a table stored in buckets, in place: only touched buckets are read and written.
+
+        A change that breaks off while buckets are exchanged is made whole by running it again.
+        """
+        upsert_buckets(self.spark, self.path(self.tables()[name]), updates, keys, by=by, gone=gone)
+
     def drop_old(self) -> int:
         """Delete the folders of tables that no longer bear their name; nothing may be reading them. Returns how many."""
         current, gone = self.tables(), 0
@@ -86,41 +99,49 @@ class Store:
         return gone
 
 
-def ingest(store: Store, documents: DataFrame) -> tuple[DataFrame, DataFrame]:
+def ingest(store: Store, documents: DataFrame, unique_names: bool = True) -> tuple[DataFrame, DataFrame]:
     """Load scraped documents into the raw tables; the counters and the documents set aside."""
     first = not store.exists("fighters")
     known = store.spark.createDataFrame([], "fighter_id long, fighter_name string, fighter_url string") if first \
         else store.read("fighters")
-    rows, aside, counts = payload.load_rows(documents, known)
+    rows, aside, counts = payload.load_rows(documents, known, unique_names)
     rows = {n: cut(df, f"load-{n}") for n, df in rows.items()}
     store.replace_all(rows if first else payload.apply_load({n: store.read(n) for n in RAW}, rows))
     return counts, aside
 
 
+#: Keys of the buckets of tables that are kept up to date by change.
+BY = {"fighter_fight_features": ["fighter_id"], "fight_model_rows": ["fight_id"], "fight_model_train": ["fight_id"]}
+
+
 def facts(store: Store) -> None:
+    """All three fact tables; readers see them change together."""
     eligible = corners.eligible_fights(store.read("fights"), store.read("events"))
-    bouts = store.replace("fight_facts", corners.fight_facts(eligible))
-    rounds = store.read("round_stats")
-    store.replace("fighter_fight_facts", corners.corner_facts(eligible, bouts, store.read("fight_totals"), rounds))
-    store.replace("fighter_round_facts", corners.round_facts(eligible, rounds))
+    bouts, rounds = cut(corners.fight_facts(eligible), "fight-facts"), store.read("round_stats")
+    store.replace_all({
+        "fight_facts": bouts,
+        "fighter_fight_facts": corners.corner_facts(eligible, bouts, store.read("fight_totals"), rounds),
+        "fighter_round_facts": corners.round_facts(eligible, rounds),
+    })
 
 
-def features(store: Store) -> None:
+def features(store: Store, bucket_rows: int = BUCKET_ROWS) -> None:
     """Recompute all features and upsert them on (fighter, bout)."""
     built = history.build_features(history.load_history(store.read("fighter_fight_facts")))
     if store.exists("fighter_fight_features"):
         keys = ["fighter_id", "fight_id"]
         built = upsert(store.read("fighter_fight_features"), latest(built, keys, ["event_date"]), keys)
-    store.replace("fighter_fight_features", built)
+    store.replace_all({"fighter_fight_features": built}, BY, bucket_rows)
 
 
-def model_tables(store: Store, bio: DataFrame) -> None:
-    rows = store.replace("fight_model_rows", model_rows.model_rows(
-        store.read("fighter_fight_features"), store.read("fight_facts"), store.read("fighter_fight_facts"), bio))
-    store.replace("fight_model_train", model_rows.mirrored(rows))
+def model_tables(store: Store, bio: DataFrame, bucket_rows: int = BUCKET_ROWS) -> None:
+    """Model rows and their mirrored form; readers see both change together."""
+    rows = cut(model_rows.model_rows(
+        store.read("fighter_fight_features"), store.read("fight_facts"), store.read("fighter_fight_facts"), bio), "model-rows")
+    store.replace_all({"fight_model_rows": rows, "fight_model_train": model_rows.mirrored(rows)}, BY, bucket_rows)
 
 
-def everything(store: Store, bio: DataFrame) -> None:
+def everything(store: Store, bio: DataFrame, bucket_rows: int = BUCKET_ROWS) -> None:
     facts(store)
-    features(store)
-    model_tables(store, bio)
+    features(store, bucket_rows)
+    model_tables(store, bio, bucket_rows)
