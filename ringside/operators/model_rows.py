@@ -14,21 +14,22 @@ def _prefixed(rows: DataFrame, cols: list[str], prefix: str) -> DataFrame:
     return rows.select("fight_id", *[F.col(c).alias(f"{prefix}{c}") for c in cols])
 
 
-def _body(bio: DataFrame, n: int) -> DataFrame:
-    return bio.select(
-        F.col("fighter_id").alias(f"f{n}_fighter_id"),
-        F.col("height").alias(f"f{n}_height"),
-        F.col("reach").alias(f"f{n}_reach"),
-        (F.col("reach") - F.col("height")).alias(f"f{n}_ape_index"),
-    )
+def _bodies(features: DataFrame, bio: DataFrame) -> DataFrame:
+    """(fight_id, f1_height, ..., f2_ape_index): body data meets the corners as ids, before anything wide does."""
+    body = bio.select("fighter_id", "height", "reach", (F.col("reach") - F.col("height")).alias("ape_index"))
+    ids = features.select("fight_id", "fighter_id", "is_fighter1").join(body, "fighter_id", "left")
+    sides = {1: F.col("is_fighter1"), 2: ~F.col("is_fighter1")}
+    return ids.groupBy("fight_id").agg(*[F.max(F.when(on, F.col(c))).alias(f"f{n}_{c}") for n, on in sides.items() for c in BODY])
 
 
 def paired(features: DataFrame, bio: DataFrame) -> DataFrame:
-    """Both corners side by side in page order, with body data and differences."""
+    """Both corners side by side in page order, with body data and differences.
+
+    Wide rows meet by bout only; where the features are stored in buckets of the bout, they are not exchanged at all.
+    """
     f1 = _prefixed(features.filter("is_fighter1"), ["fighter_id", "event_date", *FEATURE_COLS], "f1_")
     f2 = _prefixed(features.filter("not is_fighter1"), ["fighter_id", *FEATURE_COLS], "f2_")
-    both = f1.withColumnRenamed("f1_event_date", "event_date").join(f2, "fight_id")
-    both = both.join(_body(bio, 1), "f1_fighter_id", "left").join(_body(bio, 2), "f2_fighter_id", "left")
+    both = f1.withColumnRenamed("f1_event_date", "event_date").join(f2, "fight_id").join(_bodies(features, bio), "fight_id")
     diffs = [(F.col(f"f1_{c}") - F.col(f"f2_{c}")).alias(f"diff_{c}") for c in BODY + DIFF_COLS]
     return both.select("*", *diffs)
 
@@ -67,30 +68,25 @@ def products(a: str, b: str) -> list:
     return out
 
 
+def _slots(rows: DataFrame, a: str, b: str, swapped: bool) -> DataFrame:
+    """Every bout with corner a in slot A and corner b in slot B: names only, but for the signs and the label."""
+    c = F.col
+    cols = ["fight_id", "event_date", *BOUT, F.lit("swapped" if swapped else "page").alias("orientation")]
+    for name in ["fighter_id", *BODY, *FEATURE_COLS]:
+        cols += [c(f"{a}_{name}").alias(f"a_{name}"), c(f"{b}_{name}").alias(f"b_{name}")]
+    cols += [(-c(f"diff_{name}") if swapped else c(f"diff_{name}")).alias(f"diff_{name}") for name in BODY + DIFF_COLS]
+    if "y_fighter1_win" in rows.columns:
+        win = c("y_fighter1_win")
+        cols += [*SHARED_LABELS, (1 - win if swapped else win).alias("y_a_win")]
+        for name in LABEL_COLS:
+            cols += [c(f"y_{a}_{name}").alias(f"y_a_{name}"), c(f"y_{b}_{name}").alias(f"y_b_{name}")]
+    return rows.select(*cols).select("*", *products("a", "b"))
+
+
 def mirrored(rows: DataFrame) -> DataFrame:
-    """Each bout twice, corners swapped the second time, read in one pass.
+    """Each bout twice, corners swapped the second time: two projections of the same rows, one after the other.
 
     Slot A and B are then exchangeable: differences change sign, the label flips,
     and an undecided bout keeps its missing label.
     """
-    page = F.col("orientation") == "page"
-    both = rows.withColumn("orientation", F.explode(F.array(F.lit("page"), F.lit("swapped"))))
-
-    def slot(name, a="f1_", b="f2_"):
-        one, two = F.col(f"{a}{name}"), F.col(f"{b}{name}")
-        return F.when(page, one).otherwise(two), F.when(page, two).otherwise(one)
-
-    cols = ["fight_id", "event_date", *BOUT, "orientation"]
-    for name in ["fighter_id", *BODY, *FEATURE_COLS]:
-        a, b = slot(name)
-        cols += [a.alias(f"a_{name}"), b.alias(f"b_{name}")]
-    for name in BODY + DIFF_COLS:
-        d = F.col(f"diff_{name}")
-        cols.append(F.when(page, d).otherwise(-d).alias(f"diff_{name}"))
-    win = F.col("y_fighter1_win")
-    labels = [*SHARED_LABELS, F.when(page, win).otherwise(1 - win).alias("y_a_win")]
-    for name in LABEL_COLS:
-        a, b = slot(name, "y_f1_", "y_f2_")
-        labels += [a.alias(f"y_a_{name}"), b.alias(f"y_b_{name}")]
-    wide = both.select(*cols, *labels) if rows.columns.count("y_fighter1_win") else both.select(*cols)
-    return wide.select("*", *products("a", "b"))
+    return _slots(rows, "f1", "f2", False).unionByName(_slots(rows, "f2", "f1", True))

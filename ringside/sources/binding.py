@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ringside.operators import corners, history, model_rows
 from ringside.operators.timeline import Timeline, number
-from ringside.session import cut
+from ringside.session import cut, cut_by
 from ringside.sources import snapshots
 
 LINE_ORDER = [
@@ -207,9 +207,16 @@ def _corner_cells(side):
             "lpad(cast((o_orderkey*r)%60 as string), 2, '0'))")
 
 
-def documents(orders):
+#: Names that up to three people share, each with a URL of their own.
+SHARED_NAMES = {
+    "name1": "'Q' || cast(o_custkey%600 as string)",
+    "name2": "case when o_orderkey%103=0 then '' else 'Q' || cast((o_custkey*7+1)%1000%600 as string) end",
+}
+
+
+def documents(orders, **other):
     """(seq, version, payload) JSON texts; a tenth of the bouts come a second time with one round."""
-    rows = orders.select("o_orderkey", *exprs(BOUT_DOC), F.expr(
+    rows = orders.select("o_orderkey", *exprs(BOUT_DOC | other), F.expr(
         "explode(case when o_orderkey%10=3 then array(1,2) else array(1) end) as version"))
     event = f"""named_struct('url', event_url, 'headline', headline, 'date', '1999-01-02', 'location', 'Hall',
       'fights', array(named_struct(
@@ -398,13 +405,13 @@ class Bench:
 
     @cached_property
     def fight_facts(self) -> DataFrame:
-        return cut(corners.fight_facts(self.eligible), "fight-facts")
+        return cut_by(corners.fight_facts(self.eligible), "fight-facts", "fight_id")
 
     @cached_property
     def corner_facts(self) -> DataFrame:
-        return cut(
+        return cut_by(
             corners.corner_facts(self.eligible, self.fight_facts, self.fight_totals, self.round_stats),
-            "corner-facts",
+            "corner-facts", "fight_id",
         )
 
     @cached_property
@@ -413,7 +420,7 @@ class Bench:
 
     @cached_property
     def features(self) -> DataFrame:
-        return cut(history.build_features(history.load_history(self.corner_facts)), "features")
+        return cut_by(history.build_features(history.load_history(self.corner_facts)), "features", "fight_id")
 
     @cached_property
     def model_rows(self) -> DataFrame:
