@@ -3,6 +3,7 @@
 import math
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -164,29 +165,49 @@ def absolute_error(rows: DataFrame, pred: str, actual: str, base: str, fill: Col
 
 
 def exact_percentile(rows: DataFrame, value: Column, p: float) -> float | None:
-    """Exact percentile with linear interpolation, the same way at any size.
+    """Exact percentile with linear interpolation; see exact_percentiles."""
+    return exact_percentiles(rows, {"p": (value, p)})["p"]
 
-    Equal values are counted together, the distinct ones range-partitioned and
-    written once. The sums per range say which range holds the wanted ranks; a
-    running count inside that range alone finds the values.
+
+def exact_percentiles(rows: DataFrame, wanted: dict[str, tuple[Column, float]]) -> dict[str, float | None]:
+    """Exact percentiles of any number of values at once, with linear interpolation, the same way at any size.
+
+    One table of ranges serves all ranks: equal values of a column are counted together, the distinct ones
+    range-partitioned by (column, value) and written once. The counts per range say which ranges hold the wanted ranks; a
+    running count inside these ranges alone finds all values in one job.
     """
-    values = rows.select(value.cast("double").alias("v")).filter("v is not null").groupBy("v").count()
-    ranged = cut(values.repartitionByRange("v").withColumn("part", F.spark_partition_id()), "ranged")
-    sizes = ranged.groupBy("part").agg(F.sum("count").alias("n")).orderBy("part").collect()  # one row per range
-    total = sum(r["n"] for r in sizes)
-    if not total:
-        return None
-    want = p * (total - 1)
-    low, high = (_value_at(ranged, sizes, rank) for rank in (math.floor(want), math.ceil(want)))
-    return low if low == high else low + (high - low) * (want - math.floor(want))
-
-
-def _value_at(ranged: DataFrame, sizes: list, rank: int) -> float:
-    before = 0
+    columns: dict[str, int] = {}
+    places = {name: columns.setdefault(str(value), len(columns)) for name, (value, _) in wanted.items()}
+    values = {places[name]: value for name, (value, _) in wanted.items()}
+    each = F.inline(F.array(*[F.struct(F.lit(c).alias("c"), v.cast("double").alias("v")) for c, v in values.items()]))
+    counted = rows.select(each).filter("v is not null").groupBy("c", "v").count()
+    ranged = cut(counted.repartitionByRange("c", "v").withColumn("part", F.spark_partition_id()), "ranged")
+    sizes = ranged.groupBy("c", "part").agg(F.sum("count").alias("n")).orderBy("part").collect()  # one row per range and column
+    spots = {}
+    for name, (_, p) in wanted.items():
+        own = [r for r in sizes if r["c"] == places[name]]
+        want = p * (sum(r["n"] for r in own) - 1)
+        if own:
+            spots[name] = [_spot(own, rank) for rank in (math.floor(want), math.ceil(want))], want - math.floor(want)
+    if not spots:
+        return dict.fromkeys(wanted)
+    upto = F.sum("count").over(Window.partitionBy("c", "part").orderBy("v"))
+    parts = sorted({(c, part) for two, _ in spots.values() for c, part, _ in two})
+    held = [(F.col("c") == c) & (F.col("part") == part) for c, part in parts]
+    inside = ranged.filter(reduce(lambda a, b: a | b, held)).withColumn("upto", upto)
+    found = inside.agg(*[F.min(F.when((F.col("c") == c) & (F.col("part") == part) & (F.col("upto") > rest), F.col("v"))).alias(f"{i}_{name}")
+                         for name, (two, _) in spots.items() for i, (c, part, rest) in enumerate(two)]).first()
+    out = dict.fromkeys(wanted)
+    for name, (_, share) in spots.items():
+        low, high = found[f"0_{name}"], found[f"1_{name}"]
+        out[name] = low if low == high else low + (high - low) * share
+    return out
+
+
+def _spot(sizes: list, rank: int) -> tuple[int, int, int]:
+    """Column and range that hold a rank, and the rank inside the range."""
     for r in sizes:
-        if rank < before + r["n"]:
-            break
-        before += r["n"]
-    inside = ranged.filter(F.col("part") == r["part"]).withColumn(
-        "upto", F.sum("count").over(Window.partitionBy("part").orderBy("v")))
-    return inside.filter(F.col("upto") > rank - before).agg(F.min("v")).first()[0]
+        if rank < r["n"]:
+            return r["c"], r["part"], rank
+        rank -= r["n"]
+    raise ValueError("a rank beyond the rows")

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ringside.functions.scores import Eras, absolute_error, clipped, exact_percentile, page_only
+from ringside.functions.scores import Eras, absolute_error, clipped, exact_percentile, exact_percentiles, page_only
 
 # Columns and limits of the views.
 MISSING_COLS = [
@@ -101,13 +101,13 @@ def expected_and_actual(train: DataFrame, eras: Eras) -> DataFrame:
     """Line, correlation and percentiles of expected against landed takedowns."""
     x, y = F.col("prod_expected_td_pm"), F.col("y_a_td_landed")
     rows = _since(train, eras).filter(x.isNotNull() & y.isNotNull())
-    spots = {"x_p01": (x, 0.01), "x_p99": (x, 0.99), "x_p995": (x, 0.995), "y_p995": (y, 0.995)}
+    spots = exact_percentiles(rows, {"x_p01": (x, 0.01), "x_p99": (x, 0.99), "x_p995": (x, 0.995), "y_p995": (y, 0.995)})
     return rows.agg(
         F.regr_slope(y, x).alias("slope"),
         F.regr_intercept(y, x).alias("intercept"),
         F.corr(x, y).alias("r"),
         F.count(F.lit(1)).alias("n"),
-        *[F.lit(exact_percentile(rows, c, p)).cast("double").alias(name) for name, (c, p) in spots.items()],
+        *[F.lit(v).cast("double").alias(name) for name, v in spots.items()],
     )
 
 
@@ -127,10 +127,11 @@ def score_histogram(rows: DataFrame, p: str = "p", bins: int = 20) -> DataFrame:
 
 def shape_errors(rows: DataFrame) -> DataFrame:
     """MAE of the three predicted stats against the career average."""
-    out = None
+    out, page = None, page_only(rows)
+    known = {name: F.col(pred).isNotNull() & F.col(actual).isNotNull() for name, pred, actual, *_ in SHAPES}
+    fills = exact_percentiles(page, {name: (F.when(known[name], F.col(base)), 0.5) for name, _, _, base, _ in SHAPES})
     for name, pred, actual, base, floor in SHAPES:
-        used = page_only(rows).filter(F.col(pred).isNotNull() & F.col(actual).isNotNull())
-        fill = exact_percentile(used, F.col(base), 0.5)
+        used, fill = page.filter(known[name]), fills[name]
         part = absolute_error(used, pred, actual, base, 0.0 if fill is None else fill, floor)
         part = part.select(F.lit(name).alias("target"), "*")
         out = part if out is None else out.unionByName(part)

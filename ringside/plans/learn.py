@@ -1,22 +1,27 @@
 """Boosted-tree models over the training rows: encoding, fitting, walk-forward stacking, ablation.
 
-Spark's trees know no missing values, so gaps take the fit median and every
-column with gaps gets a 0/1 companion. Losses will differ from other boosting
+Rows are encoded once, into one vector with a named slot per feature. A recipe is a
+slice of that vector, a fold or an era a filter of the rows, so fits share what they
+read and several run side by side. Spark's trees know no missing values: a gap is a
+value below all others, which a split can set apart. Nothing of the encoding is
+learnt from values, so no fold sees another's. Losses will differ from other boosting
 libraries; the protocol (time slices, weights, out-of-fold stack) is the same.
 """
 
 import json
 import re
 from calendar import monthrange
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field, replace
 from datetime import date
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import Imputer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import VectorSlicer
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ringside.columns import STACK_COLS, STACK_NAMES, WIN_RECIPE_EXCLUDES
@@ -30,6 +35,10 @@ FIXED_TREES = 150
 INNER_VAL_MONTHS = 6
 MIN_VETERAN_FIT, MIN_VETERAN_VAL = 200, 50
 PATIENCE = 40
+#: What stands for a gap.
+MISSING = -1e9
+#: Fits that run side by side.
+FITS_AT_ONCE = 4
 KEYS = ["fight_id", "orientation"]
 STAT_TARGETS = {
     "slpm": ("y_a_sig_str_landed_pm", "a_career_sig_str_landed_pm_avg", "win"),
@@ -69,8 +78,8 @@ def categories(rows: DataFrame, cols: list[str]) -> dict[str, list[str]]:
     return out
 
 
-def encode(rows: DataFrame, cols: list[str], codes: dict[str, list[str]], keep: list[str]) -> DataFrame:
-    """All features as doubles: codes for text, NULL for values or columns not seen when fitting."""
+def encode(rows: DataFrame, cols: list[str], codes: dict[str, list[str]]) -> Column:
+    """All features as one vector: codes for text, MISSING for gaps, for values and for columns not seen when fitting."""
     out = []
     for c in cols:
         if c not in rows.columns:
@@ -80,14 +89,36 @@ def encode(rows: DataFrame, cols: list[str], codes: dict[str, list[str]], keep:
             place = F.array_position(F.lit(codes[c]).cast("array<string>"), F.col(c))
             value = F.when(place > 0, (place - 1).cast("double"))
         else:
-            value = F.col(c).cast("double")
-            value = F.nanvl(value, F.lit(None).cast("double"))
-        out.append(value.alias(f"x_{c}"))
-    return rows.select(*[c for c in keep if c in rows.columns], *out)
+            value = F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+        out.append(F.coalesce(value, F.lit(MISSING)))
+    return array_to_vector(F.array(*out))
 
 
-def with_gaps(rows: DataFrame, gaps: list[str]) -> DataFrame:
-    return rows.withColumns({f"gap_{c}": F.col(f"x_{c}").isNull().cast("double") for c in gaps}) if gaps else rows
+@dataclass
+class Matrix:
+    """Rows encoded once for any number of fits: keys, labels, weight, and the slots of all features in one vector."""
+
+    rows: DataFrame
+    slots: list[str]
+    codes: dict[str, list[str]]
+
+    @classmethod
+    def of(cls, rows: DataFrame, cols: Iterable[str], keep: Iterable[str]) -> "Matrix":
+        """cols may name columns that the rows do not have; these are no features. keep: labels and what slices need."""
+        slots = [c for c in dict.fromkeys(cols) if c in rows.columns]
+        codes = categories(rows, slots)
+        kept = [c for c in dict.fromkeys([*KEYS, "event_date", *keep]) if c in rows.columns]
+        coded = rows.select(*kept, scores.sample_weight(rows).alias("weight"), scores.both_veterans(rows).alias("veterans"),
+                            encode(rows, slots, codes).alias("slots"))
+        return cls(cut(coded, "matrix"), slots, codes)
+
+    def where(self, cond: Column | str) -> "Matrix":
+        return replace(self, rows=self.rows.filter(cond))
+
+    def sliced(self, cols: list[str]) -> DataFrame:
+        """The rows with the features of a recipe, in its order."""
+        places = [self.slots.index(c) for c in cols]
+        return VectorSlicer(inputCol="slots", outputCol="features", indices=places).transform(self.rows).drop("slots")
 
 
 @dataclass
@@ -96,7 +127,6 @@ class Model:
     label: str
     features: list[str]
     codes: dict[str, list[str]]
-    gaps: list[str]
     stages: PipelineModel
     metrics: dict = field(default_factory=dict)
 
@@ -104,58 +134,63 @@ class Model:
     def trees(self) -> int:
         return self.stages.stages[-1].getNumTrees
 
-    def predict(self, rows: DataFrame, name: str = "p") -> DataFrame:
-        """``rows`` with the prediction: P(A wins), or the predicted stat."""
-        hidden = [f"x_{c}" for c in self.features] + [f"gap_{c}" for c in self.gaps]
-        coded = with_gaps(encode(rows, self.features, self.codes, rows.columns), self.gaps)
+    def predict(self, rows: "DataFrame | Matrix", name: str = "p") -> DataFrame:
+        """The rows with the prediction: P(A wins), or the predicted stat."""
+        if isinstance(rows, Matrix):
+            coded = rows.sliced(self.features)
+        else:
+            coded = rows.withColumn("features", encode(rows, self.features, self.codes))
         done = self.stages.transform(coded)
         out = vector_to_array("probability")[1] if self.kind == "win" else F.col("prediction")
-        made = set(done.columns) - set(rows.columns)
-        return done.withColumn(name, out).drop(*hidden, *[c for c in made if c != name])
+        made = (set(done.columns) - set(coded.columns)) | {"features"}
+        return done.withColumn(name, out).drop(*[c for c in made if c != name])
 
 
-def fit(train: DataFrame, cols, label, boost: Boost, val: DataFrame | None = None, kind: str = "stat") -> Model:
+def fit(train: "DataFrame | Matrix", cols, label, boost: Boost, val: "DataFrame | Matrix | None" = None, kind: str = "stat") -> Model:
     """One weighted boosted model.
 
     With ``val``, all trees are fitted, the validation loss after each of them
     is worked out (log loss, or absolute error of a stat), and the model keeps as
     many trees as give the least loss before it fails to fall for PATIENCE trees.
+    train and val are slices of one matrix, or rows that are encoded first.
     """
-    train = train.filter(F.col(label).isNotNull())
-    codes = categories(train, cols)
-    keep = [label, "weight", "is_val"]
-
-    def ready(rows, is_val):
-        marked = rows.withColumns({"weight": scores.sample_weight(rows), "is_val": F.lit(is_val)})
-        return encode(marked, cols, codes, keep)
-
-    coded = ready(train, False)
-    seen = coded.agg(F.count(F.lit(1)).alias("n"), *[F.count(f"x_{c}").alias(c) for c in cols]).first().asDict()
-    used = [c for c in cols if seen[c] > 0]
-    gaps = [c for c in used if seen[c] < seen["n"]]
-    if val is not None:
-        coded = coded.unionByName(ready(val.filter(F.col(label).isNotNull()), True))
-    data = cut(with_gaps(coded.select(*keep, *[f"x_{c}" for c in used]), gaps), "learn")
-    inputs = [f"x_{c}" for c in used]
-    filled = [f"f_{c}" for c in used]
+    if not isinstance(train, Matrix):
+        train, val = _encoded([train, val], cols, [label])
+    used = [c for c in cols if c in train.slots]
+
+    def ready(part: Matrix) -> DataFrame:
+        return part.where(F.col(label).isNotNull()).sliced(used).select(label, "weight", "features")
+
     common = dict(
         featuresCol="features", labelCol=label, weightCol="weight", maxIter=boost.trees, maxDepth=boost.depth,
         stepSize=boost.step, subsamplingRate=boost.subsample, featureSubsetStrategy=boost.columns,
         minInstancesPerNode=boost.min_rows, seed=boost.seed,
     )
     tree = GBTClassifier(**common) if kind == "win" else GBTRegressor(**common)
-    fill = Imputer(strategy="median", inputCols=inputs, outputCols=filled).fit(data.filter("not is_val"))
-    gather = VectorAssembler(inputCols=filled + [f"gap_{c}" for c in gaps], outputCol="features")
-    ready_rows = cut(gather.transform(fill.transform(data)).select(*keep, "features"), "matrix")
-    seen_rows = ready_rows.filter("not is_val")
-    model = tree.fit(seen_rows)
+    model = tree.fit(ready(train))
     if val is not None:
-        exam = ready_rows.filter("is_val")
+        exam = ready(val)
         losses = model.evaluateEachIteration(exam) if kind == "win" else model.evaluateEachIteration(exam, "absolute")
         kept = trees_to_keep(losses)
         if kept < len(losses):
-            model = tree.copy({tree.maxIter: kept}).fit(seen_rows)  # the same seed grows the same first trees
-    return Model(kind, label, used, codes, gaps, PipelineModel([fill, gather, model]))
+            model = tree.copy({tree.maxIter: kept}).fit(ready(train))  # the same seed grows the same first trees
+    return Model(kind, label, used, {c: v for c, v in train.codes.items() if c in used}, PipelineModel([model]))
+
+
+def _encoded(parts: list[DataFrame | None], cols: Iterable[str], keep: Iterable[str]) -> list[Matrix | None]:
+    """The parts as slices of one matrix."""
+    named = [p.withColumn("part", F.lit(i)) for i, p in enumerate(parts) if p is not None]
+    every = named[0]
+    for p in named[1:]:
+        every = every.unionByName(p, allowMissingColumns=True)
+    matrix = Matrix.of(every, cols, [*keep, "part"])
+    return [None if p is None else matrix.where(F.col("part") == i) for i, p in enumerate(parts)]
+
+
+def side_by_side(work: list[Callable]) -> list:
+    """Results of independent pieces of work, some of them at a time; each is a chain of Spark jobs."""
+    with ThreadPoolExecutor(FITS_AT_ONCE) as pool:
+        return list(pool.map(lambda f: f(), work))
 
 
 def trees_to_keep(losses: list[float], patience: int = PATIENCE) -> int:
@@ -183,11 +218,12 @@ def stat_scores(fit_rows, val, test, cols, label, base, boost: Boost) -> tuple[M
 
 def win_models(fit_rows, val, test, cols, boost: Boost) -> tuple[Model, DataFrame]:
     """The winner model with its scores, and the same fitted on veterans only where they suffice."""
-    model = fit(fit_rows, cols, "y_a_win", boost, val=val, kind="win")
+    fit_all, val_all = _encoded([fit_rows, val], cols, ["y_a_win"])
+    model = fit(fit_all, cols, "y_a_win", boost, val=val_all, kind="win")
     page = scores.page_only(test)
     result = scores.win_baselines(model.predict(page)).withColumn("trees", F.lit(model.trees))
-    old_fit, old_val = (r.filter(scores.both_veterans(r)).filter("y_a_win is not null") for r in (fit_rows, val))
-    if old_fit.count() >= MIN_VETERAN_FIT and old_val.count() >= MIN_VETERAN_VAL:
+    old_fit, old_val = (m.where("veterans and y_a_win is not null") for m in (fit_all, val_all))
+    if old_fit.rows.count() >= MIN_VETERAN_FIT and old_val.rows.count() >= MIN_VETERAN_VAL:
         veteran = fit(old_fit, cols, "y_a_win", boost, val=old_val, kind="win")
         exam = scores.win_scores(veteran.predict(page.filter(scores.both_veterans(page)))).first()
         result = result.withColumns(
@@ -241,28 +277,30 @@ def _months_before(day: date, months: int) -> date:
     return date(years, month + 1, min(day.day, monthrange(years, month + 1)[1]))
 
 
-def walk_forward(rows: DataFrame, cols, label, boost: Boost) -> DataFrame:
+def walk_forward(rows: "DataFrame | Matrix", cols, label, boost: Boost) -> DataFrame:
     """Out-of-fold predictions: a year is predicted by a model of the years before it.
 
-    Rows of years with too little history keep a NULL. One fit per calendar
-    year is a short driver loop; every fit and prediction is a Spark job.
+    Rows of years with too little history keep a NULL. The folds share one matrix
+    and are fitted side by side; every fit and prediction is a Spark job.
     """
-    year = F.year("event_date")
-    out = [rows.filter(year.isNull()).select(*KEYS, F.lit(None).cast("double").alias("pred"))]
-    for fold in fold_plan(rows, label):
-        target = rows.filter(year == fold.year)
+    matrix = rows if isinstance(rows, Matrix) else Matrix.of(rows, cols, [label])
+    year, known = F.year("event_date"), F.col(label).isNotNull()
+    nothing = [*KEYS, F.lit(None).cast("double").alias("pred")]
+
+    def predicted(fold: Fold) -> DataFrame:
+        target = matrix.where(year == fold.year)
         if fold.mode == "none":
-            out.append(target.select(*KEYS, F.lit(None).cast("double").alias("pred")))
-            continue
-        usable = rows.filter((year < fold.year) & F.col(label).isNotNull())
+            return target.rows.select(*nothing)
+        usable = matrix.where((year < fold.year) & known)
         if fold.mode == "fixed":
             model = fit(usable, cols, label, replace(boost, trees=min(boost.trees, FIXED_TREES)))
         else:
             early = F.col("event_date") < F.lit(fold.edge)
-            model = fit(usable.filter(early), cols, label, boost, val=usable.filter(~early))
-        out.append(model.predict(target, "pred").select(*KEYS, "pred"))
-    result = out[0]
-    for part in out[1:]:
+            model = fit(usable.where(early), cols, label, boost, val=usable.where(~early))
+        return model.predict(target, "pred").select(*KEYS, "pred")
+
+    result = matrix.rows.filter(year.isNull()).select(*nothing)
+    for part in side_by_side([lambda f=f: predicted(f) for f in fold_plan(matrix.rows, label)]):
         result = result.unionByName(part)
     return cut(result, "walk-forward")
 
@@ -290,9 +328,11 @@ def stat_predictions(models: dict[str, Model], rows: DataFrame) -> DataFrame:
 
 
 def out_of_fold(rows: DataFrame, recipes: dict[str, list[str]], boost: Boost) -> DataFrame:
+    """Walk-forward predictions of every stat, from one matrix."""
+    matrix = Matrix.of(rows, [c for cols in recipes.values() for c in cols], [label for label, *_ in STAT_TARGETS.values()])
     out = rows.select(*KEYS)
     for name, (label, _, recipe) in STAT_TARGETS.items():
-        preds = walk_forward(rows, recipes[recipe], label, boost).withColumnRenamed("pred", name)
+        preds = walk_forward(matrix, recipes[recipe], label, boost).withColumnRenamed("pred", name)
         out = out.join(preds, KEYS, "left")
     return out
 
@@ -354,15 +394,21 @@ def ablation_recipes(base: list[str], every: list[str]) -> dict[str, list[str]]:
 
 
 def ablate(spark: SparkSession, fit_rows, val, test, recipes: dict[str, list[str]], boost: Boost) -> DataFrame:
-    """One row per recipe with its validation and test scores; delta against the first recipe."""
-    rows, first = [], None
+    """One row per recipe with its validation and test scores; delta against the first recipe.
+
+    All recipes are slices of one matrix and are fitted side by side.
+    """
     names = ["n", "logloss", "acc", "n_conf", "acc_conf", "n_66", "acc_66"]
-    for recipe, cols in recipes.items():
-        model = fit(fit_rows, cols, "y_a_win", boost, val=val, kind="win")
-        v, t = (scores.win_scores(model.predict(s)).first() for s in (val, test))
-        first = v["logloss"] if first is None else first
-        rows.append((recipe, len(cols), model.trees, *[v[n] for n in names], *[t[n] for n in names],
-                     v["logloss"] - first))
+    fit_all, val_all, test_all = _encoded([fit_rows, val, test], [c for cols in recipes.values() for c in cols], ["y_a_win"])
+
+    def scored(recipe: str, cols: list[str]) -> tuple:
+        model = fit(fit_all, cols, "y_a_win", boost, val=val_all, kind="win")
+        v, t = (scores.win_scores(model.predict(s)).first() for s in (val_all, test_all))
+        return recipe, len(cols), model.trees, *[v[n] for n in names], *[t[n] for n in names]
+
+    rows = side_by_side([lambda r=r, c=c: scored(r, c) for r, c in recipes.items()])
+    at = 3 + names.index("logloss")
+    rows = [(*r, r[at] - rows[0][at]) for r in rows]
     kinds = {"n": "long", "n_conf": "long", "n_66": "long"}
     schema = "recipe string, n_features int, trees int, " + ", ".join(
         f"{era}_{n} {kinds.get(n, 'double')}" for era in ("val", "test") for n in names

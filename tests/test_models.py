@@ -147,3 +147,77 @@ def test_model_round_trip(spark, tmp_path):
     out.toDF(*[f" {c}" for c in out.columns]).coalesce(1).write.option("header", True).csv(str(tmp_path / "a"))
     back = read_ablation(spark, str(tmp_path / "a"))
     assert [tuple(r) for r in back.orderBy("recipe").collect()] == [tuple(r) for r in out.orderBy("recipe").collect()]
+
+
+def test_predictions_equal_a_plain_refit(spark):
+    from datetime import date
+
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+
+    eras = scores.Eras(date(2015, 1, 1), date(2018, 1, 1), date(2019, 1, 1))
+    rows = train_rows(spark)
+    fit, test = eras.slice(rows, "FIT"), eras.slice(rows, "VAL")
+    cols = ["diff_reach", "weight_class_norm", "a_last3_x"]
+    boost = learn.Boost(trees=4, depth=3, subsample=1.0, columns="all")
+    got = {(r["fight_id"], r["orientation"]): r["p"] for r in learn.fit(fit, cols, "y_a_win", boost, kind="win").predict(test).collect()}
+
+    def plain(df):
+        df = df.withColumns({"f0": F.coalesce("diff_reach", F.lit(-1e9)), "f2": F.col("a_last3_x"),
+                             "f1": F.when(F.col("weight_class_norm") == "L", 0.0).otherwise(1.0)})
+        # every row: eight and nine bouts, opponents known, no debut
+        return VectorAssembler(inputCols=["f0", "f1", "f2"], outputCol="features").transform(df)
+
+    trees = GBTClassifier(labelCol="y_a_win", maxIter=4, maxDepth=3, stepSize=boost.step, minInstancesPerNode=boost.min_rows, seed=42)
+    again = trees.fit(plain(fit)).transform(plain(test)).select(*learn.KEYS, vector_to_array("probability")[1].alias("p"))
+    want = {(r["fight_id"], r["orientation"]): r["p"] for r in again.collect()}
+    assert got.keys() == want.keys() and len(set(want.values())) > 5
+    for k, p in want.items():
+        assert got[k] == pytest.approx(p, abs=1e-9)
+
+
+def test_slices_of_one_matrix_equal_fits_of_their_own(spark):
+    rows = train_rows(spark)
+    cols = ["a_last3_x", "weight_class_norm", "diff_reach"]
+    boost = learn.Boost(trees=3, depth=3, subsample=1.0, columns="all")
+    matrix = learn.Matrix.of(rows, [*cols, "a_career_win_pct", "not_there"], ["y_a_td_landed"])
+    assert matrix.slots == [*cols, "a_career_win_pct"]
+    early, late = F.year("event_date") < 2017, F.year("event_date") >= 2017
+    for some in (cols, ["diff_reach", "a_last3_x"]):
+        one = learn.fit(matrix.where(early), some, "y_a_td_landed", boost).predict(matrix.where(late), "g")
+        own = learn.fit(rows.filter(early), some, "y_a_td_landed", boost).predict(rows.filter(late), "g")
+        a, b = ({(r["fight_id"], r["orientation"]): r["g"] for r in x.collect()} for x in (one, own))
+        assert a.keys() == b.keys() and all(a[k] == pytest.approx(b[k], abs=1e-9) for k in a)
+
+
+def test_walk_forward_equals_a_fit_a_year(spark):
+    rows = train_rows(spark)
+    cols = ["diff_reach", "a_last3_x"]
+    boost = learn.Boost(trees=3, depth=3, subsample=1.0, columns="all")
+    got = {(r["fight_id"], r["orientation"]): r["pred"] for r in learn.walk_forward(rows, cols, "y_a_td_landed", boost).collect()}
+    assert len(got) == rows.count()
+    year = F.year("event_date")
+    for fold in learn.fold_plan(rows, "y_a_td_landed"):
+        target = rows.filter(year == fold.year)
+        if fold.mode == "none":
+            assert all(got[r["fight_id"], r["orientation"]] is None for r in target.collect())
+            continue
+        usable = rows.filter(year < fold.year)
+        early = F.col("event_date") < F.lit(fold.edge)
+        model = learn.fit(usable, cols, "y_a_td_landed", boost) if fold.mode == "fixed" else learn.fit(
+            usable.filter(early), cols, "y_a_td_landed", boost, val=usable.filter(~early))
+        for r in model.predict(target, "g").collect():
+            assert got[r["fight_id"], r["orientation"]] == pytest.approx(r["g"], abs=1e-9)
+
+
+def test_many_percentiles_at_once(spark):
+    rng = random.Random(3)
+    rows = [(rng.gauss(0, 5), rng.choice([1.0, 2.0, None]), None) for _ in range(800)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    a, b, c = F.col("a"), F.col("b"), F.col("c")
+    got = scores.exact_percentiles(df, {"a1": (a, 0.01), "a9": (a, 0.99), "am": (a, 0.5), "bm": (b, 0.5), "c": (c, 0.5), "top": (b, 1.0)})
+    known = [x[1] for x in rows if x[1] is not None]
+    assert got["c"] is None and got["top"] == 2.0 and got["bm"] == pytest.approx(np.percentile(known, 50))
+    for name, p in (("a1", 1), ("a9", 99), ("am", 50)):
+        assert got[name] == pytest.approx(np.percentile([x[0] for x in rows], p))
