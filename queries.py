@@ -1,5 +1,6 @@
 """Every registered query: a Spark callable and, where SQL can say it, the checking SQL."""
 
+import uuid
 from datetime import date
 
 from pyspark.sql import functions as F
@@ -9,10 +10,12 @@ from ringside.columns import DIFF_COLS, EXPECTED_RATES, FEATURE_COLS, LABEL_COLS
 from ringside.functions import parse, scores
 from ringside.functions.scores import Eras
 from ringside.operators import audit, card, corners, history, ledger, model_rows, pages, views
-from ringside.plans import learn
-from ringside.session import cut
+from ringside.operators.upsert import upsert
+from ringside.plans import learn, refresh
+from ringside.plans.build import BY, Store
+from ringside.session import cut, shared_dir
 from ringside.sources import payload
-from ringside.sources.binding import BOUT_DOC, CARD, CARD_DATE, PICK, bench, documents, exprs
+from ringside.sources.binding import BOUT_DOC, CARD, CARD_DATE, PICK, SHARED_NAMES, bench, documents, exprs
 
 QUERIES = {}
 ORACLES = {}
@@ -99,6 +102,40 @@ _asof = [c for c in FEATURE_COLS if c.startswith("opp_asof")]
 feature_query("opponent_asof", _asof, exact=["opp_asof_n_fights", "opp_asof_n_decided", "opp_asof_debut"])
 feature_query("schedule_strength", list(o.SOS), exact=["career_n_opp_known", "last5_n_opp_known"])
 
+
+#: The state before a load: bouts from this day on are not known yet, title bouts of the year were still under review.
+LOAD_DAY, REVIEW_DAY = "2001-07-01", "2001-01-01"
+
+
+def _before_load(rows):
+    review = F.col("is_title") & (F.col("event_date") >= F.lit(REVIEW_DAY).cast("date"))
+    known = rows.filter(F.col("event_date") < F.lit(LOAD_DAY).cast("date"))
+    return known.withColumns({"result": F.when(review, "NC").otherwise(F.col("result")),
+                              "is_valid_for_stats": F.col("is_valid_for_stats") & ~review})
+
+
+def _features_after_load(spark, d):
+    """Features stored for the state before, brought up to date by change."""
+    now = bench(spark, d).corner_facts
+    before, after = history.load_history(_before_load(now)), history.load_history(now)
+    store = Store(spark, f"{shared_dir(spark).rstrip('/')}/after-load-{uuid.uuid4().hex}")
+    store.replace_all({"fighter_fight_features": history.build_features(before)}, BY)
+    refresh.refresh_features(store, before, after)
+    return store.read("fighter_fight_features")
+
+
+_after_exact = [*o.ACTIVITY, *[c for c in o.RECORD if c != "avg_rounds_fought"], *o.CLASS, *[c for c in o.CARDIO if "_n_" in c],
+                "opp_asof_n_fights", "opp_asof_n_decided", "opp_asof_debut", "career_n_opp_known", "last5_n_opp_known"]
+_after_cols = list(dict.fromkeys([
+    *o.ACTIVITY, *o.RECORD, *o.RATES, *o.CLASS, *o.MIX, *o.CARDIO, *o.CARDIO_TRENDS, *_asof, *o.SOS,
+    *[window_col(w, s) for w in ("career", "momentum", "last3", "last5") for s in STAT_COLS]]))
+register(
+    "features_after_load",
+    lambda spark, d: rounded(_features_after_load(spark, d).select(*KEYS, *_after_cols)),
+    o.with_("select fighter_id, fight_id, " + ", ".join(c if c in _after_exact else f"{o.r6(c)} as {c}" for c in _after_cols)
+            + " from features", "features"),
+)
+
 # -- training rows ----------------------------------------------------------
 
 _products = [p for p, *_ in EXPECTED_RATES] + ["prod_reach_x_opp_distance_pct", "prod_ground_x_td_att_pm"]
@@ -422,6 +459,46 @@ register(
     lambda spark, d: _two_loads(spark, d)["fighters"].drop("fighter_id"),
     o.with_("select * from people", "people"),
 )
+
+
+def _named_loads(spark, d):
+    """The same two loads of people who share names, told apart as one insert after the other would."""
+    docs = documents(bench(spark, d).raw("orders"), **SHARED_NAMES)
+    first = payload.load_rows(docs.filter("version = 1"), spark.createDataFrame([], EMPTY_PEOPLE), unique_names=False)[0]
+    first = {n: cut(first[n], n) for n in ("fighters", "fights")}
+    again = payload.load_rows(docs.filter("version = 2"), first["fighters"], unique_names=False)[0]
+    return {n: upsert(first[n], cut(again[n], n), payload.KEYS[n]) for n in first}
+
+
+def _corners_by_name(spark, d):
+    t = _named_loads(spark, d)
+    rows = t["fights"].select("fight_url", "fighter1_id", "fighter2_id")
+    for s in (1, 2):
+        who = t["fighters"].toDF(f"fighter{s}_id", f"name{s}", f"url{s}")
+        rows = rows.join(who, f"fighter{s}_id", "left")
+    return rows.select("fight_url", "name1", "url1", "name2", "url2")
+
+
+# the first mention of a name puts it on file, with or without a URL; its later bearers are taken for that person
+o.cte("mentions", [], "select o_orderkey, version, 1 as side, {name1} as fighter_name, url1 as fighter_url from d union all "
+      "select o_orderkey, version, 2, {name2}, url2 from d".format(**SHARED_NAMES).replace(
+          "from d", f"from (select *, {o.cols({k: v for k, v in BOUT_DOC.items() if k in ('url1', 'url2')})} from orders, "
+          "(values (1),(2)) t(version) where (version = 1 or o_orderkey%10=3) and o_orderkey%101<>0 and o_orderkey%103<>0) d"))
+o.cte("people_by_name", ["mentions"], "select fighter_name, arg_min({'u': fighter_url}, version * 1000000000000 + o_orderkey * 10 + "
+      "side).u as fighter_url from mentions group by 1")
+register(
+    "ingest_people_by_name",
+    lambda spark, d: _named_loads(spark, d)["fighters"].drop("fighter_id"),
+    o.with_("select * from people_by_name", "people_by_name"),
+)
+register(
+    "ingest_corners_by_name",
+    _corners_by_name,
+    o.with_("select 'http://bouts.test/d/' || cast(a.o_orderkey as string) as fight_url, p.fighter_name as name1, p.fighter_url as "
+            "url1, q.fighter_name as name2, q.fighter_url as url2 from mentions a join mentions b on b.o_orderkey = a.o_orderkey and "
+            "b.side = 2 and b.version = 1 join people_by_name p on p.fighter_name = a.fighter_name join people_by_name q on "
+            "q.fighter_name = b.fighter_name where a.side = 1 and a.version = 1", "mentions", "people_by_name"),
+)
 register(
     "ingest_counts",
     lambda spark, d: payload.load_rows(
@@ -488,7 +565,7 @@ o.cte("keyed", ["picks"], "select *, coalesce(event_url,'') || '|' || coalesce(c
 # one pick per pairing: the largest p_a of a load
 o.cte("logged", ["keyed"], "select * from (select *, row_number() over (partition by k order by p_a desc) as r, "
       "round(p_a*100, 1) as pct from keyed) where r = 1")
-o.cte("named_fights", ["fights", "fighters", "bevents"], "select f.*, e.event_url, w1.fighter_url as u1, w2.fighter_url as u2, "
+o.cte("named_fights", ["fights", "fighters", "bevents"], "select f.*, e.event_url, e.event_date as event_day, w1.fighter_url as u1, w2.fighter_url as u2, "
       "w1.fighter_name as n1, w2.fighter_name as n2 from (select * exclude (event_date) from fights) f join bevents e using (event_id) "
       "left join fighters w1 on w1.fighter_id = fighter1_id left join fighters w2 on w2.fighter_id = fighter2_id")
 
@@ -497,17 +574,27 @@ def _is(s, n):
     return (f"(coalesce(l.{s}id = f.fighter{n}_id, false) or coalesce(l.{s}url = f.u{n}, false) or l.{s}name = f.n{n})")
 
 
-o.cte("matches", ["logged", "named_fights", "bevents"], "select l.k, min(f.fight_id) as fight_id from (select l.*, e.event_id from logged l "
-      "join bevents e on e.event_date = l.event_date union select l.*, e.event_id from logged l join bevents e on "
-      f"e.event_url = l.event_url) l join named_fights f on f.event_id = l.event_id where ({_is('a', 1)} and {_is('b', 2)}) or "
-      f"({_is('a', 2)} and {_is('b', 1)}) group by 1")
+def _matches_sql(logged, where="true"):
+    return (f"select l.k, min(f.fight_id) as fight_id from (select l.*, e.event_id from {logged} l "
+            f"join bevents e on e.event_date = l.event_date union select l.*, e.event_id from {logged} l join bevents e on "
+            f"e.event_url = l.event_url) l join named_fights f on f.event_id = l.event_id where {where} and (({_is('a', 1)} and "
+            f"{_is('b', 2)}) or ({_is('a', 2)} and {_is('b', 1)})) group by 1")
+
+
 _side = ("case when f.outcome_type <> 'decisive' or f.winner_id is null then null when l.aid = f.winner_id then 'A' "
          "when l.bid = f.winner_id then 'B' "
          + " ".join(f"when f.fighter{n}_id = f.winner_id and {_is(s, n)} then '{s.upper()}'"
                     for n in (1, 2) for s in "ab") + " end")
-o.cte("scored", ["logged", "matches", "named_fights"], "select l.*, case when pct = 50 then 'TOSSUP' when pct > 50 then 'A' else 'B' "
-      f"end as pick, pct = 50 as tossup, pct <> 50 and (pct >= 66 or pct <= 34) as high, f.fight_id, f.outcome_type, {_side} as side "
-      "from logged l left join matches m on m.k = l.k left join named_fights f on f.fight_id = m.fight_id")
+
+
+def _scored_sql(logged, matches):
+    return ("select l.*, case when pct = 50 then 'TOSSUP' when pct > 50 then 'A' else 'B' end as pick, pct = 50 as tossup, "
+            f"pct <> 50 and (pct >= 66 or pct <= 34) as high, f.fight_id, f.outcome_type, {_side} as side "
+            f"from {logged} l left join {matches} m on m.k = l.k left join named_fights f on f.fight_id = m.fight_id")
+
+
+o.cte("matches", ["logged", "named_fights", "bevents"], _matches_sql("logged"))
+o.cte("scored", ["logged", "matches", "named_fights"], _scored_sql("logged", "matches"))
 _correct = "case when side is not null and pick in ('A','B') then pick = side end"
 register(
     "pick_ledger",
@@ -526,6 +613,40 @@ register(
             "n_high_correct, count(*) filter (where outcome_type in ('draw','no_contest')) as n_void from scored", "scored"),
 )
 
+#: The first cycle knows the results before this day; the second knows all and gets predictions the other way round.
+CYCLE_DAY, LATER = "2000-07-01", "2002-02-01 00:00:00"
+
+
+def _second_cycle(spark, d):
+    b = bench(spark, d)
+    done = ledger.completed_fights(b.fights, b.events, b.fighters)
+    early = done.filter(F.col("event_date") < F.lit(CYCLE_DAY).cast("date"))
+    empty = spark.createDataFrame([], ledger.LEDGER_SCHEMA)
+    first, _ = ledger.run_cycle(empty, b.predictions, early, F.lit(NOW).cast("timestamp"))
+    other = b.predictions.withColumn("p_a", 1 - F.col("p_a"))
+    return ledger.run_cycle(first, other, done, F.lit(LATER).cast("timestamp"))[0]
+
+
+o.cte("turned", ["keyed"], "select * from (select * exclude (q), row_number() over (partition by k order by p_a desc) as r, "
+      "round(p_a*100, 1) as pct from (select * exclude (p_a), p_a as q, 1 - p_a as p_a from keyed)) where r = 1")
+o.cte("frozen", ["logged", "named_fights", "bevents"], _matches_sql("logged", f"f.event_date < date '{CYCLE_DAY}'").replace(
+    "f.event_date", "cast(f.event_day as date)"))
+# what was pending is scored before the new card is logged: only pairings without a bout take the later prediction
+o.cte("two_cycles", ["logged", "turned", "matches"], "select *, true as early from logged where k in (select k from matches) union all "
+      "by name select *, false as early from turned where k not in (select k from matches)")
+o.cte("matched_again", ["two_cycles", "named_fights", "bevents"], _matches_sql("two_cycles"))
+o.cte("scored_again", ["two_cycles", "matched_again", "named_fights"], _scored_sql("two_cycles", "matched_again"))
+register(
+    "pick_ledger_second_cycle",
+    lambda spark, d: rounded(_second_cycle(spark, d).select(
+        *LEDGER_SHOWN, (F.col("predicted_at") < F.lit(LATER).cast("timestamp")).alias("first_prediction"),
+        (F.col("scored_at") < F.lit(LATER).cast("timestamp")).alias("frozen_at_first"))),
+    o.with_(f"select event_url, event_date, aname as fighter_a_name, bname as fighter_b_name, aid as fighter_a_id, pick, "
+            f"tossup as is_tossup, high as is_high_conf_66, {o.r6('p_a')} as p_a, fight_id, outcome_type, side as "
+            f"winner_side, {_correct} as pick_correct, early as first_prediction, case when fight_id is not null then k in (select k from frozen) end as "
+            "frozen_at_first from scored_again", "scored_again", "frozen"),
+)
+
 # -- upcoming card ----------------------------------------------------------
 
 
@@ -882,9 +1003,31 @@ def _stat_model(spark, d):
 
 def _walk_forward(spark, d):
     fit = _slices(spark, d)[0]
-    cols = ["weight_class_norm", "is_title", *[f"diff_{c}" for c in DIFF_COLS]]  # one model a year
-    return learn.walk_forward(fit, cols, "y_a_td_landed", SMALL).select(
-        *learn.KEYS, F.col("pred").isNotNull().alias("predicted"))
+    return learn.walk_forward(fit, _learn_cols(fit), "y_a_td_landed", SMALL)
+
+
+def _win_model_scores(spark, d):
+    """The winner model's losses next to its baselines, and its trees."""
+    return learn.win_models(*_slices(spark, d), _learn_cols(bench(spark, d).model_train), SMALL)[1]
+
+
+def _win_predictions(spark, d):
+    fit, val, test = _slices(spark, d)
+    model = learn.fit(fit, _learn_cols(fit), "y_a_win", SMALL, val=val, kind="win")
+    return model.predict(test).select(*learn.KEYS, "y_a_win", "p")
+
+
+def _stat_model_scores(spark, d):
+    fit, val, test = _slices(spark, d)
+    label, base, recipe = learn.STAT_TARGETS["td"]
+    return learn.stat_scores(fit, val, test, learn.feature_columns(fit.columns, recipe), label, base, SMALL)[1]
+
+
+def _ablation(spark, d):
+    """All recipes, without the stack's columns, which a trained stack would add."""
+    parts = _slices(spark, d)
+    base = _learn_cols(parts[0])
+    return learn.ablate(spark, *parts, learn.ablation_recipes(base, learn.feature_columns(parts[0].columns)), SMALL)
 
 
 def _fold_plan(spark, d):
@@ -923,8 +1066,15 @@ register(
             "true as scored from model_train, (select quantile_cont(y_a_td_landed, 0.5) as fill from model_train where "
             f"{_fit_era}) where orientation='page' and {_era_sql}='TEST' and y_a_td_landed is not null", "model_train"),
 )
+# what the models say; SQL cannot, tests compare it with plain refits
+register("win_model_scores", _win_model_scores)
+register("win_predictions", _win_predictions)
+register("stat_model_scores", _stat_model_scores)
+register("walk_forward_predictions", _walk_forward)
+register("ablation", _ablation)
 register(
-    "walk_forward", _walk_forward,
+    "walk_forward",
+    lambda spark, d: _walk_forward(spark, d).select(*learn.KEYS, F.col("pred").isNotNull().alias("predicted")),
     o.with_(f"select fight_id, orientation, mode <> 'none' as predicted from model_train join {_fold_sql(_fit_era)} f "
             f"on f.year = year(event_date) where {_fit_era}", "model_train"),
 )
