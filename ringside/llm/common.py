@@ -58,3 +58,21 @@ def in_order(df: DataFrame, *by: str, name: str = "position") -> DataFrame:
     inside = F.row_number().over(Window.partitionBy("_range").orderBy(*by)) - 1
     return (ranged.withColumn("_inside", inside).join(starts, "_range")
             .withColumn(name, F.col("_start") + F.col("_inside")).drop("_range", "_start", "_inside"))
+
+
+def maybe_listed(rows: DataFrame, key: Column, listed: DataFrame, listed_key: Column, bits_each: int = 16) -> DataFrame:
+    """rows whose key may be among the listed ones: all that are, and about one of bits_each of the others.
+
+    For an exact join to follow: the rest of a wide table then needs no exchange. The filter is a bitmap over hashes of
+    the keys, one row per 32,768 bits, 16 MB in all at most, which is what is broadcast; with more keys than it has room
+    for more rows pass.
+    """
+    size = 1 << min(27, max(15, (max(1, listed.count()) * bits_each - 1).bit_length()))
+    place = lambda k: F.pmod(F.xxhash64(k, F.lit(size)), F.lit(size))
+    bucket, bit, bits = fresh(rows, "_bucket", "_bit", "_bits")
+    at = listed.select(place(listed_key).alias("p"))
+    maps = at.groupBy(F.bitmap_bucket_number("p").alias(bucket)).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias(bits))
+    met = rows.withColumns({bucket: F.bitmap_bucket_number(place(key)), bit: F.bitmap_bit_position(place(key)).cast("int")})
+    byte = F.conv(F.hex(F.expr(f"substring(`{bits}`, `{bit}` div 8 + 1, 1)")), 16, 10).cast("int")
+    held = met.join(F.broadcast(maps), bucket).filter(F.call_function("shiftright", byte, F.col(bit) % 8).bitwiseAND(F.lit(1)) == 1)
+    return held.select(*[F.col(f"`{c}`") for c in rows.columns])

@@ -29,9 +29,8 @@ SPELLINGS = [
     ("merchantibility", "merchantability"), ("per cent", "percent"), ("v 2", "version 2"), ("v2", "version 2"),
     ("v3", "version 3"), ("v 3", "version 3"), ("creative commons attribution", "cc by"),
 ]
-#: A canonical line that only states whose work it is, as the checking SQL has it.
-OWNERSHIP = r"^(copyright( |$)|c [0-9]{4}( |$)|all rights reserved$)"
-#: The same for a line as written: copyright with (c), a year or a name, never wrapped prose such as "copyright notice and".
+#: A line that only states whose work it is: copyright with (c), a year or a name, never wrapped prose such as "copyright
+#: notice and".
 OWNER = (r"^\W*(?:(?i:copyright)\W*(?:(?i:c)\W|\d{4})|(?i:c)\W+\d{4}(?!\w)|(?i:all rights reserved)\W*$"
          r"|Copyright\W+(?:(?:by|the|The) +)?(?!(?:Holders?|Owners?|Notices?|Licen[cs]e|Laws?|Act)\b)[A-Z])|^[^\w\u00a9]*\u00a9\W*\d{4}")
 #: What separates words: any ASCII character but letters and digits.
@@ -172,23 +171,39 @@ def _sql_text(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-def _oracle() -> str:
-    spell = "' ' || trim(regexp_replace(translate(line, '" + _UPPER + "', '" + _LOWER + "'), '" + SEPARATORS + "', ' ', 'g')) || ' '"
+def _spelled_sql(words: str) -> str:
+    padded = f"' ' || {words} || ' '"
     for variant, standard in SPELLINGS:
-        spell = f"replace({spell}, ' {variant} ', ' {standard} ')"
-    line = "trim(" + spell + ")"
-    known = ", ".join(f"({i}, {_sql_text(n)}, {_sql_text(t)})" for i, (n, t) in enumerate(KNOWN))
-    lines = """SELECT _ID_, pos, w FROM (SELECT _ID_, pos, """ + line + """ AS w FROM (
+        padded = f"replace({padded}, ' {variant} ', ' {standard} ')"
+    return f"trim({padded})"
+
+
+def _owner_sql(line: str) -> str:
+    """OWNER without looking ahead: a name behind the word, unless it is one of those that wrapped prose has there."""
+    def found(pattern: str) -> str:
+        return f"regexp_matches({line}, '{pattern}')"
+
+    sure = (r"^\W*(?:(?i:copyright)\W*(?:(?i:c)\W|\d{4})|(?i:c)\W+\d{4}(?:\W|$)|(?i:all rights reserved)\W*$)"
+            "|^[^\\w\u00a9]*\u00a9\\W*\\d{4}")
+    ways = [r"^\W*Copyright\W+", r"^\W*Copyright\W+(?:by|the|The) +"]
+    prose = r"(?:Holders?|Owners?|Notices?|Licen[cs]e|Laws?|Act)\b"
+    return " or ".join([found(sure), *[f"({found(w + '[A-Z]')} and not {found(w + prose)})" for w in ways]])
+
+
+def _oracle() -> str:
+    line = _spelled_sql("trim(regexp_replace(translate(line, '" + _UPPER + "', '" + _LOWER + "'), '" + SEPARATORS + "', ' ', 'g'))")
+    known = ", ".join(f"({i}, {_sql_text(n)}, {_sql_text(t)})" for i, (n, t) in enumerate(known_texts()))
+    lines = f"""SELECT _ID_, pos, w FROM (SELECT _ID_, pos, CASE WHEN {_owner_sql("line")} THEN '' ELSE {line} END AS w FROM (
       SELECT _ID_, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
-             unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS pos FROM _TABLE_))
-      WHERE w <> '' AND NOT regexp_matches(w, '""" + OWNERSHIP + """')"""
+             unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS pos FROM _TABLE_)) WHERE w <> ''"""
+    whole = _spelled_sql("string_agg(w, ' ' ORDER BY pos)")
     return f"""
 WITH known AS (SELECT * FROM (VALUES {known}) AS t(n, licence, text)),
 known_lines AS ({lines.replace('_ID_', 'n').replace('_TABLE_', 'known')}),
-canon AS (SELECT n, string_agg(w, ' ' ORDER BY pos) AS c FROM known_lines GROUP BY n),
+canon AS (SELECT n, {whole} AS c FROM known_lines GROUP BY n),
 digests AS (SELECT c, arg_min(licence, n) AS licence FROM canon JOIN known USING (n) GROUP BY c),
 doc_lines AS ({lines.replace('_ID_', 'doc_id').replace('_TABLE_', 'documents')}),
-doc_canon AS (SELECT doc_id, string_agg(w, ' ' ORDER BY pos) AS c FROM doc_lines GROUP BY doc_id),
+doc_canon AS (SELECT doc_id, {whole} AS c FROM doc_lines GROUP BY doc_id),
 noted AS (SELECT doc_id, string_agg(DISTINCT licence, ',' ORDER BY licence) AS notices
           FROM doc_lines JOIN digests ON w = c GROUP BY doc_id)
 SELECT d.doc_id, g.licence, coalesce(o.notices, '') AS notices

@@ -6,9 +6,9 @@
 3. Documents of a source are dealt to shards by a seeded hash. A shard's
    documents, in seeded order, form a line of words that is cut into blocks of
    equal length (give or take a word).
-4. Sainte-Lague: the blocks a source's target is worth go to its shards one by
-   one by the highest quotient votes / (2 seats + 1), a shard's votes being what
-   the target asks of its blocks. Quotas are integers.
+4. Sainte-Lague: the blocks of the whole mix go to the shards of all sources, which
+   compete for them, one by one by the highest quotient votes / (2 seats + 1). A
+   shard's votes are what its source's target asks of its blocks. Quotas are integers.
 5. A shard takes each block quota // blocks times and a seeded choice of
    quota % blocks of them once more. A document's share is what its stretch of the
    line has in the blocks taken.
@@ -111,15 +111,9 @@ def quotas(shards: pd.DataFrame, weights=WEIGHTS, share: float = SHARE, cap: flo
     shards["source_size"], shards["target"] = shards["order"].map(per), shards["order"].map(target)
     words = shards["words"].to_numpy()
     shards["blocks"] = np.where(words > 0, np.maximum(1, (words + block // 2) // block), 0)
-    shards["quota"] = 0
-    for _, rows in shards.groupby("order", sort=True):
-        total = int(rows["source_size"].iloc[0])
-        if total == 0:
-            continue
-        ratio = rows["target"].iloc[0] / total
-        n = rows["blocks"].to_numpy()
-        most = np.floor(cap * n).astype(np.int64)
-        shards.loc[rows.index, "quota"] = sainte_lague(n * ratio, round(float((n * ratio).sum())), most)
+    n = shards["blocks"].to_numpy()
+    votes = n * (shards["target"] / shards["source_size"].clip(lower=1)).to_numpy()
+    shards["quota"] = sainte_lague(votes, round(float(votes.sum())), np.floor(cap * n).astype(np.int64))
     return shards.drop(columns="order")
 
 
@@ -214,19 +208,20 @@ def mixed(docs: DataFrame, **how) -> DataFrame:
     each source's words add up to its target (whole_copies). Copies of rows equal
     in id, text and source are dealt among them.
     """
-    named, s, k, n, m, again = fresh(docs, "_named", "_source", "_k", "_n", "_m", "_again")
+    named, s, k, n, m, again, id_, key, has, of_ = fresh(
+        docs, "_named", "_source", "_k", "_n", "_m", "_again", "_id", "_key", "_has", "_of")
     plan = _taken(docs, **how).groupBy("doc_id", "k", "named", "source").agg(
         F.sum("copies").alias(n), F.count(F.lit(1)).alias(m)).filter(F.col(n) > 0)
-    plan = cut(plan.select(F.col("doc_id").alias("_id"), F.col("k").alias("_key"), F.col("named").alias("_has"),
-                           F.col("source").alias("_of"), n, m), "copies")
+    plan = cut(plan.select(F.col("doc_id").alias(id_), F.col("k").alias(key), F.col("named").alias(has),
+                           F.col("source").alias(of_), n, m), "copies")
     of = F.col(f"`{how.get('source', 'source')}`").cast("string")
     rows = docs.withColumns({named: of.isNotNull(), s: F.coalesce(of, F.lit("")), k: F.xxhash64(whole_text("text"))})
-    met = rows.join(plan, rows["doc_id"].cast("bigint").eqNullSafe(F.col("_id")) & (rows[k] == F.col("_key"))
-                    & (rows[named] == F.col("_has")) & (rows[s] == F.col("_of")))
-    met = met.select(*[rows[f"`{c}`"] for c in docs.columns], "_id", "_key", "_has", "_of", n, m)
+    met = rows.join(plan, rows["doc_id"].cast("bigint").eqNullSafe(F.col(id_)) & (rows[k] == F.col(key))
+                    & (rows[named] == F.col(has)) & (rows[s] == F.col(of_)))
+    met = met.select(*[rows[f"`{c}`"] for c in docs.columns], id_, key, has, of_, n, m)
     each = F.floor(F.col(n) / F.col(m))
     if not plan.filter(F.col(n) % F.col(m) > 0).isEmpty():  # rows that share an uneven number
-        place = F.row_number().over(Window.partitionBy("_id", "_key", "_has", "_of").orderBy(
+        place = F.row_number().over(Window.partitionBy(id_, key, has, of_).orderBy(
             F.xxhash64(*[F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind])))
         met = met.withColumn(again, place)
         each = each + (F.col(again) <= F.col(n) % F.col(m)).cast("int")

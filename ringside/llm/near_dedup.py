@@ -258,10 +258,10 @@ def keep_one(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -> D
     text one stays.
     """
     heads = classes(fingerprints(docs, shingle), radius).select("head.doc_id", "head.k").distinct()
-    k = fresh(docs, "_k")[0]
+    k, head_id, head_k = fresh(docs, "_k", "_head_id", "_head_k")
     marked = docs.withColumn(k, F.xxhash64(whole_text("text")))
-    chosen = heads.select(F.col("doc_id").alias("_head_id"), F.col("k").alias("_head_k"))
-    kept = marked.join(chosen, marked["doc_id"].eqNullSafe(F.col("_head_id")) & (marked[k] == F.col("_head_k")), "left_semi")
+    chosen = heads.select(F.col("doc_id").alias(head_id), F.col("k").alias(head_k))
+    kept = marked.join(chosen, marked["doc_id"].eqNullSafe(F.col(head_id)) & (marked[k] == F.col(head_k)), "left_semi")
     return kept.dropDuplicates(["doc_id", k]).drop(k)
 
 

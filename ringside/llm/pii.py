@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ringside.llm.common import table, whole_text
+from ringside.llm.common import fresh, table, whole_text
 
 _EMAIL = r"[A-Za-z0-9](?:[A-Za-z0-9._%+\-]{0,63})@[A-Za-z0-9](?:[A-Za-z0-9\-]{0,62})(?:\.[A-Za-z0-9\-]{1,63})*\.[A-Za-z]{2,24}"
 _DATE = r"(?<![\w.\-/])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})(?![\w\-/]|\.\d)"
@@ -294,11 +294,12 @@ def pseudonymise(docs: DataFrame, key: str = DEFAULT_KEY, text: str = "text", fo
     names = set(docs.columns)
     if text not in names:
         raise ValueError(f"no column {text}")
+    seen, kinds, new_values = fresh(docs, "_pii_seen", "_pii_kinds", "_pii_new")
     t = F.col(f"`{text}`")
     values = F.when(t.rlike("[0-9@]"), F.regexp_extract_all(t, F.lit(ANY), F.lit(0)))
-    worked = docs.select(*[F.col(f"`{c}`") for c in docs.columns], F.struct(values.alias("v")).alias("_pii_seen"))
-    marked = F.transform(F.col("_pii_seen.v"), lambda v: F.struct(v.alias("v"), _kind(v).alias("kind")))
-    worked = worked.withColumn("_pii_kinds", marked)
+    worked = docs.select(*[F.col(f"`{c}`") for c in docs.columns], F.struct(values.alias("v")).alias(seen))
+    marked = F.transform(F.col(f"{seen}.v"), lambda v: F.struct(v.alias("v"), _kind(v).alias("kind")))
+    worked = worked.withColumn(kinds, marked)
     hit = "array<struct<kind:string,value:string>>"
 
     def one(m):
@@ -306,19 +307,19 @@ def pseudonymise(docs: DataFrame, key: str = DEFAULT_KEY, text: str = "text", fo
             F.struct(m["kind"].alias("kind"), new.alias("value")))).otherwise(F.array().cast(hit)).alias("hits")))
         return F.when(m["kind"] == "card", _cards(m["v"], key)).otherwise(other)
 
-    renamed = F.transform(F.col("_pii_kinds"), one)
-    hits = F.size("_pii_seen.v") > 0
-    worked = worked.withColumn("_pii_new", F.when(hits, renamed))
+    renamed = F.transform(F.col(kinds), one)
+    hits = F.size(f"{seen}.v") > 0
+    worked = worked.withColumn(new_values, F.when(hits, renamed))
     # a text is its pieces between the matches, with the matches between them
     joined = F.array_join(F.flatten(F.zip_with(
-        F.split(t, ANY, -1), F.col("_pii_new"),
+        F.split(t, ANY, -1), F.col(new_values),
         lambda piece, new: F.array(piece, F.coalesce(new["value"], F.lit(""))))), "")
     kept = F.when(hits, joined).otherwise(t)
     out = [kept.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns]
     if found:
         if found in names:
             raise ValueError(f"there is a column {found} already")
-        out.append(F.coalesce(F.flatten(F.transform(F.col("_pii_new"), lambda m: m["hits"])), F.array().cast(hit)).alias(found))
+        out.append(F.coalesce(F.flatten(F.transform(F.col(new_values), lambda m: m["hits"])), F.array().cast(hit)).alias(found))
     return worked.select(*out)
 
 

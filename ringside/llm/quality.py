@@ -174,19 +174,21 @@ def _with_metadata(feats, row):
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, max_rows: int, metadata: tuple[str, ...] = (),
                   id_col: str = "doc_id") -> DataFrame:
-    """At most max_rows labelled documents, those with the smallest hash of their id, in that order.
+    """At most max_rows labelled documents, those with the smallest hash of their id: (id, y, text, m0, ...).
 
     Only the chosen ids are joined to the texts. Rows whose id or label is null
-    take no part, nor do ids whose labels contradict each other.
+    take no part, nor do ids whose labels contradict each other. Of documents that
+    share an id the one with the smallest text hash is taken.
     """
-    known = labels.filter(F.col(label).isNotNull() & F.col(id_col).isNotNull()).groupBy(id_col).agg(
-        F.min(label).alias("_y"), F.max(label).alias("_most")).filter("_y = _most")
-    order = [F.xxhash64(F.col(id_col)), F.col(id_col)]
-    chosen = known.orderBy(*order).limit(max_rows).select(F.col(id_col).alias("_id"), "_y")
+    known = labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label}`").alias("y")).dropna().groupBy("id").agg(
+        F.min("y").alias("y"), F.max("y").alias("most")).filter("y = most")
     # max_rows bounds this side: an id and a number each
-    picked = docs.join(F.broadcast(chosen), F.col(f"`{id_col}`") == F.col("_id"))
-    return picked.select(F.col("_id").alias("id"), F.col("_y").cast("double").alias("y"), whole_text().alias("text"),
-                         *[F.col(f"`{c}`").cast("double").alias(f"m{i}") for i, c in enumerate(metadata)])
+    chosen = known.orderBy(F.xxhash64("id"), "id").limit(max_rows).select("id", F.col("y").cast("double").alias("y"))
+    numbers = [F.col(f"`{c}`").cast("double").alias(f"m{i}") for i, c in enumerate(metadata)]
+    texts = docs.select(F.col(f"`{id_col}`").alias("id"), whole_text().alias("text"), *numbers)
+    row = F.struct("text", *[f"m{i}" for i in range(len(numbers))])
+    first = F.min_by(row, F.struct(F.xxhash64("text"), *[f"m{i}" for i in range(len(numbers))])).alias("row")
+    return texts.join(F.broadcast(chosen), "id").groupBy("id").agg(F.first("y").alias("y"), first).select("id", "y", "row.*")
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: int = MAX_TRAINING_ROWS,
@@ -194,7 +196,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: in
     """Fit on labelled rows of docs; None where there is no labelled row (scores are then 0.5).
 
     Features are made where the texts are; the driver gets the sparse features of
-    at most max_rows rows, each of at most 2^word_bits places.
+    at most max_rows rows, each of at most 2^word_bits places, as flat arrays.
     """
     rows = training_rows(docs, labels, label, max_rows, metadata, id_col)
 
@@ -205,16 +207,15 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: in
             yield pd.DataFrame({"id": pdf["id"], "y": pdf["y"],
                                 "at": [f[0].astype("<u4").tobytes() for f in feats],
                                 "x": [f[1].astype("<f4").tobytes() for f in feats],
-                                "stats": [f[2] for f in feats]})
+                                "stats": [np.asarray(f[2], "<f8").tobytes() for f in feats]})
 
-    got = rows.mapInPandas(sparse, "id bigint, y double, at binary, x binary, stats array<double>").toPandas()
-    if got.empty:
+    got = rows.mapInPandas(sparse, "id bigint, y double, at binary, x binary, stats binary").toArrow()
+    if not got.num_rows:
         return None
-    got["tie"] = [zlib.crc32(a + x) for a, x in zip(got["at"], got["x"])]
-    got = got.sort_values(["id", "tie"], kind="stable")
-    feats = [(np.frombuffer(a, "<u4").astype(np.int64), np.frombuffer(x, "<f4"), np.asarray(s, np.float64))
-             for a, x, s in zip(got["at"], got["x"], got["stats"])]
-    return train(feats, got["y"].to_numpy(), word_bits, **settings)
+    got = got.sort_by("id").combine_chunks()
+    # views into the table's buffers, nothing is copied
+    parts = [[np.frombuffer(v.as_buffer(), kind) for v in got.column(c).chunk(0)] for c, kind in (("at", "<u4"), ("x", "<f4"), ("stats", "<f8"))]
+    return train(list(zip(*parts)), got.column("y").to_numpy(), word_bits, **settings)
 
 
 def score(docs: DataFrame, machine: Machine | None, name: str = "score", metadata: tuple[str, ...] = ()) -> DataFrame:

@@ -1,6 +1,6 @@
 """Operator 13: MinHash near-duplicates by a signature-coordinate inverted join.
 
-1. Signature: the distinct word shingles of a text, hashed to 64 bits; COORDINATES
+1. Signature: the distinct word shingles of a text, hashed to 64 bits, and their
    minima under different orders. Texts with equal sets of shingles are one node
    (known by a 64-bit hash of the set).
 2. Inverted join with prefix and skip merging. A node is posted under its first
@@ -37,18 +37,21 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ringside.llm.common import WORD, fresh, table, whole_text
+from ringside.llm.common import WORD, fresh, maybe_listed, table, whole_text
 from ringside.llm.graph import components
 from ringside.session import cut
 
 SHINGLE = 5
 #: Similarity of the contract, as a fraction (85 of 100); the general rule of the library is 4 of 5.
 CONTRACT, GENERAL = (85, 100), (4, 5)
-POSTED, COORDINATES = 64, 128
+#: Coordinates that are posted, and those that are counted where two nodes meet.
+POSTED, COORDINATES = 32, 128
 MISS = 1e-6
 SEED = 42
 #: Members and shingles of a piece of a family; they bound a meeting's memory, not what is compared.
 PIECE, PIECE_SHINGLES = 512, 2_000_000
+#: Tasks over which the members of one list are dealt where they learn what becomes of it.
+SALT = 16
 
 _WORD_BYTES = re.compile(WORD.encode())
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -85,43 +88,42 @@ def shingle_set(text: str, shingle: int = SHINGLE) -> np.ndarray:
     return np.unique(out ^ (out >> np.uint64(29)))
 
 
-def signature(hashes: np.ndarray) -> np.ndarray:
+def signature(hashes: np.ndarray, coordinates: int = COORDINATES) -> np.ndarray:
     """The least value of the set under each order, 32 bits of it."""
-    least = np.full(COORDINATES, 0xFFFFFFFF, np.uint32)
+    least = np.full(coordinates, 0xFFFFFFFF, np.uint32)
     for i in range(0, len(hashes), _CHUNK):
-        mixed = (hashes[None, i:i + _CHUNK] ^ _ORDERS[0]) * _ORDERS[1]
+        mixed = (hashes[None, i:i + _CHUNK] ^ _ORDERS[0, :coordinates]) * _ORDERS[1, :coordinates]
         np.minimum(least, (mixed >> np.uint64(32)).astype(np.uint32).min(1), out=least)
     return least
 
 
-def _sketch(batches, shingle):
-    base = np.arange(POSTED, dtype=np.int64) << 32
+def _sketch(batches, shingle, mark):
     for batch in batches:
         for i in range(0, batch.num_rows, _BATCH):
             part = batch.slice(i, _BATCH)
-            nodes, sizes, signs, tokens = [], [], [], []
+            nodes, sizes, signs, marks = [], [], [], []
             for text in part.column(2).to_pylist():
                 hashes = shingle_set(text, shingle)
+                some = len(hashes) > 0
                 sizes.append(len(hashes))
-                nodes.append(int(np.uint64(xxhash.xxh64_intdigest(hashes.tobytes(), SEED)).view(np.int64)) if len(hashes) else None)
-                sign = signature(hashes) if len(hashes) else None
-                signs.append(None if sign is None else sign.tobytes())
-                tokens.append(None if sign is None else base | sign[:POSTED].astype(np.int64))
+                nodes.append(int(np.uint64(xxhash.xxh64_intdigest(hashes.tobytes(), SEED)).view(np.int64)) if some else None)
+                signs.append(signature(hashes, POSTED).view(np.int32) if some else None)
+                marks.append(mark(text) if mark and some else None)
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), part.column(1), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()),
-                 pa.array(signs, pa.binary()), pa.array(tokens, pa.list_(pa.int64()))],
-                ["doc_id", "k", "node", "n", "signature", "tokens"])
+                 pa.array(signs, pa.list_(pa.int32())), pa.array(marks, pa.int64())], ["doc_id", "k", "node", "n", "posted", "mark"])
 
 
-def sketches(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, k, node, n, signature, tokens) of every row, written once; k is a hash of the text, n the size of its set.
+def sketches(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text: str = "text", mark=None) -> DataFrame:
+    """(doc_id, k, node, n, posted, mark) of every row, written once; k is a hash of the text, n the size of its set.
 
-    Texts without a word have no node.
+    posted are the coordinates under which the node is posted, mark what that function says of the text. Texts without a
+    word have no node.
     """
     t = whole_text(text)
     rows = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.xxhash64(t).alias("k"), t.alias("text"))
-    return cut(rows.mapInArrow(lambda b: _sketch(b, shingle), "doc_id bigint, k bigint, node bigint, n bigint, "
-                               "signature binary, tokens array<bigint>"), "signatures")
+    return cut(rows.mapInArrow(lambda b: _sketch(b, shingle, mark), "doc_id bigint, k bigint, node bigint, n bigint, "
+                               "posted array<int>, mark bigint"), "signatures")
 
 
 # -- inverted join ----------------------------------------------------------
@@ -129,13 +131,18 @@ def sketches(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", te
 def postings(nodes: DataFrame, similarity: tuple[int, int], miss: float = MISS) -> DataFrame:
     """(token, node, rank, mask) of every node's prefix, for tokens that more than one node has.
 
-    nodes: (node, tokens). The order of a node's tokens is by how many nodes have them, then by the token. rank is high
-    for central nodes; mask has a bit for every coordinate of the prefix.
+    nodes: (node, posted). A token is a coordinate and its value, side by side in a long. The order of a node's tokens is
+    by how many nodes have them, then by the token. rank is high for central nodes; mask has a bit for every coordinate
+    of the prefix.
     """
     prefix = POSTED - matches(POSTED, *similarity, miss) + 1
-    each = nodes.select("node", F.explode("tokens").alias("token"))
-    held = each.groupBy("token").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
-    known = each.join(held, "token").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("c", "token"))).alias("t"))
+    value = F.col("value").cast("bigint").bitwiseAND(F.lit(0xFFFFFFFF).cast("bigint"))
+    each = nodes.select("node", F.posexplode("posted").alias("at", "value")).select(
+        "node", F.shiftleft(F.col("at").cast("bigint"), 32).bitwiseOR(value).alias("token"))
+    held = cut(each.groupBy("token").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"), "tokens")
+    # most tokens are one node's alone and need no exchange
+    several = maybe_listed(each, F.col("token"), held, F.col("token"))
+    known = several.join(held, "token").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("c", "token"))).alias("t"))
     left = F.lit(prefix - POSTED) + F.size("t")  # tokens of its own come first
     first = known.filter(left > 0).select(
         "node", F.aggregate("t", F.lit(0).cast("bigint"), lambda a, x: a + x["c"]).alias("rank"),
@@ -148,7 +155,7 @@ def postings(nodes: DataFrame, similarity: tuple[int, int], miss: float = MISS)
 def families(posted: DataFrame) -> DataFrame:
     """(node, family) of all nodes that share a list: the components of the lists, each named by its smallest node."""
     least = posted.groupBy("token").agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a < z")
-    edges = posted.join(least.select("token", "a"), "token").select("a", F.col("node").alias("b"))
+    edges = _salted(posted, least.select("token", "a")).select("a", F.col("node").alias("b"))
     return components(edges).toDF("node", "family")
 
 
@@ -169,8 +176,8 @@ class _Meeting:
         self.first = np.arange(len(self.root))
         self.coordinate, self.similarity, self.least = coordinate, similarity, least
         if coordinate is not None:
-            masks = rows.column("mask").to_numpy().view(np.uint64)
-            self.prefix = (masks[:, None] >> np.arange(coordinate, dtype=np.uint64)) & np.uint64(1) == 1
+            masks = rows.column("mask").to_numpy()
+            self.prefix = (masks[:, None] >> np.arange(coordinate)) & 1 == 1
 
     def words(self, i):
         return self.flat[self.ends[i] - self.size[i]:self.ends[i]]
@@ -259,6 +266,12 @@ def _each(pieces):
     return F.explode(F.sequence(F.lit(0), pieces - 1))
 
 
+def _salted(lists: DataFrame, plan: DataFrame) -> DataFrame:
+    """lists joined to the plan of their token, a long list's members over SALT tasks."""
+    salts = plan.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    return lists.withColumn("salt", _dealt("node", F.lit(SALT), 5)).join(salts, ["token", "salt"]).drop("salt")
+
+
 def _long_lists(lists: DataFrame, members: DataFrame, similarity, miss: float, piece: int) -> DataFrame:
     """Edges (a, b) among the members of the lists (token, node, rank, mask, n), all pairs of a list considered."""
     yes, no = F.lit(True), F.lit(False)
@@ -268,13 +281,15 @@ def _long_lists(lists: DataFrame, members: DataFrame, similarity, miss: float, p
     sizes = lists.groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("s"),
                                        F.max_by("node", F.struct("rank", "node")).alias("centre"))
     sizes = cut(sizes.withColumn("pieces", whole), "lists")
-    around = lists.join(sizes.filter("pieces > 1").select("token", "centre"), "token").select("centre", "node", "n").distinct()
-    lanes = around.groupBy("centre").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("s")).select("centre", whole.alias("pieces"))
-    around = around.join(lanes, "centre").filter("node <> centre").select(
-        "centre", "node", "n", _dealt("node", F.col("pieces"), 7).alias("lane"), no.alias("asks"))
-    own = lists.select(F.col("node").alias("centre"), "n").distinct().join(lanes, "centre").select(
-        "centre", F.col("centre").alias("node"), "n", _each(F.col("pieces")).alias("lane"), yes.alias("asks"))
-    rows = around.union(own).join(held, "node").withColumns(
+    around = _salted(lists, sizes.filter("pieces > 1").select("token", "centre")).select("centre", "node", "n").distinct()
+    around = cut(around, "around")
+    lanes = around.groupBy("centre").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("s")).select("centre", whole.alias("lanes"))
+    lane = _dealt("node", F.col("lanes"), 7).alias("lane")
+    apart = _salted(around.withColumnRenamed("centre", "token"), lanes.withColumnRenamed("centre", "token"))
+    apart = apart.filter("node <> token").select(F.col("token").alias("centre"), "node", "n", lane, no.alias("asks"))
+    own = around.filter("node = centre").join(lanes, "centre").select(
+        "centre", "node", "n", _each(F.col("lanes")).alias("lane"), yes.alias("asks"))
+    rows = apart.union(own).join(held, "node").withColumns(
         {"label": F.col("node"), "mask": F.lit(0).cast("bigint"), "answers": ~F.col("asks")})
     stars = cut(_met(rows, ["centre", "lane"], similarity, miss), "stars")
     # then those outside the largest component of a list meet all others in it
@@ -283,7 +298,7 @@ def _long_lists(lists: DataFrame, members: DataFrame, similarity, miss: float, p
     most = labelled.groupBy("token", "label").agg(F.count(F.lit(1)).alias("l")).groupBy("token").agg(
         F.max_by("label", F.struct("l", "label")).alias("largest"), F.sum("l").alias("c"), F.max("l").alias("most")).filter("most < c")
     most = most.select("token", "largest", F.ceil((F.col("c") - F.col("most")) / piece).cast("int").alias("blocks"))
-    still = labelled.join(most, "token").join(sizes.select("token", "pieces"), "token")
+    still = _salted(labelled, cut(most.join(sizes.select("token", "pieces"), "token"), "open-lists"))
     block, part = _dealt("node", F.col("blocks"), 11), _dealt("node", F.col("pieces"), 13)
     asking = F.col("label") != F.col("largest")
     ask = still.filter(asking).withColumn("block", block).withColumn("piece", _each(F.col("pieces"))).withColumns(
@@ -307,8 +322,8 @@ def links(posted: DataFrame, members: DataFrame, similarity: tuple[int, int], mi
     edges = _met(small, ["family"], similarity, miss)
     if large.isEmpty():
         return edges
-    inside = members.select("family", "node").join(large, "family").select("node")
-    return edges.union(_long_lists(cut(posted.join(inside, "node"), "long-lists"), members, similarity, miss, piece))
+    inside = members.join(large, "family", "left_semi")
+    return edges.union(_long_lists(cut(posted.join(inside.select("node"), "node"), "long-lists"), inside, similarity, miss, piece))
 
 
 # -- operator ---------------------------------------------------------------
@@ -317,9 +332,10 @@ def _hashes(batches, shingle):
     for batch in batches:
         for i in range(0, batch.num_rows, _BATCH):
             part = batch.slice(i, _BATCH)
-            sets = [shingle_set(t, shingle).tobytes() for t in part.column("text").to_pylist()]
-            kept = [part.column(c) for c in ("family", "node", "n", "signature")]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(sets, pa.binary())], ["family", "node", "n", "signature", "hashes"])
+            sets = [shingle_set(t, shingle) for t in part.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*[part.column(c) for c in ("family", "node", "n")], pa.array([signature(x).tobytes() for x in sets], pa.binary()),
+                 pa.array([x.tobytes() for x in sets], pa.binary())], ["family", "node", "n", "signature", "hashes"])
 
 
 def _rows_of(docs: DataFrame, heads: DataFrame, how: str, id_col: str, text: str) -> DataFrame:
@@ -332,22 +348,31 @@ def _rows_of(docs: DataFrame, heads: DataFrame, how: str, id_col: str, text: str
 
 
 def classes(docs: DataFrame, rows: DataFrame, similarity: tuple[int, int] = GENERAL, shingle: int = SHINGLE,
-            id_col: str = "doc_id", text: str = "text", miss: float = MISS, piece: int = PIECE) -> DataFrame:
-    """(node, head) of every node of the sketches: head is (null_id, doc_id, k) of its component's first row, null ids last."""
+            id_col: str = "doc_id", text: str = "text", miss: float = MISS, piece: int = PIECE, lists=None) -> DataFrame:
+    """(node, head) of every node of the sketches: head is (null_id, doc_id, k) of its component's first row, null ids last.
+
+    lists: a function from (node, mark) to further lists (token, node) of nodes that may be similar; their tokens have the
+    coordinate POSTED.
+    """
     order = F.struct(F.col("doc_id").isNull().alias("null_id"), "doc_id", "k")
     nodes = cut(rows.filter("node is not null").groupBy("node").agg(
-        F.min(order).alias("head"), *[F.first(c).alias(c) for c in ("n", "signature", "tokens")]), "nodes")
-    posted = postings(nodes.select("node", "tokens"), similarity, miss)
-    posted = cut(posted.join(nodes.select("node", "n"), "node"), "postings")
+        F.min(order).alias("head"), *[F.first(c).alias(c) for c in ("n", "posted", "mark")]), "nodes")
+    posted = cut(postings(nodes.select("node", "posted"), similarity, miss), "postings")
+    if lists is not None:
+        of_node = posted.groupBy("node").agg(F.first("rank").alias("rank"), F.first("mask").alias("mask"))
+        more = lists(nodes.select("node", "mark")).join(of_node, "node", "left")
+        posted = cut(posted.unionByName(more.withColumns({c: F.coalesce(c, F.lit(0).cast("bigint")) for c in ("rank", "mask")})), "postings")
     found = cut(families(posted), "node-families")
-    wanted = nodes.join(found, "node").select("node", "family", "n", "signature", F.col("head.doc_id").alias("head_id"),
-                                              F.col("head.k").alias("head_k"))
+    wanted = nodes.join(found, "node").select("node", "family", "n", F.col("head.doc_id").alias("head_id"), F.col("head.k").alias("head_k"))
+    wanted = cut(wanted, "wanted")
     plain = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), whole_text(text).alias("text"))
+    plain = maybe_listed(plain, F.xxhash64("doc_id", F.xxhash64("text")), wanted, F.xxhash64("head_id", "head_k"))
     once = _rows_of(plain, wanted, "inner", "doc_id", "text").groupBy("node").agg(
-        *[F.first(c).alias(c) for c in ("family", "n", "signature", "text")])
-    members = cut(once.select("family", "node", "n", "signature", "text").mapInArrow(
+        *[F.first(c).alias(c) for c in ("family", "n", "text")])
+    members = cut(once.select("family", "node", "n", "text").mapInArrow(
         lambda b: _hashes(b, shingle), "family bigint, node bigint, n bigint, signature binary, hashes binary"), "members")
-    roots = components(links(posted, members, similarity, miss, piece))
+    sized = posted.join(nodes.select("node", "n"), "node")
+    roots = components(links(sized, members, similarity, miss, piece))
     labelled = nodes.select("node", "head").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     heads = labelled.groupBy("root").agg(F.min("head").alias("head"))
     return labelled.drop("head").join(heads, "root").select("node", "head")
@@ -371,14 +396,14 @@ def near_classes(docs: DataFrame, similarity: tuple[int, int] = GENERAL, shingle
                       F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
 
 
-def keep_one(docs: DataFrame, similarity: tuple[int, int] = GENERAL, shingle: int = SHINGLE, **how) -> DataFrame:
+def keep_one(docs: DataFrame, similarity: tuple[int, int] = GENERAL, shingle: int = SHINGLE, mark=None, **how) -> DataFrame:
     """One row of each component of similar texts, with all its columns: the smallest doc_id's, null ids last, of equal ids
     the smallest text hash's.
 
     Texts without a word count as alike here. Of rows with equal id and text one stays. An empty table gives an empty
     table.
     """
-    rows = sketches(docs, shingle)
+    rows = sketches(docs, shingle, mark=mark)
     order = F.struct(F.col("doc_id").isNull().alias("null_id"), "doc_id", "k")
     wordless = rows.filter("node is null").agg(F.min(order).alias("head"))
     found = classes(docs, rows, similarity, shingle, **how).select("head").distinct().union(wordless.filter("head is not null"))
@@ -399,7 +424,8 @@ QUERIES = {"op13_minhash_signature_join": op13}
 ORACLES = {"op13_minhash_signature_join": r"""
 with recursive words as (
   select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-         '[^ 	-]+') as w from documents),
+         '[^ 	-
+]+') as w from documents),
 shingles as (
   select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
     else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) as s from words),

@@ -4,7 +4,7 @@ from collections import Counter
 import corpus_pipeline
 from ringside.llm import mixing, pii
 
-from .test_near_dedup import plain_components, plain_simhash
+from .test_similar_texts import plain_heads
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -26,9 +26,8 @@ def test_stages_equal_plain_versions(spark):
     assert all(i in kept for i, q in labels.items() if q == 1)
     assert sum(i in kept for i, q in labels.items() if q == 0) <= 0.2 * sum(q == 0 for q in labels.values())
 
-    fps = [(i, plain_simhash(t)) for i, t in kept.items()]
-    heads = {c for _, c in plain_components(fps)}
-    assert {r["doc_id"] for r in one.collect()} == heads
+    heads = plain_heads(sorted(kept.items()))
+    assert {r["doc_id"] for r in one.collect()} == heads and len(heads) < len(kept)
 
     texts = {r["doc_id"]: r["text"] for r in private.collect()}
     assert set(texts) == heads
@@ -38,8 +37,20 @@ def test_stages_equal_plain_versions(spark):
         for m in re.findall(r"[\w.]+@mail\d\.example\.com|\+1 \(\d{3}\) 555-\d{4}", r["text"]):
             assert m not in texts[r["doc_id"]]
 
-    plan = {r["doc_id"]: round(r["taken"] / r["size"] + 1e-9) for r in mixing.mix(private).collect() if r["size"]}
-    assert Counter(r["doc_id"] for r in mix.collect()) == Counter({i: n for i, n in plan.items() if n})
+    # each source's words come near its target, a document's copies near its share of them
+    size = {i: len(re.findall(r"[^\x20\x09-\x0D]+", t)) for i, t in texts.items()}
+    copies = Counter(r["doc_id"] for r in mix.collect())
+    source = {r["doc_id"]: r["source"] for r in private.collect()}
+    names = sorted(set(source.values()), key=lambda s: (s is None, s or ""))
+    total = {s: sum(size[i] for i in size if source[i] == s) for s in names}
+    target = dict(zip(names, mixing.targets([total[s] for s in names], [(5, 2, 1)[k % 3] for k in range(len(names))])))
+    share = {r["doc_id"]: r["taken"] / r["size"] for r in mixing.mix(private).collect() if r["size"]}
+    assert set(copies) <= set(size)
+    for i, x in share.items():
+        assert abs(copies[i] - x) < 1 and copies[i] <= 2
+    for s in names:
+        longest = max(size[i] for i in size if source[i] == s)
+        assert abs(sum(size[i] * n for i, n in copies.items() if source[i] == s) - target[s]) <= longest + 64, s
     rows = tokens.collect()
     assert Counter((r["doc_id"], r["text"]) for r in rows) == Counter((r["doc_id"], r["text"]) for r in mix.collect())
     assert all(r["round_trip"] and r["n_tokens"] == len(r["ids"]) for r in rows)

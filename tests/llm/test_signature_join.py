@@ -112,7 +112,7 @@ def test_at_the_threshold(spark):
 def test_empty_table_and_clashing_columns(spark):
     assert not got(spark, [])
     docs = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f"), (3, "other words are in this text")], SCHEMA)
-    names = ["node", "n", "signature", "tokens", "k", "_k", "_head_id", "_head_k", "head", "family", "hashes", "label", "token"]
+    names = ["node", "n", "signature", "posted", "mark", "text2", "k", "_k", "_head_id", "_head_k", "head", "family", "hashes", "label", "token", "_bucket", "_bits"]
     wide = docs.select("*", *[F.lit("x").alias(c) for c in names])
     assert {(r["doc_id"], r["component_id"]) for r in sj.near_classes(wide).collect()} == {(1, 1), (2, 1), (3, 3)}
     kept = sj.keep_one(wide)

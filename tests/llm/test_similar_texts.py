@@ -2,6 +2,7 @@ import random
 import re
 
 import corpus_pipeline
+from ringside.llm import signature_join as sj
 from ringside.llm import similar_texts
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -51,9 +52,9 @@ def test_stage_keeps_one_of_all_texts_that_are_similar_by_four_fifths(spark):
     docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], SCHEMA)
     want = plain_heads(rows)
     assert {r["doc_id"] for r in corpus_pipeline.one_of_each(spark, docs, "").collect()} == want
-    # with stars first, and with every cell paired in full
-    for how in ({"few": 0}, {"few": 10**9}, {"few": 0, "most_stars": 1}):
-        assert {r["doc_id"] for r in similar_texts.keep_one(docs, **how).collect()} == want, how
+    # list by list, with long lists
+    for piece in (3, 6):
+        assert {r["doc_id"] for r in similar_texts.keep_one(docs, piece=piece).collect()} == want, piece
 
 
 def test_stage_equals_all_pairs_on_the_given_table(spark):
@@ -62,21 +63,25 @@ def test_stage_equals_all_pairs_on_the_given_table(spark):
     assert {r["doc_id"] for r in corpus_pipeline.one_of_each(spark, docs, "").collect()} == want
 
 
-def test_pairs_at_the_threshold_share_a_cell():
-    rng, met = random.Random(2), 0
+def test_pairs_at_the_threshold_share_enough_coordinates():
+    rng, part, whole = random.Random(2), *similar_texts.SIMILARITY
     for _ in range(400):
         base = [rng.randrange(10**9) for _ in range(300)]
-        other = list(base)
-        while similar_texts.alike(_hashes(base), _hashes(other)):
+        last, other = base, list(base)
+        while plain_similarity(*(" ".join(map(str, x)) for x in (base, other))) >= 0.8:
             last, other = other, list(other)
             other[rng.randrange(300)] = rng.randrange(10**9)
-        cells = [similar_texts.sketch(_hashes(x))[1] for x in (base, last)]
-        met += any(a == b for a, b in zip(*cells))
-    assert met >= 399
+        signs = [sj.signature(sj.shingle_set(" ".join(map(str, x)))) for x in (base, last)]
+        for n in (sj.POSTED, sj.COORDINATES):
+            assert (signs[0][:n] == signs[1][:n]).sum() >= sj.matches(n, part, whole)
 
 
-def _hashes(words):
-    return similar_texts.shingles(" ".join(map(str, words)))
+def test_classes_of_operator_10_are_lists(spark):
+    nodes = spark.createDataFrame([(1, 0b0), (2, 0b11), (3, 0b0), (4, 0xFFFF), (5, 0x0FFF0000)], "node long, mark long")
+    lists = {}
+    for r in similar_texts.simhash_lists(nodes).collect():
+        lists.setdefault(r["token"], set()).add(r["node"])
+    assert sorted(map(sorted, lists.values())) == [[1, 2, 3]]
 
 
 def test_columns_repeats_and_null_ids(spark):

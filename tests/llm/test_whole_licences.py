@@ -32,3 +32,19 @@ def test_isc_with_prose_line_that_begins_with_copyright(spark):
                                    " * Copyright (c) A", "All Rights Reserved."])
 def test_owner_lines_are_left_out(spark, owner):
     assert _scan(spark, [_file("MIT", 70, owner=owner)])[0][0] == "MIT"
+
+
+def test_checking_sql_says_what_the_query_says(spark):
+    import duckdb
+    import pandas as pd
+
+    texts = [_file(name, w, t) for name in TEXTS for w in (0, 50, 72) for t in (True, False)]
+    texts += [None, "", "Copyright 2001 A", "Copyright The Holders\nMIT License", "Copyright Holders of\nMIT License", "copyright notice\nISC",
+              _file("ISC", 0).replace("that the above copyright", "that the above\ncopyright"), "one\nLicensed under CC BY 4.0.\nMIT License",
+              "Licensed under the GNU General Public Licence,  version 3", "c 2001 A\nSPDX-License-Identifier: MIT", "Copyright by Notices\nx"]
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame({"doc_id": range(len(texts)), "text": pd.Series(texts, dtype=object)}))
+    want = {r[0]: (r[1], r[2]) for r in con.execute(licences.ORACLES["op8_licence_digests"]).fetchall()}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: (r["licence"], ",".join(r["notices"])) for r in licences.scan(docs).collect()}
+    assert got == want and sum(v[0] is not None for v in got.values()) >= 6 * len(TEXTS)
