@@ -1,5 +1,6 @@
 """Every registered query: a Spark callable and, where SQL can say it, the checking SQL."""
 
+import re
 import uuid
 from datetime import date
 
@@ -345,10 +346,52 @@ def _violations_sql():
     parts += [f"select '{n}' as \"check\", (select count(*) from ({_AUDITS[n][0].rsplit(' limit ', 1)[0]})) as found"
               for n in audit.MUST_BE_EMPTY]
     needs = dict.fromkeys(x for n in [*audit.MUST_BE_ZERO, *audit.MUST_BE_EMPTY] for x in _AUDITS[n][1])
-    return o.with_(" union all ".join(parts), *needs)
+    return " union all ".join(parts), list(needs)
+
+
+_violations = _violations_sql()
+register("audit_violations", lambda spark, d: audit.violations(bench(spark, d).audit_tables(), AUDIT_DAY),
+         o.with_(_violations[0], *_violations[1]))
+
+# The bound tables are clean where these checks look; the same checks on damaged copies, the damage phrased for both engines.
+_DAMAGE = {
+    "fights": ("fights", {"round": "case when fight_id%13=0 then round - 1 else round end"}),
+    "fight_totals": ("fight_totals", {
+        "fighter1_sig_str_percent": "case when fight_id%17=0 then 'n/a' else fighter1_sig_str_percent end",
+        "fighter1_sig_str": "case when fight_id%19=0 then '9 of 2' else fighter1_sig_str end"}),
+    "events": ("bevents", {"event_date": "case when event_id%101=0 then date '1990-01-01' else event_date end"}),
+    "fighter_bio": ("fighter_bio", {"height": "case when fighter_id%97=0 then height - 50 else height end"}),
+    "fighter_fight_features": ("features", {
+        "momentum_sig_str_percent_avg": "case when fight_id%23=0 then momentum_sig_str_percent_avg + 100 else momentum_sig_str_percent_avg end",
+        "momentum_sig_str_landed_avg": "case when fight_id%29=0 then cast(-1 as double) else momentum_sig_str_landed_avg end"}),
+}
+for _name, _damage in _DAMAGE.values():
+    o.cte(f"bad_{_name}", [_name], f"select * exclude ({', '.join(_damage)}), {o.cols(_damage)} from {_name}")
+
+
+def _damaged(spark, d):
+    good = bench(spark, d).audit_tables()
+    bad = {t: good[t].withColumns({c: F.expr(e) for c, e in damage.items()}) for t, (_, damage) in _DAMAGE.items()}
+    whole = ("round_stats", "fighters", "fight_facts", "fighter_fight_facts", "fight_model_rows")
+    return bad | {t: good[t] for t in whole}
+
+
+def _damaged_sql(sql, needs):
+    bad = {n for n, _ in _DAMAGE.values()}
+    for n in bad:
+        sql = re.sub(rf"\b{n}\b", f"bad_{n}", sql)
+    return o.with_(sql, *[f"bad_{n}" if n in bad else n for n in needs])
+
+
+def _damaged_query(name):
+    run = audit.checks(AUDIT_DAY)[name]
+    register(f"audit_damaged_{name}", lambda spark, d: rounded(run(_damaged(spark, d))), _damaged_sql(*_AUDITS[name]))
 
 
-register("audit_violations", lambda spark, d: audit.violations(bench(spark, d).audit_tables(), AUDIT_DAY), _violations_sql())
+for _name in ("rounds_past_official", "round_count_gaps", "odd_percent_text", "landed_above_attempted", "events_too_early",
+              "body_out_of_range", "percent_average_range", "negative_momentum"):
+    _damaged_query(_name)
+register("audit_damaged_violations", lambda spark, d: audit.violations(_damaged(spark, d), AUDIT_DAY), _damaged_sql(*_violations))
 register(
     "corner_rejects",
     lambda spark, d: corners.corner_rejects(bench(spark, d).eligible),
@@ -956,6 +999,53 @@ register(
     "cast(unnest(range(1, len(l)+1)) as int) as i from (select page_id, regexp_extract_all(html, "
     "'(?is)<h[23]\\b[^>]*>(.*?)</h[23]>', 1) as l from pages))",
 )
+
+def _order_pages(spark, d):
+    """Orders as pages: a table with a class, one without that holds another, a title, a status, and an unclosed table."""
+    b = bench(spark, d)
+    cells = F.format_string("<tr class='l%s'><td>%s</td><td> %s <b>of</b> 50<br>&amp; more</td></tr>", "l_returnflag", "l_linenumber",
+                            F.col("l_partkey"))
+    place = ["l_linenumber", "l_partkey", "l_suppkey", "l_returnflag"]
+    lines = b.raw("lineitem").select("l_orderkey", F.struct(*place, cells.alias("html")).alias("line"))
+    rows = lines.groupBy("l_orderkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list("line")), lambda x: x["html"]), "").alias("rows"))
+    orders = b.raw("orders").join(rows, F.col("o_orderkey") == F.col("l_orderkey"))
+    html = F.concat(
+        F.lit("<section><h2>Order <i>no</i> "), F.col("o_orderkey").cast("string"), F.lit("</h2></section><i> "), F.col("o_orderstatus"),
+        F.lit(" </i><i>NC</i><table class='t'><tr><td>classed</td></tr></table><TABLE><thead><tr><th>line</th><th>part</th></tr></thead>"),
+        F.col("rows"), F.lit("<tr><td>inner <table><tr><td>"), F.col("o_custkey").cast("string"),
+        F.lit("</td></tr></table> end</td></tr></TABLE></p><table><tr><td>open"))
+    return orders.select(F.col("o_orderkey").alias("page_id"), html.alias("html"))
+
+
+def _page_rows(spark, d):
+    found = pages.table_rows(_order_pages(spark, d))
+    return found.select("page_id", "table_no", "row_no", "row_class", F.array_join("tags", ",").alias("tags"), F.array_join("texts", "|").alias("texts"))
+
+
+_order_lines = ("(select *, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_returnflag) as i, "
+                "count(*) over (partition by l_orderkey) as n from lineitem)")
+_heads = f"(select o_orderkey, any_value(o_custkey) as cust, any_value(n) as n from orders join {_order_lines} on l_orderkey = o_orderkey group by 1)"
+register(
+    "page_rows", _page_rows,
+    " union all ".join([
+        "select o_orderkey as page_id, 1 as table_no, 0 as row_no, null as row_class, 'th,th' as tags, 'line|part' as texts from " + _heads,
+        "select l_orderkey, 1, cast(i as int), 'l' || l_returnflag, 'td,td', l_linenumber || '|' || l_partkey || ' of 50 & more' from "
+        f"{_order_lines} where l_orderkey in (select o_orderkey from orders)",
+        f"select o_orderkey, 1, cast(n + 1 as int), null, 'td,td', 'inner ' || cust || ' end|' || cust from {_heads}",
+        f"select o_orderkey, 1, cast(n + 2 as int), null, 'td', cast(cust as varchar) from {_heads}",
+        f"select o_orderkey, 2, 0, null, 'td', cast(cust as varchar) from {_heads}",
+        f"select o_orderkey, 3, 0, null, 'td', 'open' from {_heads}"]),
+)
+register(
+    "page_order_headings",
+    lambda spark, d: pages.headings(_order_pages(spark, d)),
+    f"select o_orderkey as page_id, cast(0 as int) as heading_no, 'Order no ' || o_orderkey as heading from {_heads}",
+)
+register(
+    "page_order_status",
+    lambda spark, d: pages.status_nodes(_order_pages(spark, d)),
+    f"select o_orderkey as page_id, 'nc' as status, cast(1 as bigint) as n from {_heads}",
+)
 register(
     "corner_checks",
     lambda spark, d: pages.corner_check_counts(pages.corner_checks(_doc_corners(spark, d))),

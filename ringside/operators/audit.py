@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ringside.functions import parse
+from ringside.session import cut
 
 Tables = Mapping[str, DataFrame]
 
@@ -316,14 +317,89 @@ MUST_BE_EMPTY = [
 ]
 
 
+def _narrow(t: Tables, today: str) -> dict[str, DataFrame]:
+    """Of every table the keys and one 0/1 column per check of single rows; each table is read once."""
+    c = F.col
+    cell, pair = c("fighter1_sig_str_percent"), c("fighter1_sig_str")
+    day, h, r = c("event_date"), c("height"), c("reach")
+    flags = {
+        "fights": {"self_fights": F.expr("fighter1_id = fighter2_id"), "winner_not_in_bout": F.expr(WINNER_ELSEWHERE),
+                   "decisive_without_winner": F.expr("outcome_type = 'decisive' and winner_id is null")},
+        "fight_facts": {"valid_flag_mismatch": F.expr(VALID_MISMATCH),
+                        "nc_not_grouped": c("method_raw").isin(NC_METHODS) & ~c("method_group").eqNullSafe(F.lit("NC"))},
+        "fight_model_rows": {"model_rows_without_label": c("y_method_group").isNull()},
+        "fighter_fight_facts": {"negative_pace": F.expr("pace < 0 or sig_str_landed_pm < 0"), "defense_range": F.expr(
+            "strike_defense < 0 or strike_defense > 100 or td_defense < 0 or td_defense > 100")},
+        "round_stats": {"round_number_range": ~c("round_number").between(1, MAX_ROUNDS)},
+        "fight_totals": {"odd_percent_text": cell.isNotNull() & ~cell.rlike(PERCENT_TEXT) & ~cell.isin("---", "--"),
+                         "landed_above_attempted": pair.rlike(PAIR_TEXT) & (parse.landed(pair) > parse.attempted(pair))},
+        "events": {"events_in_future": day > F.date_add(F.lit(today).cast("date"), FUTURE_DAYS),
+                   "events_too_early": day < F.lit(FIRST_EVENT).cast("date")},
+        "fighter_bio": {"body_out_of_range": ~h.between(*HEIGHT_RANGE) | ~r.between(*REACH_RANGE)},
+        "fighter_fight_features": {"percent_average_range": ~c("momentum_sig_str_percent_avg").between(0, 100),
+                                   "negative_momentum": c("momentum_sig_str_landed_avg") < 0},
+        "fighters": {},
+    }
+    keys = {
+        "fights": ["fight_id", "event_id", "fighter1_id", "fighter2_id", "round"], "fight_facts": ["fight_id"],
+        "fighter_fight_facts": ["fight_id", "fighter_id", "opponent_id", "sig_str_absorbed", "sig_str_landed"],
+        "round_stats": ["fight_id", "round_number"], "events": ["event_id", "event_date"], "fighters": ["fighter_id"],
+        "fighter_fight_features": ["fight_id"],
+    }
+    out = {}
+    for name, marks in flags.items():
+        kept = t[name].select(*keys.get(name, []), *[F.coalesce(v, F.lit(False)).cast("int").alias(k) for k, v in marks.items()])
+        out[name] = cut(kept, f"audit-{name.replace('_', '-')}") if name in keys else kept
+    return out
+
+
+def _found(df: DataFrame, counts: dict[str, Column]) -> DataFrame:
+    """(check, found) from one aggregate."""
+    row = df.agg(*[F.coalesce(v.cast("long"), F.lit(0).cast("long")).alias(k) for k, v in counts.items()])
+    return row.select(F.inline(F.array(*[F.struct(F.lit(k).alias("check"), F.col(k).alias("found")) for k in counts])))
+
+
+def _bouts(n: dict[str, DataFrame]) -> DataFrame:
+    """One row per bout id that any table mentions: how often each does, and whether what the bout refers to is there."""
+    dated = n["events"].select("event_id", F.col("event_date").isNotNull().cast("int").alias("dated"))
+    fights = n["fights"].join(dated, "event_id", "left")
+    for s in (1, 2):
+        there = n["fighters"].select(F.col("fighter_id").alias(f"fighter{s}_id"), F.lit(1).alias(f"person{s}"))
+        fights = fights.join(there, f"fighter{s}_id", "left")
+    both = (F.col("fighter1_id").isNotNull() & F.col("fighter2_id").isNotNull()).cast("int")
+    missing = [(F.col(f"fighter{s}_id").isNotNull() & F.col(f"person{s}").isNull()).cast("int").alias(f"no_person{s}") for s in (1, 2)]
+    parts = [
+        fights.select("fight_id", F.lit(1).alias("fights"), F.col("round").alias("official"), both.alias("known"), "dated",
+                      F.col("dated").isNull().cast("int").alias("no_event"), *missing),
+        n["round_stats"].select("fight_id", F.lit(1).alias("rounds"), F.col("round_number").alias("top")),
+        n["fighter_fight_features"].select("fight_id", F.lit(1).alias("features")),
+        n["fight_facts"].select("fight_id", F.lit(1).alias("facts")),
+        n["fighter_fight_facts"].select("fight_id", F.lit(1).alias("corners")),
+    ]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    sums = ["fights", "known", "no_event", "no_person1", "no_person2", "rounds", "features", "facts", "corners"]
+    return rows.groupBy("fight_id").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in sums],
+                                        *[F.max(c).alias(c) for c in ("official", "dated", "top")])
+
+
 def violations(tables: Tables, today: str) -> DataFrame:
-    """One row per defect check: its name and how much it found, however much that is."""
-    all_checks = findings(today)
-    rows = []
-    for name in MUST_BE_ZERO:
-        found = all_checks[name](tables)
-        rows.append(found.select(F.lit(name).alias("check"), F.col(found.columns[0]).cast("long").alias("found")))
-    for name in MUST_BE_EMPTY:
-        found = all_checks[name](tables).agg(F.count(F.lit(1)).alias("found"))
-        rows.append(found.select(F.lit(name).alias("check"), "found"))
+    """One row per defect check: its name and how much it found, however much that is.
+
+    Each table is read once, into its keys and a 0/1 column per check. Checks of single rows are one aggregate a table;
+    checks across tables are counts over one grouping of all narrow rows by bout.
+    """
+    n = _narrow(tables, today)
+    c = F.col
+    checked = set(MUST_BE_ZERO) | set(MUST_BE_EMPTY)
+    rows = [_found(df, {k: F.sum(k) for k in df.columns if k in checked}) for df in n.values() if checked & set(df.columns)]
+    there = c("fights") > 0
+    rows.append(_found(_bouts(n), {
+        "missing_event": F.sum("no_event"), "missing_fighter1": F.sum("no_person1"), "missing_fighter2": F.sum("no_person2"),
+        "fights_without_facts": F.count_if(there & (c("known") > 0) & (c("dated") == 1) & (c("facts") == 0)),
+        "not_two_corners": F.count_if((c("corners") > 0) & (c("corners") != 2)),
+        "too_many_rounds": F.count_if(c("rounds") > MAX_ROUNDS),
+        "rounds_past_official": F.count_if(there & (c("top") > c("official"))),
+        "feature_rows_per_fight": F.count_if((c("known") > 0) & (c("features") != 2)),
+    }))
+    rows.append(_found(_absorbed_mismatch(n), {"absorbed_mismatch": F.sum("absorbed_mismatch")}))
     return reduce(DataFrame.unionByName, rows)

@@ -1,5 +1,9 @@
-"""Structure of stored HTML pages, read with patterns over the whole text."""
+"""Structure of stored HTML pages: patterns over the whole text, and for tables, which nest, its stream of tags."""
 
+from collections.abc import Iterator
+from html.parser import HTMLParser
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,22 +39,105 @@ def table_profile(pages: DataFrame) -> DataFrame:
     )
 
 
+# Elements without content, and elements whose text is no text of the page.
+VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
+HIDDEN = {"script", "style", "template"}
+
+
+class _Tables(HTMLParser):
+    """Rows of the tables without a class, from a stack of the elements that are open.
+
+    An end tag closes the innermost open element of its name and all inside it; one that nothing matches is skipped. A
+    row belongs to every table that is open around it, a cell to every row, a text to every cell. What is still open at
+    the end of the page ends there.
+    """
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.open: list[tuple[str, list | None]] = []
+        self.tables, self.rows, self.text = 0, [], []
+
+    def _held(self, kind: str) -> Iterator[list]:
+        return (thing for name, thing in self.open if name == kind and thing is not None)
+
+    def handle_starttag(self, tag, attrs):
+        self._flush()
+        classes = next((v for k, v in attrs if k == "class"), None)
+        thing = None
+        if tag == "table":
+            if not (classes or "").strip():
+                thing = [self.tables, 0]
+            self.tables += 1
+        elif tag == "tr":
+            thing = [(classes or "").strip() or None, [], []]
+            for table in self._held("table"):
+                self.rows.append((table[0], table[1], thing))
+                table[1] += 1
+        elif tag in ("th", "td"):
+            thing = []
+            for row in self._held("tr"):
+                row[1].append(tag)
+                row[2].append(thing)
+        if tag not in VOID:
+            self.open.append((tag, thing))
+
+    def handle_startendtag(self, tag, attrs):
+        self.handle_starttag(tag, attrs)
+        if tag not in VOID:
+            self.handle_endtag(tag)
+
+    def handle_endtag(self, tag):
+        self._flush()
+        for i in range(len(self.open) - 1, -1, -1):
+            if self.open[i][0] == tag:
+                del self.open[i:]
+                break
+
+    def handle_data(self, data):
+        self.text.append(data)
+
+    def handle_comment(self, data):
+        self._flush()
+
+    def _flush(self):
+        text = "".join(self.text).strip()
+        self.text = []
+        if text and not any(name in HIDDEN for name, _ in self.open):
+            for name, cell in self.open:
+                if name in ("th", "td") and cell is not None:
+                    cell.append(text)
+
+    def found(self) -> list[tuple]:
+        self._flush()
+        return [(t, r, row[0], row[1], [" ".join(c) for c in row[2]]) for t, r, row in self.rows]
+
+
+def rows_of_page(html: str | None) -> list[tuple]:
+    """(table_no, row_no, row_class, tags, texts) of every row of every class-less table of one page, in order."""
+    scan = _Tables()
+    scan.feed(html or "")
+    scan.close()
+    return sorted(scan.found(), key=lambda r: r[:2])
+
+
 def table_rows(pages: DataFrame) -> DataFrame:
-    """Every row of every class-less table: its place, class and cell texts."""
-    tables = _all(F.col("html"), r"(?is)<table\b[^>]*>.*?</table>")
-    each = pages.select("page_id", F.posexplode(tables).alias("table_no", "body"))
-    plain = each.filter(~F.regexp_extract("body", OPEN_TABLE, 0).rlike(HAS_CLASS))
-    rows = plain.select(
-        "page_id", "table_no", F.posexplode(_all(F.col("body"), r"(?is)<tr\b[^>]*>.*?</tr>")).alias("row_no", "row")
-    )
-    cells = _all(F.col("row"), r"(?is)<(?:td|th)\b[^>]*>(.*?)</(?:td|th)>", 1)
-    tags = _all(F.col("row"), r"(?i)<(td|th)\b", 1)
-    return rows.select(
-        "page_id", "table_no", "row_no",
-        F.nullif(F.regexp_extract("row", r"(?is)^<tr\b[^>]*class\s*=\s*\"([^\"]*)\"", 1), F.lit("")).alias("row_class"),
-        F.transform(tags, F.lower).alias("tags"),
-        F.transform(cells, _text).alias("texts"),
-    )
+    """Every row of every class-less table: its table's place among all of the page, its place, class and cell texts.
+
+    Tables may nest: a row inside an inner table is one of the outer table too, and its text is part of the outer cell's.
+    A null page has no rows.
+    """
+    def of(batches):
+        names = ["table_no", "row_no", "row_class", "tags", "texts"]
+        kinds = [pa.int32(), pa.int32(), pa.string(), pa.list_(pa.string()), pa.list_(pa.string())]
+        for batch in batches:
+            found = [rows_of_page(h) for h in batch.column(1).to_pylist()]
+            every = batch.column(0).take(pa.array([i for i, rows in enumerate(found) for _ in rows], pa.int64()))
+            flat = list(zip(*(r for rows in found for r in rows))) or [[]] * 5
+            yield pa.RecordBatch.from_arrays([every, *[pa.array(list(v), k) for v, k in zip(flat, kinds)]], ["page_id", *names])
+
+    kind = dict(pages.dtypes)["page_id"]
+    return pages.select("page_id", "html").mapInArrow(
+        of, f"page_id {kind}, table_no int, row_no int, row_class string, tags array<string>, texts array<string>")
 
 
 def links(pages: DataFrame) -> DataFrame:

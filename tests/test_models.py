@@ -91,6 +91,21 @@ def test_page_patterns(spark):
     assert pages.headings(df).first()["heading"] == "Totals"
 
 
+def test_nested_and_unclosed_tables():
+    rows = pages.rows_of_page
+    assert rows("<table><tr><td>a<table><tr><th>b</th></tr></table>c</td><td/></tr></table>") == [
+        (0, 0, None, ["td", "th", "td"], ["a b c", "b", ""]), (0, 1, None, ["th"], ["b"]), (1, 0, None, ["th"], ["b"])]
+    # a table with a class holds one without; an end tag that nothing opened, and one that closes what is inside
+    assert rows("<table class=x><tr><td></b><table><tr class=' q '><td>1<i>2</td><td>3</td></table>") == [
+        (1, 0, "q", ["td", "td"], ["1 2", "3"])]
+    assert rows("<table class=''><tr><td>x <br/>y&nbsp;&lt;z<script>no</script><!-- no --></table>") == [
+        (0, 0, None, ["td"], ["x y\xa0<z"])]
+    # cells that are not closed hold what follows
+    assert rows("<table><tr><td>a<td>b</tr><tr><td>c") == [
+        (0, 0, None, ["td", "td"], ["a b", "b"]), (0, 1, None, ["td"], ["c"])]
+    assert rows(None) == rows("") == rows("<tr><td>no table</td></tr>") == rows("<table></table>") == []
+
+
 def test_registry_sizes():
     assert (len(columns.STAT_COLS), len(columns.HISTORY_COLS), len(columns.FEATURE_COLS)) == (38, 91, 319)
     assert (len(columns.DIFF_COLS), len(columns.LABEL_COLS), len(columns.CARDIO_FACT_COLS)) == (74, 24, 30)

@@ -147,3 +147,38 @@ def test_facts_change_together_or_not_at_all(spark, tmp_path, monkeypatch):
         build.facts(store)
     names = ("fight_facts", "fighter_fight_facts", "fighter_round_facts")
     assert {t: store.tables()[t] for t in names} == {t: before[t] for t in names}
+
+
+def exchanges(df):
+    """Number of columns that each exchange of the plan moves."""
+    found = []
+
+    def walk(node):
+        if node.nodeName() == "AdaptiveSparkPlan":
+            return walk(node.initialPlan())
+        if node.nodeName().endswith("Exchange"):
+            found.append(node.output().size())
+        for i in range(node.children().size()):
+            walk(node.children().apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return found
+
+
+def test_pairing_moves_no_wide_rows(spark):
+    from ringside.operators import model_rows
+    from ringside.session import cut, cut_by
+
+    built = history.build_features(frame(spark, random_history(6, fighters=8, bouts=20)))
+    bio = built.select("fighter_id", F.lit(70.0).alias("height"), F.lit(72).alias("reach")).distinct()
+    plain, laid_out = cut(built, "features"), cut_by(built, "features", "fight_id", 4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        moved = {n: exchanges(model_rows.paired(f, bio)) for n, f in (("plain", plain), ("laid out", laid_out))}
+        assert max(moved["laid out"]) < 12 < 300 < max(moved["plain"])
+        a, b = (model_rows.paired(f, bio) for f in (plain, laid_out))
+        assert a.columns == b.columns and a.exceptAll(b).isEmpty() and a.count() == b.count() > 0
+        # the windows' results are not exchanged either: nothing as wide as a feature row moves
+        assert max(exchanges(built)) < 200
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
