@@ -10,7 +10,7 @@ from ringside.session import build_session
 from ringside.sources.binding import bench
 
 # builds are timed from their written inputs; queries read the written layers
-BUILDS = ["lines", "fights", "round_stats", "fight_facts", "corner_facts", "features", "model_rows", "model_train"]
+BUILDS = ["placed", "bouts", "events", "stored_corner_facts", "stored_features", "stored_model_rows"]
 HEADLINES = ["corner_facts", "round_facts", "opponent_asof", "training_rows", "pick_ledger_summary",
              "audit_absorbed_mismatch", "audit_round_count_gaps", "win_baselines", "view_null_rates"]
 
@@ -26,7 +26,7 @@ def main() -> None:
     spark = build_session("ringside-bench", cpus=int(os.environ.get("BENCH_CPUS", "8")))
     tables = bench(spark, folder)
     timings = {f"build_{name}": timed(lambda n=name: getattr(tables, n)) for name in BUILDS}
-    rows = history.load_history(tables.corner_facts)
+    rows = history.load_history(tables.stored_corner_facts)
     timings["windows_only"] = timed(
         lambda: history.own_features(rows).write.format("noop").mode("overwrite").save())
     for name in HEADLINES:
