@@ -129,33 +129,38 @@ def sketches(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", te
 # -- inverted join ----------------------------------------------------------
 
 def postings(nodes: DataFrame, similarity: tuple[int, int], miss: float = MISS) -> DataFrame:
-    """(token, node, rank, mask) of every node's prefix, for tokens that more than one node has.
+    """(node, n, rank, mask, t): t are the tokens of a node's prefix, those that more than one node has.
 
-    nodes: (node, posted). A token is a coordinate and its value, side by side in a long. The order of a node's tokens is
-    by how many nodes have them, then by the token. rank is high for central nodes; mask has a bit for every coordinate
-    of the prefix.
+    nodes: (node, n, posted). A token is a coordinate and its value, side by side in a long. The order of a node's tokens
+    is by how many nodes have them, then by the token. rank is high for central nodes; mask has a bit for every coordinate
+    of the prefix. One row a node: joins by node take place before the tokens are spread (``in_lists``).
     """
     prefix = POSTED - matches(POSTED, *similarity, miss) + 1
     value = F.col("value").cast("bigint").bitwiseAND(F.lit(0xFFFFFFFF).cast("bigint"))
-    each = nodes.select("node", F.posexplode("posted").alias("at", "value")).select(
-        "node", F.shiftleft(F.col("at").cast("bigint"), 32).bitwiseOR(value).alias("token"))
+    each = nodes.select("node", "n", F.posexplode("posted").alias("at", "value")).select(
+        "node", "n", F.shiftleft(F.col("at").cast("bigint"), 32).bitwiseOR(value).alias("token"))
     held = cut(each.groupBy("token").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"), "tokens")
     # most tokens are one node's alone and need no exchange
     several = maybe_listed(each, F.col("token"), held, F.col("token"))
-    known = several.join(held, "token").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("c", "token"))).alias("t"))
+    known = several.join(held, "token").groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("c", "token"))).alias("t"))
     left = F.lit(prefix - POSTED) + F.size("t")  # tokens of its own come first
     first = known.filter(left > 0).select(
-        "node", F.aggregate("t", F.lit(0).cast("bigint"), lambda a, x: a + x["c"]).alias("rank"),
+        "node", "n", F.aggregate("t", F.lit(0).cast("bigint"), lambda a, x: a + x["c"]).alias("rank"),
         F.transform(F.slice("t", 1, F.greatest(left, F.lit(1))), lambda x: x["token"]).alias("t"))
     bit = lambda a, x: a.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftright(x, 32).cast("int")))
-    return first.select(F.explode("t").alias("token"), "node", "rank",
-                        F.aggregate("t", F.lit(0).cast("bigint"), bit).alias("mask"))
+    return first.select("node", "n", "rank", F.aggregate("t", F.lit(0).cast("bigint"), bit).alias("mask"), "t")
+
+
+def in_lists(posted: DataFrame) -> DataFrame:
+    """(token, node, n, rank, mask): a row for every token of a posting."""
+    return posted.select(F.explode("t").alias("token"), "node", "n", "rank", "mask")
 
 
 def families(posted: DataFrame) -> DataFrame:
     """(node, family) of all nodes that share a list: the components of the lists, each named by its smallest node."""
-    least = posted.groupBy("token").agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a < z")
-    edges = _salted(posted, least.select("token", "a")).select("a", F.col("node").alias("b"))
+    lists = in_lists(posted)
+    least = lists.groupBy("token").agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a < z")
+    edges = _salted(lists, least.select("token", "a")).select("a", F.col("node").alias("b"))
     return components(edges).toDF("node", "family")
 
 
@@ -312,7 +317,7 @@ def _long_lists(lists: DataFrame, members: DataFrame, similarity, miss: float, p
 def links(posted: DataFrame, members: DataFrame, similarity: tuple[int, int], miss: float = MISS, piece: int = PIECE) -> DataFrame:
     """Edges (a, b), all confirmed on full sets: their components are those of all links between nodes that share a list.
 
-    posted: the postings with n; members: (family, node, n, signature, hashes). Both are read several times.
+    posted: the postings; members: (family, node, n, signature, hashes). Both are read several times.
     """
     sizes = members.groupBy("family").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("s"))
     large = cut(sizes.filter((F.col("c") > piece) | (F.col("s") > PIECE_SHINGLES)).select("family"), "families")
@@ -323,7 +328,8 @@ def links(posted: DataFrame, members: DataFrame, similarity: tuple[int, int], mi
     if large.isEmpty():
         return edges
     inside = members.join(large, "family", "left_semi")
-    return edges.union(_long_lists(cut(posted.join(inside.select("node"), "node"), "long-lists"), inside, similarity, miss, piece))
+    lists = cut(in_lists(posted.join(inside.select("node"), "node")), "long-lists")
+    return edges.union(_long_lists(lists, inside, similarity, miss, piece))
 
 
 # -- operator ---------------------------------------------------------------
@@ -351,16 +357,16 @@ def classes(docs: DataFrame, rows: DataFrame, similarity: tuple[int, int] = GENE
             id_col: str = "doc_id", text: str = "text", miss: float = MISS, piece: int = PIECE, lists=None) -> DataFrame:
     """(node, head) of every node of the sketches: head is (null_id, doc_id, k) of its component's first row, null ids last.
 
-    lists: a function from (node, mark) to further lists (token, node) of nodes that may be similar; their tokens have the
-    coordinate POSTED.
+    lists: a function from (node, n, mark) to further lists (token, node, n) of nodes that may be similar; their tokens
+    have the coordinate POSTED.
     """
     order = F.struct(F.col("doc_id").isNull().alias("null_id"), "doc_id", "k")
     nodes = cut(rows.filter("node is not null").groupBy("node").agg(
         F.min(order).alias("head"), *[F.first(c).alias(c) for c in ("n", "posted", "mark")]), "nodes")
-    posted = cut(postings(nodes.select("node", "posted"), similarity, miss), "postings")
+    posted = cut(postings(nodes.select("node", "n", "posted"), similarity, miss), "postings")
     if lists is not None:
-        of_node = posted.groupBy("node").agg(F.first("rank").alias("rank"), F.first("mask").alias("mask"))
-        more = lists(nodes.select("node", "mark")).join(of_node, "node", "left")
+        more = lists(nodes.select("node", "n", "mark")).withColumn("t", F.array("token")).drop("token")
+        more = more.join(posted.select("node", "rank", "mask"), "node", "left")
         posted = cut(posted.unionByName(more.withColumns({c: F.coalesce(c, F.lit(0).cast("bigint")) for c in ("rank", "mask")})), "postings")
     found = cut(families(posted), "node-families")
     wanted = nodes.join(found, "node").select("node", "family", "n", F.col("head.doc_id").alias("head_id"), F.col("head.k").alias("head_k"))
@@ -371,8 +377,7 @@ def classes(docs: DataFrame, rows: DataFrame, similarity: tuple[int, int] = GENE
         *[F.first(c).alias(c) for c in ("family", "n", "text")])
     members = cut(once.select("family", "node", "n", "text").mapInArrow(
         lambda b: _hashes(b, shingle), "family bigint, node bigint, n bigint, signature binary, hashes binary"), "members")
-    sized = posted.join(nodes.select("node", "n"), "node")
-    roots = components(links(sized, members, similarity, miss, piece))
+    roots = components(links(posted, members, similarity, miss, piece))
     labelled = nodes.select("node", "head").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     heads = labelled.groupBy("root").agg(F.min("head").alias("head"))
     return labelled.drop("head").join(heads, "root").select("node", "head")

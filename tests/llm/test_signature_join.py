@@ -131,3 +131,14 @@ def test_real_table_equals_all_pairs(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
     rows = [tuple(r) for r in docs.collect()]
     assert got(spark, rows) == plain_classes(rows, 85, 100)
+
+
+def test_joins_by_node_see_one_row_a_node(spark):
+    """A group of near copies shares many lists; spread over them, its rows would grow with every join by node."""
+    docs = spark.createDataFrame(copies(5, 1, 60, [0.0, 0.01]), SCHEMA)
+    rows = sj.sketches(docs)
+    nodes = rows.filter("node is not null").select("node", "n", "posted").distinct()
+    posted = sj.postings(nodes, sj.CONTRACT)
+    assert 1 < posted.count() == posted.select("node").distinct().count() <= nodes.count()
+    assert sj.in_lists(posted).count() > 5 * posted.count()
+    assert {"token", "node", "n", "rank", "mask"} == set(sj.in_lists(posted).columns)
