@@ -9,6 +9,7 @@ from ringside.operators import audit
 from ringside.operators.upsert import latest, replace_group, upsert, upsert_buckets, write_buckets
 from ringside.plans.build import Store, everything, ingest
 from ringside.sources import payload
+from ringside.sources.binding import documents
 from ringside.streaming.follow import follow_folder
 
 CELLS = {"kd": "0", "sig_str": "5 of 9", "total_str": "6 of 10", "td": "1 of 2", "sub_att": "0", "rev": "0", "ctrl": "1:00"}
@@ -221,3 +222,14 @@ def test_name_rule_can_take_the_first_namesake(spark):
     asked = spark.createDataFrame([("Ann", None)], "fighter_name string, fighter_url string")
     assert payload.resolve_people(asked, known).first()["is_new"]
     assert payload.resolve_people(asked, known, unique_names=False).first()["fighter_id"] == 1
+
+
+def test_documents_are_parsed_once_and_by_many_tasks(spark):
+    orders = spark.range(40).selectExpr("id as o_orderkey", "id % 7 as o_custkey").coalesce(1)
+    docs = documents(orders)
+    assert docs.rdd.getNumPartitions() > 1
+    good, aside = payload.read_documents(docs)
+    for df, n in ((good, 43), (aside, 1)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert not [line for line in plan.split("\n") if line.lstrip("+-: ").startswith("Filter") and "from_json" in line]
+        assert df.count() == n
