@@ -1,6 +1,7 @@
 """Corner facts on hand-made bouts that end in different ways."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from ringside.operators import corners
 
@@ -121,3 +122,20 @@ def test_round_facts_read_the_stored_json(tables):
     assert len(rows) == 32
     assert rows[1, 1, True]["distance_landed"] == 3.0 and rows[1, 2, True]["distance_landed"] is None
     assert rows[1, 3, True]["kd"] is None and rows[1, 1, True]["ctrl_seconds"] == 90.0
+
+
+def test_a_round_is_not_parsed_once_for_every_cell(tables):
+    eligible = corners.eligible_fights(tables["fights"], tables["events"])
+    plan = corners.round_facts(eligible, tables["rounds"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("get_json_object") <= 2 + 3 * len(corners.STRIKE_PARTS)
+
+
+def test_a_text_in_the_place_of_cells_is_not_read_as_json(tables):
+    inner = r'"{\"distance\":\"3 of 4\"}"'
+    raws = ['{"significant_strikes":{"fighter1":%s,"fighter2":{"distance":"1 of 2"}}}' % inner,
+            '[{"significant_strikes":{"fighter1":{"distance":"3 of 4"}}}]', None, '{"significant_strikes":{"fighter1":[7]}}']
+    rounds = tables["rounds"].filter("fight_id = 4").withColumn(
+        "raw_round", F.element_at(F.array(*[F.lit(x) for x in raws]), F.pmod("round_number", F.lit(4)).cast("int") + 1))
+    eligible = corners.eligible_fights(tables["fights"], tables["events"])
+    found = corners.round_facts(eligible, rounds).filter("distance_landed is not null").collect()
+    assert [(r["fighter_id"], r["round_number"], r["distance_landed"], r["distance_attempted"]) for r in found] == [(23, 4, 1.0, 2.0)]
