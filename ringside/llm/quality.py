@@ -24,6 +24,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -195,10 +196,20 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: in
         metadata: tuple[str, ...] = (), word_bits: int = WORD_BITS, id_col: str = "doc_id", **settings) -> Machine | None:
     """Fit on labelled rows of docs; None where there is no labelled row (scores are then 0.5).
 
-    Features are made where the texts are; the driver gets the sparse features of
-    at most max_rows rows, each of at most 2^word_bits places, as flat arrays.
+    Features are made where the texts are; one task gets the sparse features of at
+    most max_rows rows, each of at most 2^word_bits places, and the driver the fitted arrays.
     """
-    rows = training_rows(docs, labels, label, max_rows, metadata, id_col)
+    got = fitted(training_rows(docs, labels, label, max_rows, metadata, id_col), word_bits, **settings).collect()
+    if not got:
+        return None
+    found, = got
+    linear = np.frombuffer(found["linear"], "<f4")
+    return Machine(word_bits, [np.array(c, np.float64) for c in found["cuts"]], found["bias"], linear,
+                   np.frombuffer(found["factors"], "<f4").reshape(len(linear), -1))
+
+
+def fitted(rows: DataFrame, word_bits: int = WORD_BITS, **settings) -> DataFrame:
+    """The arrays of the machine that (id, y, text, m0, ...) teach, as one row; no row where there is none to learn from."""
 
     def sparse(batches):
         for pdf in batches:
@@ -209,13 +220,21 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: in
                                 "x": [f[1].astype("<f4").tobytes() for f in feats],
                                 "stats": [np.asarray(f[2], "<f8").tobytes() for f in feats]})
 
-    got = rows.mapInPandas(sparse, "id bigint, y double, at binary, x binary, stats binary").toArrow()
-    if not got.num_rows:
-        return None
-    got = got.sort_by("id").combine_chunks()
-    # views into the table's buffers, nothing is copied
-    parts = [[np.frombuffer(v.as_buffer(), kind) for v in got.column(c).chunk(0)] for c, kind in (("at", "<u4"), ("x", "<f4"), ("stats", "<f8"))]
-    return train(list(zip(*parts)), got.column("y").to_numpy(), word_bits, **settings)
+    def learn(batches):
+        held = list(batches)
+        if not sum(b.num_rows for b in held):
+            return
+        got = pa.Table.from_batches(held).combine_chunks()
+        # views into the table's buffers, nothing is copied
+        parts = [[np.frombuffer(v.as_buffer(), kind) for v in got.column(c).chunk(0)] for c, kind in (("at", "<u4"), ("x", "<f4"), ("stats", "<f8"))]
+        m = train(list(zip(*parts)), got.column("y").to_numpy(), word_bits, **settings)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([m.bias], pa.float64()), pa.array([m.linear.tobytes()], pa.binary()), pa.array([m.factors.tobytes()], pa.binary()),
+             pa.array([[c.tolist() for c in m.cuts]], pa.list_(pa.list_(pa.float64())))], ["bias", "linear", "factors", "cuts"])
+
+    feats = rows.mapInPandas(sparse, "id bigint, y double, at binary, x binary, stats binary")
+    return feats.repartition(1).sortWithinPartitions("id").mapInArrow(
+        learn, "bias double, linear binary, factors binary, cuts array<array<double>>")
 
 
 def score(docs: DataFrame, machine: Machine | None, name: str = "score", metadata: tuple[str, ...] = ()) -> DataFrame:

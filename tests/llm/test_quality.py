@@ -56,3 +56,16 @@ def test_nulls_empty_texts_and_tables(spark):
     assert quality.score(docs.limit(0), m, "s", ("n_chars",)).count() == 0
     clash = quality.training_rows(docs, labels.union(labels.selectExpr("doc_id", "1 - quality")), "quality", 10)
     assert clash.count() == 0
+
+
+def test_the_driver_gets_the_fitted_arrays_alone(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    rows = quality.training_rows(docs, labels, "quality", 500)
+    learnt = sorted(rows.collect(), key=lambda r: r["id"])
+    want = quality.train([quality.features(r["text"], 12) for r in learnt], np.array([r["y"] for r in learnt]), 12, steps=30)
+    assert [len(r["linear"]) for r in quality.fitted(rows, 12, steps=30).collect()] == [want.linear.nbytes]
+    got = quality.fit(docs, labels, max_rows=500, word_bits=12, steps=30)
+    assert got.bias == want.bias and np.array_equal(got.linear, want.linear) and np.array_equal(got.factors, want.factors)
+    assert all(np.array_equal(a, b) for a, b in zip(got.cuts, want.cuts, strict=True))
+    assert quality.fitted(rows.limit(0)).count() == 0
