@@ -46,6 +46,19 @@ def test_corners_are_counted_without_reading_cells(spark, tmp_path):
     assert "regexp" not in plan(corners.round_facts(bench.eligible, bench.round_stats).groupBy("fighter_id").count())
 
 
+def test_a_plan_of_few_features_holds_no_others_and_says_the_same(spark, tmp_path):
+    bench = tables(spark, tmp_path)
+    none, few = bench.train_with(), bench.train_with("a_career_pace_avg", "y_a_pace")
+    more = bench.train_with("diff_career_pace_avg", "b_last5_late_td_avg", "a_career_mix_entropy", "prod_expected_td_pm")
+    assert bench.train_with("b_career_pace_avg") is few
+    assert not set(FEATURE_COLS) & {c[2:] for c in none.columns}
+    assert set(FEATURE_COLS) & {c[2:] for c in few.columns if c.startswith("a_")} == {"career_pace_avg"}
+    assert "prod_expected_td_pm" in more.columns and "prod_expected_sig_pm" not in more.columns
+    shown = ["fight_id", "orientation", "a_career_pace_avg", "b_career_pace_avg", "diff_career_pace_avg", "y_a_pace"]
+    a, b = (sorted(map(str, df.select(*shown).collect())) for df in (few, more))
+    assert a == b and len(a) > 40
+
+
 def test_training_rows_are_counted_without_windows_and_in_one_pass(spark, tmp_path):
     train = tables(spark, tmp_path).model_train
     assert "regexp" not in plan(train.groupBy("y_a_win").count()) and "Window" not in plan(train.groupBy("y_a_win").count())
