@@ -135,6 +135,37 @@ def test_trees_are_kept_up_to_the_least_loss():
     assert learn.trees_to_keep([1.0]) == 1
 
 
+def test_trees_beyond_the_end_are_not_grown(spark, monkeypatch):
+    rows = train_rows(spark, 300)
+    early = F.year("event_date") < 2017
+    fit, val, cols = rows.filter(early), rows.filter(~early).withColumn("y_a_td_landed", F.col("y_a_td_landed") + 0.3), ["a_last3_x"]
+    boost = learn.Boost(trees=20, depth=2, step=0.9, subsample=1.0, columns="all")
+    monkeypatch.setattr(learn, "PATIENCE", 3)
+    monkeypatch.setattr(learn, "trees_to_keep", lambda losses, keep=learn.trees_to_keep: keep(losses, 3))
+    grown = []
+    plain = learn.GBTRegressor._fit
+    monkeypatch.setattr(learn.GBTRegressor, "_fit", lambda self, df: grown.append(self.getMaxIter()) or plain(self, df))
+    monkeypatch.setattr(learn, "FIRST_TREES", 20)
+    whole = learn.fit(fit, cols, "y_a_td_landed", boost, val=val)
+    assert grown[0] == 20 and whole.trees <= 5
+    grown.clear()
+    monkeypatch.setattr(learn, "FIRST_TREES", 2)
+    some = learn.fit(fit, cols, "y_a_td_landed", boost, val=val)
+    assert grown[0] == 2 and max(grown) < 20 and some.trees == whole.trees
+    a, b = ([r["p"] for r in m.predict(val).orderBy(*learn.KEYS).collect()] for m in (whole, some))
+    assert a == pytest.approx(b, abs=1e-9)
+
+
+def test_stat_model_scores_grow_the_whole_model(monkeypatch):
+    import queries
+
+    asked = []
+    monkeypatch.setattr(queries, "_slices", lambda spark, d: [type("Rows", (), {"columns": ["a_x", "y_a_td_landed"]})()] * 3)
+    monkeypatch.setattr(learn, "stat_scores", lambda fit, val, test, cols, label, base, boost: asked.append((cols, label, boost)) or (None, None))
+    queries._stat_model_scores(None, "")
+    assert asked == [(["a_x"], "y_a_td_landed", learn.Boost())] and (learn.Boost().trees, learn.Boost().depth) == (500, 5)
+
+
 def test_model_round_trip(spark, tmp_path):
     from datetime import date
 
