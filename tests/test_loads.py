@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ringside.operators import audit
-from ringside.operators.upsert import latest, replace_group, upsert, upsert_buckets, write_buckets
+from ringside.operators.upsert import latest, latest_of_few, replace_group, upsert, upsert_buckets, write_buckets
 from ringside.plans.build import Store, everything, ingest
 from ringside.sources import payload
 from ringside.sources.binding import documents
@@ -192,6 +192,35 @@ def test_real_input_is_read_or_set_aside(spark):
     assert json.loads(tables["fight_totals"].join(six, "fight_id").first()["raw_totals"])["other"] == "o"
 
 
+def test_tables_of_a_load_are_made_when_read(spark, monkeypatch):
+    written, plain = [], payload.cut
+    monkeypatch.setattr(payload, "cut", lambda df, name: written.append(name) or plain(df, name))
+    nobody = spark.createDataFrame([], "fighter_id long, fighter_name string, fighter_url string")
+    # the bout comes twice; its second round comes twice within the later document
+    later = event(2, bout(1, "Ann", "Bea"))
+    later = json.loads(later)
+    later["fights"][0]["round_stats"].append(later["fights"][0]["round_stats"][1] | {"fighter1": CELLS | {"kd": "7"}})
+    docs = spark.createDataFrame([(1, event(1, bout(1, "Ann", "Cat", rounds=3))), (2, json.dumps(later)), (3, event(3, bout(3, "Ann", "Dee")))],
+                                 "seq long, payload string")
+    rows = payload.load_rows(docs, nobody, counted=False)[0].written()
+    assert rows["events"].count() == 3 and written == ["documents", "events"]
+    assert {r["fighter_name"] for r in rows["fighters"].collect()} == {"Ann", "Bea", "Cat", "Dee"}
+    assert "document-bouts" not in written and "round_stats" not in written
+    assert rows["fights"].count() == 2 and written.count("document-bouts") == written.count("people") == 1
+    state = payload.apply_load(rows, rows)
+    kds = [r["fighter1_kd"] for r in state["round_stats"].orderBy("fight_id", "round_number").collect()]
+    assert sorted(kds) == ["0", "0", "0", "7"] and written.count("fights") == 1
+
+
+def test_latest_of_few_is_latest(spark):
+    rows = spark.createDataFrame([("a", 1, 1, "x"), ("a", 1, 2, "y"), ("a", None, 1, "z"), ("a", None, 3, None), ("b", 1, 1, "w"),
+                                  (None, None, 5, "v"), (None, 2, 4, "u")], "k string, l int, seq int, v string")
+    for keys in (["k"], ["k", "l"], ["seq", "v"]):
+        order = ["seq", "v"] if keys != ["seq", "v"] else ["l"]
+        few, all_ = latest_of_few(rows, keys, order), latest(rows, keys, order)
+        assert few.columns == all_.columns and sorted(map(str, few.collect())) == sorted(map(str, all_.collect()))
+
+
 def test_counts_of_findings_are_whole(spark):
     events = spark.range(57).select(F.col("id").alias("event_id"), F.lit("e").alias("headline"),
                                     F.lit("1990-01-01").cast("date").alias("event_date"))
