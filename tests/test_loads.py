@@ -212,6 +212,15 @@ def test_tables_of_a_load_are_made_when_read(spark, monkeypatch):
     assert sorted(kds) == ["0", "0", "0", "7"] and written.count("fights") == 1
 
 
+def test_tables_in_buckets_are_written_once(spark, tmp_path, monkeypatch):
+    from ringside.plans import build
+
+    monkeypatch.setattr(build, "cut", lambda df, name: pytest.fail(f"{name} is written aside"))
+    store = Store(spark, str(tmp_path))
+    store.replace_all({"t": spark.range(50)}, {"t": ["id"]}, bucket_rows=10)
+    assert store.read("t").count() == 50 and len(list(tmp_path.glob("t/*/key_bucket=*"))) == 5
+
+
 def test_latest_of_few_is_latest(spark):
     rows = spark.createDataFrame([("a", 1, 1, "x"), ("a", 1, 2, "y"), ("a", None, 1, "z"), ("a", None, 3, None), ("b", 1, 1, "w"),
                                   (None, None, 5, "v"), (None, 2, 4, "u")], "k string, l int, seq int, v string")
